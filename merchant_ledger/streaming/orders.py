@@ -42,14 +42,16 @@ def order_deltas(changes: DataFrame, seq: Sequence[str]) -> DataFrame:
     """
     snapshot = F.col("is_snapshot")
     lane = F.pmod(F.xxhash64(*seq), F.lit(SNAPSHOT_LANES))
-    # A null amount only occurs in states that move no money.
-    known = changes.withColumn("amount", F.coalesce("amount", F.lit(0)))
-    keyed = known.groupBy(
-        F.when(~snapshot, F.col(MERCHANT)).alias("key_merchant"),
-        F.when(~snapshot, F.col(ORDER)).alias("key_order"),
-        F.when(snapshot, lane).otherwise(-1).alias("lane"),
-    )
-    output = known.drop("state", "amount").schema
+    output = changes.drop("state", "amount").schema
+    keyed = changes.withColumns(
+        {
+            # A null amount only occurs in states that move no money.
+            "amount": F.coalesce("amount", F.lit(0)),
+            "key_merchant": F.when(~snapshot, F.col(MERCHANT)),
+            "key_order": F.when(~snapshot, F.col(ORDER)),
+            "lane": F.when(snapshot, lane).otherwise(-1),
+        }
+    ).groupBy("key_merchant", "key_order", "lane")
     for delta in DELTAS:
         output = output.add(delta, "long")
     return keyed.applyInPandasWithState(
