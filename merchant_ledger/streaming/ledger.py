@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -18,6 +19,9 @@ from merchant_ledger.streaming.orders import ROCKSDB, order_deltas
 # How often state and source position are made durable.
 TRIGGER = {"processingTime": "5 seconds"}
 
+# Order groups per stateful task: enough to even out, few enough to be large.
+SHARDS_PER_TASK = 4
+
 OPENING = -1  # batch id of totals that were there before the stream
 
 Sink = Callable[[DataFrame, int], None]
@@ -57,6 +61,19 @@ class Ledger:
     def _write(self, rows: DataFrame, table: str, batch_id: int) -> None:
         rows.write.mode("overwrite").parquet(self._path(table, batch_id))
 
+    def shards(self) -> int:
+        """How many groups the order states are spread over: chosen at the first start,
+        kept ever after, since the states are stored by group."""
+        path = self._path("settings")
+        try:
+            return self.spark.read.schema("shards int").json(path).first()[0]
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+        count = SHARDS_PER_TASK * int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        self.spark.range(1).select(F.lit(count).alias("shards")).write.json(path)
+        return count
+
     def open_with(self, totals: DataFrame) -> None:
         """Totals of a table snapshot, for the stream to go on from."""
         self._write(totals.select(MERCHANT, *BUCKETS), "totals", OPENING)
@@ -117,7 +134,7 @@ def start(
     conf.set(key, ROCKSDB)  # order states outgrow the heap
     try:
         return (
-            observed(order_deltas(changes, ledger.seq))
+            observed(order_deltas(changes, ledger.seq, ledger.shards()))
             .writeStream.foreachBatch(ledger.apply)
             .option("checkpointLocation", checkpoint)
             .outputMode("append")

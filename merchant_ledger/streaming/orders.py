@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from merchant_ledger.schemas import (
     CANCELLED,
@@ -20,83 +22,97 @@ from merchant_ledger.schemas import (
     struct,
 )
 
+# Executors get this module's code with the task; it need not be installed there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 # What is kept per merchant and order. It is never removed: without the last state, the
 # next change would be taken for the first one.
+ORDER_KEY = struct(**{MERCHANT: "string", ORDER: "string"})
 ORDER_STATE = struct(state="integer", amount="long")
 
-# Snapshot rows need no state. They are spread over this many groups, so that a large
-# snapshot is neither one group nor one group per order.
-SNAPSHOT_LANES = 512
-
 CODES = dict(zip(DELTAS, (SUCCESS, REFUNDED, CANCELLED)))
 
 
-def order_deltas(changes: DataFrame, seq: Sequence[str]) -> DataFrame:
+def order_deltas(changes: DataFrame, seq: Sequence[str], shards: int) -> DataFrame:
     """Streaming form of ``transitions.with_deltas``; other columns pass through.
 
-    State is kept per merchant *and order*: a merchant with a third of all rows is spread
-    over all tasks. Rows of one order are ordered by ``seq`` within a micro-batch; rows
-    that arrive in a later one are applied on arrival.
+    Orders are spread over ``shards`` groups by merchant *and order*, so a merchant with a
+    third of all rows is spread too. Each group is one call with all its orders, as calls
+    are dear and rows are not. Snapshot rows need no state and are spread by sequence.
+    ``shards`` belongs to the checkpoint: it must stay the same when the query restarts.
     """
-    snapshot = F.col("is_snapshot")
-    lane = F.pmod(F.xxhash64(*seq), F.lit(SNAPSHOT_LANES))
+    spread = F.when(F.col("is_snapshot"), F.xxhash64(*seq)).otherwise(
+        F.xxhash64(MERCHANT, ORDER)
+    )
     output = changes.drop("state", "amount").schema
-    keyed = changes.withColumns(
-        {
-            # A null amount only occurs in states that move no money.
-            "amount": F.coalesce("amount", F.lit(0)),
-            "key_merchant": F.when(~snapshot, F.col(MERCHANT)),
-            "key_order": F.when(~snapshot, F.col(ORDER)),
-            "lane": F.when(snapshot, lane).otherwise(-1),
-        }
-    ).groupBy("key_merchant", "key_order", "lane")
     for delta in DELTAS:
         output = output.add(delta, "long")
-    return keyed.applyInPandasWithState(
-        _Transitions(list(seq), output.names),
-        outputStructType=output,
-        stateStructType=ORDER_STATE,
-        outputMode="append",
-        timeoutConf=GroupStateTimeout.NoTimeout,
+    return (
+        # A null amount only occurs in states that move no money.
+        changes.withColumn("amount", F.coalesce("amount", F.lit(0)))
+        .withColumn("shard", F.pmod(spread, F.lit(shards)))
+        .groupBy("shard")
+        .transformWithStateInPandas(
+            OrderTransitions(list(seq), output.names), output, outputMode="append", timeMode="none"
+        )
     )
 
 
-def _bucket(code: int, state, amount):
-    return np.where(state == code, amount, 0)
-
-
-class _Transitions:
-    """The function run per group: one order of a merchant, or one lane of snapshots."""
+class OrderTransitions(StatefulProcessor):
+    """Rows are ordered by ``seq`` within a micro-batch; a row that arrives in a later one
+    is applied on arrival. The rate limit of the source bounds the rows of a call."""
 
     def __init__(self, seq: list[str], output: list[str]):
         self.seq, self.output = seq, output
 
-    def __call__(
-        self, key: tuple, chunks: Iterator[pd.DataFrame], kept: GroupState
-    ) -> Iterator[pd.DataFrame]:
-        if key[2] >= 0:
-            for rows in chunks:
-                state, amount = rows["state"].to_numpy(), rows["amount"].to_numpy()
-                yield self._with_deltas(
-                    rows, {d: _bucket(code, state, amount) for d, code in CODES.items()}
-                )
-            return
-        # One order's rows of one micro-batch, which the source's rate limit bounds.
-        rows = pd.concat(list(chunks)).sort_values(self.seq, kind="stable")
-        state, amount = rows["state"].to_numpy(), rows["amount"].to_numpy()
-        deltas = {}
-        for name, code in CODES.items():
-            new = _bucket(code, state, amount)
-            if kept.exists:
-                before = int(_bucket(code, *kept.get))
-            else:
-                # The first change counts as a success only.
-                before = 0 if code == SUCCESS else new[0]
-            deltas[name] = np.diff(new, prepend=before)
-        kept.update((int(state[-1]), int(amount[-1])))
-        yield self._with_deltas(rows, deltas)
-
-    def _with_deltas(self, rows: pd.DataFrame, deltas: dict) -> pd.DataFrame:
-        return rows.assign(**deltas)[self.output]
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.orders = handle.getMapState("orders", ORDER_KEY, ORDER_STATE)
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues):
+        events = pd.concat(list(rows), ignore_index=True)
+        state, amount = events["state"].to_numpy(), events["amount"].to_numpy()
+        deltas = {name: _bucket(code, state, amount) for name, code in CODES.items()}
+
+        changes = events[~events["is_snapshot"].astype(bool)]
+        if len(changes):
+            changes = changes.sort_values(self.seq, kind="stable")
+            orders = changes.groupby([MERCHANT, ORDER], sort=False, dropna=False).ngroup()
+            # Row positions, order by order and in sequence within each.
+            at = changes.index.to_numpy()[np.argsort(orders.to_numpy(), kind="stable")]
+            number = np.sort(orders.to_numpy())
+            first = np.diff(number, prepend=-1) > 0
+            last = np.roll(first, -1)
+            keys = self._keys(events, at[first])
+            kept = [self.orders.getValue(key) for key in keys]
+            for name, code in CODES.items():
+                deltas[name][at] = _differences(code, deltas[name][at], first, kept)
+            states = zip(state[at[last]].tolist(), amount[at[last]].tolist())
+            for key, new in zip(keys, states):
+                self.orders.updateValue(key, new)
+
+        yield events.assign(**deltas)[self.output]
+
+    @staticmethod
+    def _keys(events: pd.DataFrame, at: np.ndarray) -> list[tuple]:
+        names = events[[MERCHANT, ORDER]].iloc[at]
+        return list(zip(*[names[name].astype(object).where(names[name].notna(), None) for name in names]))
+
+    def close(self) -> None: ...
+
+
+def _bucket(code: int, state: np.ndarray, amount: np.ndarray) -> np.ndarray:
+    return np.where(state == code, amount, 0)
+
+
+def _differences(code: int, new: np.ndarray, first: np.ndarray, kept: list) -> np.ndarray:
+    """Each bucket less the one before it. Before the first row of an order comes its kept
+    state; an order without one counts as a success only."""
+    old = np.roll(new, 1)
+    at_first = new[first]
+    old[first] = [
+        (0 if code == SUCCESS else unseen) if state is None else (state[1] if state[0] == code else 0)
+        for state, unseen in zip(kept, at_first)
+    ]
+    return new - old
