@@ -160,3 +160,10 @@ def snapshot_totals(events: DataFrame) -> DataFrame:
         .agg(*[F.sum(name).alias(name) for name in BUCKETS])
         .withColumns(derived_amounts())
     )
+
+
+def with_update_time(totals: DataFrame) -> DataFrame:
+    """The time of the output in epoch milliseconds, where the rows do not bring one."""
+    if "update_time" in totals.columns:
+        return totals
+    return totals.withColumn("update_time", F.unix_millis(F.current_timestamp()))

@@ -29,10 +29,11 @@ def local_session(cpus: int | str = "*", memory: str = "8g") -> SparkSession:
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder name below the cluster's shared checkpoint folder.
 
-    Only where no such folder is configured (tests) a local one is made and set.
+    Only a local session without such a setting gets a folder of its own.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = tempfile.mkdtemp(prefix="merchant-ledger-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        if not spark.conf.get("spark.master").startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+        root = tempfile.gettempdir()
     return f"{root.rstrip('/')}/merchant-ledger/{purpose}-{uuid.uuid4().hex}"

@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from merchant_ledger.functions.buckets import derived_amounts
 from merchant_ledger.operators.slices import ROWS_PER_GROUP, slice_if_hot
-from merchant_ledger.operators.totals import SUMS, finish, running_sums
+from merchant_ledger.operators.totals import SUMS, finish, running_sums, snapshot_totals
 from merchant_ledger.schemas import BUCKETS, MERCHANT
 from merchant_ledger.streaming.metrics import observed
 from merchant_ledger.streaming.orders import ROCKSDB, order_deltas
@@ -149,3 +149,21 @@ def run_for(query: StreamingQuery, seconds: int) -> None:
     """Let the query run for a time, then stop it. It can be started again later."""
     if not query.awaitTermination(seconds):
         query.stop()
+
+
+def hand_over(
+    snapshot: DataFrame,
+    changes: DataFrame,
+    ledger: Ledger,
+    checkpoint: str,
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """Table snapshot first, then the changes since.
+
+    ``snapshot`` are the snapshot's change events, ``changes`` a stream that starts at the
+    log position recorded before the snapshot was read. Totals of the snapshot open the
+    ledger; they are plain sums, so a snapshot of any size needs no order and no state.
+    On a restart use ``start``: the checkpoint knows the position.
+    """
+    ledger.open_with(snapshot_totals(snapshot))
+    return start(changes, ledger, checkpoint, trigger)
