@@ -1,0 +1,198 @@
+"""Text forms, messages and reports, character for character."""
+
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from merchant_ledger.functions import messages, text
+from merchant_ledger.sinks import lines, tables
+from merchant_ledger.sources.messages import first_messages, read_messages, rejected
+
+TOTALS = (
+    "mch_no string, total_amount long, success_amount long, refund_amount long, "
+    "cancel_amount long, net_amount long, update_time long, event_type string"
+)
+GOLDEN = ("M001", 150000, 100000, 30000, 20000, 50000, 1709728224000, "INCREMENTAL")
+NEGATIVE = ("M2", 500, 0, 500, 0, -500, 1709728224123, "SNAPSHOT")
+MESSAGE = (
+    '{"mchNo":"M001","totalAmount":150000,"successAmount":100000,"refundAmount":30000,'
+    '"cancelAmount":20000,"netAmount":50000,"updateTime":1709728224000,'
+    '"eventType":"INCREMENTAL"}'
+)
+REPORT = """【商户统计】14:30:25
+商户号: M001
+事件类型: INCREMENTAL
+更新时间: 2024-03-06 20:30:24
+总金额: ¥1500.00
+成功金额: ¥1000.00
+退款金额: ¥300.00
+撤销金额: ¥200.00
+净额: ¥500.00
+原始数据: {"mchNo": "M001", "totalAmount": 150000, "successAmount": 100000, \
+"refundAmount": 30000, "cancelAmount": 20000, "netAmount": 50000, \
+"updateTime": 1709728224000, "eventType": "INCREMENTAL"}"""
+
+
+@pytest.fixture
+def totals(spark):
+    return spark.createDataFrame([GOLDEN, NEGATIVE], TOTALS)
+
+
+def one(spark, *columns):
+    return tuple(spark.range(1).select(*columns).first())
+
+
+def test_amounts(spark):
+    values = [150000, -5, 0, 1, 123456789012345, None]
+    columns = [text.yuan(F.lit(v).cast("long")).alias(str(v)) for v in values]
+    expected = ("¥1500.00", "¥-0.05", "¥0.00", "¥0.01", "¥1234567890123.45", "0.00")
+    assert one(spark, *columns) == expected
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York", "Asia/Shanghai"])
+def test_times_do_not_depend_on_the_session(spark, zone):
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        ms = F.lit(1709728224000)
+        shown = one(spark, text.local_time(ms), text.local_time(ms, zone="UTC"), text.iso_instant(ms))
+        assert shown == ("2024-03-06 20:30:24", "2024-03-06 12:30:24", "2024-03-06T12:30:24Z")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_missing_times(spark):
+    none = F.lit(None).cast("long")
+    assert one(spark, text.local_time(none), text.local_time(none, text.NO_TIME_REPORT)) == (
+        "-",
+        "未知时间",
+    )
+
+
+def test_console_line(totals):
+    shown = [r.value for r in lines.console_lines(totals).collect()]
+    assert shown == [
+        "【实时商户统计】> MerchantStats{商户号='M001', 支付成功=¥100000, 已退款=¥30000, "
+        "已撤销=¥20000, 净额=¥50000, 事件='INCREMENTAL', 时间='2024-03-06T12:30:24Z'}",
+        "【实时商户统计】> MerchantStats{商户号='M2', 支付成功=¥0, 已退款=¥500, "
+        "已撤销=¥0, 净额=¥-500, 事件='SNAPSHOT', 时间='2024-03-06T12:30:24.123Z'}",
+    ]
+
+
+BASIC = [
+    "P | 商户：M001 | 总单量：150000 | 净额：¥500.00 | 更新时间：2024-03-06 20:30:24",
+    "P | 商户：M2 | 总单量：500 | 净额：¥-5.00 | 更新时间：2024-03-06 20:30:24",
+]
+VERBOSE = [
+    "P [详细] 商户：M001 | 成功：¥1000.00 | 退款：¥300.00 | 撤销：¥200.00 | 净额：¥500.00 "
+    "| 类型：INCREMENTAL | 时间：2024-03-06 20:30:24",
+    "P [详细] 商户：M2 | 成功：¥0.00 | 退款：¥5.00 | 撤销：¥0.00 | 净额：¥-5.00 "
+    "| 类型：SNAPSHOT | 时间：2024-03-06 20:30:24",
+]
+ALERT = "P ⚠️ 告警 | 商户：M2 | 净额为负：¥-5.00 | 可能存在异常"
+
+
+def test_log_lines(totals):
+    shown = [r.value for r in lines.log_lines(totals, "P").collect()]
+    assert shown == [*BASIC, ALERT]
+    shown = [r.value for r in lines.log_lines(totals, "P", verbose=True).collect()]
+    assert shown == [BASIC[0], VERBOSE[0], BASIC[1], VERBOSE[1], ALERT]
+    assert [r.value for r in lines.alert_lines(totals, "P").collect()] == [ALERT]
+
+
+def test_log_sink_replaces_a_batch(spark, totals, tmp_path):
+    sink = lines.log_sink(str(tmp_path / "log"), "P")
+    sink(totals, 3)
+    sink(totals, 3)
+    written = spark.read.text(str(tmp_path / "log" / "batch_id=3"))
+    assert sorted(r.value for r in written.collect()) == sorted([*BASIC, ALERT])
+
+
+def test_sinks_skip_rows_without_merchant(spark):
+    df = spark.createDataFrame([(None, *GOLDEN[1:])], TOTALS)
+    assert lines.log_lines(df, "P").count() == lines.console_lines(df).count() == 0
+
+
+def test_event_text(spark):
+    schema = "order_id string, mch_no string, amount long, state int, operation string, is_snapshot boolean"
+    df = spark.createDataFrame([("O1", "M1", 5, 2, "u", True), ("O1", "M1", None, 1, None, False)], schema)
+    assert [r[0] for r in df.select(text.event_text()).collect()] == [
+        "CdcChangeEvent{orderId='O1', mchNo='M1', amount=5, state=2, op='u', isSnapshot=true}",
+        "CdcChangeEvent{orderId='O1', mchNo='M1', amount=null, state=1, op='null', isSnapshot=false}",
+    ]
+
+
+def test_message_and_report(spark, totals):
+    value = totals.select(messages.stats_json().alias("value"))
+    assert json.loads(value.first().value) == json.loads(MESSAGE)
+    read = read_messages(spark.createDataFrame([(MESSAGE.encode(),)], "value binary"))
+    assert read.select(messages.report(F.lit("14:30:25"))).first()[0] == REPORT
+
+
+def test_null_fields_are_left_out(spark):
+    df = spark.createDataFrame([("M1", *[None] * 6, "SNAPSHOT")], TOTALS)
+    assert json.loads(df.select(messages.stats_json()).first()[0]) == {
+        "mchNo": "M1",
+        "eventType": "SNAPSHOT",
+    }
+
+
+DISPOSITIONS = {
+    MESSAGE.encode(): "ack",
+    b"{}": "ack",
+    b'{"mchNo":null}': "ack",
+    b"": "reject",
+    b"{bad": "reject",
+    b"{} x": "reject",
+    b"1,2": "reject",
+    b"5": "requeue",
+    b"null": "requeue",
+    b"[1]": "requeue",
+    b'"text"': "requeue",
+    b'{"netAmount":"x"}': "requeue",
+    b"\xff\xfe": "requeue",
+}
+
+
+def test_dispositions(spark):
+    rows = [(i, bytearray(body)) for i, body in enumerate(DISPOSITIONS)]
+    read = read_messages(spark.createDataFrame(rows, "id int, value binary"))
+    found = {list(DISPOSITIONS)[r.id]: r.disposition for r in read.collect()}
+    assert found == DISPOSITIONS
+    assert rejected(read).count() == 4
+
+
+def test_fallbacks(spark):
+    bodies = ["{}", '{"mchNo":null,"eventType":null}', '{"mchNo":"a","eventType":"b"}']
+    read = read_messages(spark.createDataFrame([(b,) for b in bodies], "value string"))
+    shown = read.select(messages.merchant_or_fallback(), messages.type_or_fallback()).collect()
+    assert [tuple(r) for r in shown] == [("未知商户", "未知类型"), ("None", "None"), ("a", "b")]
+
+
+def test_quotes_in_the_raw_line(spark):
+    body = json.dumps({"mchNo": 'a"\\中', "netAmount": -5}, ensure_ascii=False)
+    read = read_messages(spark.createDataFrame([(body,)], "value string"))
+    assert read.select(messages.raw_line()).first()[0] == body
+
+
+def test_preview_is_cut_and_the_message_is_not(spark):
+    df = spark.createDataFrame([("中" * 300,)], "value string")
+    row = rejected(read_messages(df)).select("value", messages.preview("value")).first()
+    assert (len(row[0]), len(row[1])) == (300, 100)
+
+
+def test_first_messages(spark):
+    df = spark.createDataFrame([(i, str(i)) for i in (3, 1, 2)], "at int, value string")
+    assert [r.at for r in first_messages(df, 2, ["at"]).collect()] == [1, 2]
+    assert first_messages(df, 9, ["at"]).count() == 3
+
+
+def test_topic_and_table_rows(totals):
+    row = tables.kafka_rows(totals).first()
+    assert row.key == "M001"
+    assert json.loads(row.value) == {
+        "mchNo": "M001",
+        "netAmount": 50000,
+        "updateTime": 1709728224000,
+    }
+    assert tuple(tables.jdbc_rows(totals).first()) == ("M001", 50000, 1709728224000)
