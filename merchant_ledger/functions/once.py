@@ -2,17 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def once(column: Column, then: Callable[[Column], Column] | None = None) -> Column:
-    """``then(column)`` for use in a select, with ``column`` computed a single time.
+def with_once(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """``df.withColumns(columns)``, each of them computed a single time per row.
 
-    A parsed column that many expressions refer to is otherwise copied into each of them
-    when projections are merged and filters pushed down. A generator is not.
+    The optimizer merges projections and pushes filters below them, and so copies a parsed
+    column into every expression that refers to it. It leaves columns alone that depend on
+    where they are computed. The condition is always true.
     """
-    single = F.array(column)
-    return F.explode(F.transform(single, then) if then else single)
+    here = F.spark_partition_id() >= 0
+    return df.withColumns({name: F.when(here, column) for name, column in columns.items()})

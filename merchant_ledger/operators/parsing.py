@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from merchant_ledger.functions.once import once
+from merchant_ledger.functions.once import with_once
 from merchant_ledger.schemas import CANCELLED, ENVELOPE, REFUNDED, SUCCESS
 
 # Why a record cannot be used.
@@ -26,8 +26,13 @@ def parse_envelopes(messages: DataFrame, value: str = "value") -> DataFrame:
     by itself it would be ignored.
     """
     as_list = F.from_json(F.concat(F.lit("["), F.col(value), F.lit("]")), T.ArrayType(ENVELOPE))
-    envelope = once(as_list, lambda found: F.when(F.size(found) == 1, F.get(found, F.lit(0))))
-    return messages.select("*", envelope.alias("envelope")).withColumn("image", row_image())
+    one = F.when(F.size("envelopes") == 1, F.get("envelopes", F.lit(0)))
+    return (
+        with_once(messages, {"envelopes": as_list})
+        .withColumn("envelope", one)
+        .drop("envelopes")
+        .withColumn("image", row_image())
+    )
 
 
 def row_image() -> Column:
@@ -105,12 +110,8 @@ def classified(
 ) -> DataFrame:
     """Every message with its change columns and ``bad_reason``. Columns of ``messages``
     (an offset, an arrival time) are passed through."""
-    return (
-        parse_envelopes(messages, value)
-        .withColumns(change_columns(snapshot_by))
-        .withColumn("bad_reason", bad_reason())
-        .drop("envelope", "image")
-    )
+    parsed = with_once(parse_envelopes(messages, value), change_columns(snapshot_by))
+    return with_once(parsed, {"bad_reason": bad_reason()}).drop("envelope", "image")
 
 
 def good_changes(records: DataFrame, on_bad: str = "fail") -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from merchant_ledger.functions.once import once
+from merchant_ledger.functions.once import with_once
 from merchant_ledger.schemas import STATS_MESSAGE
 
 # What becomes of a message.
@@ -23,32 +23,31 @@ def read_messages(messages: DataFrame, value: str = "value") -> DataFrame:
     ``value`` is text or UTF-8 bytes. Works on batch and streaming frames alike.
     """
     body = F.col(value).cast("string")
-    # Read as a one-element list, so that text after the object is not ignored.
+    # Also numbers, texts and lists are JSON: these are read for their syntax only, as a
+    # list, so that text after the value is not ignored.
     listed = F.concat(F.lit("["), body, F.lit("]"))
-    # Also numbers, texts and lists are JSON: these are read for their syntax only.
     values = F.from_json(listed, T.ArrayType(T.StringType()))
-    seen = F.struct(
-        F.from_json(body, STATS_MESSAGE).alias("stats"),
-        F.json_object_keys(body).alias("present"),
-        (F.size(values) == 1).alias("is_json"),
-        F.is_valid_utf8(body).alias("is_utf8"),
-        # A field of a wrong type reads null in ``stats``, but not here.
-        F.from_json(body, T.MapType(T.StringType(), T.StringType())).alias("texts"),
+    read = with_once(
+        messages,
+        {
+            "stats": F.from_json(body, STATS_MESSAGE),
+            # A field of a wrong type reads null in ``stats``, but not here.
+            "_texts": F.from_json(body, T.MapType(T.StringType(), T.StringType())),
+            "_is_json": F.size(values) == 1,
+        },
     )
-    read = messages.select("*", once(seen).alias("seen"))
     mistyped = [
-        F.col("seen.texts")[field.name].isNotNull() & F.col(f"seen.stats.{field.name}").isNull()
+        F.col("_texts")[field.name].isNotNull() & F.col(f"stats.{field.name}").isNull()
         for field in STATS_MESSAGE.fields
     ]
     disposition = (
-        F.when(~F.col("seen.is_utf8"), REQUEUE)
-        .when(~F.coalesce("seen.is_json", F.lit(False)), REJECT)
-        .when(F.col("seen.present").isNull() | F.coalesce(F.greatest(*mistyped), F.lit(False)), REQUEUE)
+        F.when(~F.is_valid_utf8(body), REQUEUE)
+        .when(~F.coalesce("_is_json", F.lit(False)), REJECT)
+        .when(F.col("_texts").isNull() | F.coalesce(F.greatest(*mistyped), F.lit(False)), REQUEUE)
         .otherwise(ACK)
     )
-    return read.select(
-        *messages.columns, "seen.stats", "seen.present", disposition.alias("disposition")
-    )
+    present = {"present": F.map_keys("_texts"), "disposition": disposition}
+    return with_once(read, present).drop("_texts", "_is_json")
 
 
 def rejected(read: DataFrame) -> DataFrame:
