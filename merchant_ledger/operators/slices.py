@@ -3,9 +3,9 @@
 `lag` and running sums need the rows of a group in order, so a window puts a whole
 group in one task. One merchant, or one order, may hold a third of all rows. Here the
 events are cut into slices: ranges of the sequence with about the same number of rows.
-A group too large for a task is then handled slice by slice, and what a slice needs of
-the earlier ones (the last order state, the totals so far) is a small pre-aggregated
-table with one row per group and slice.
+A group too large for a task is then handled slice by slice. What a slice needs of the
+earlier ones (the last order state, the totals so far) is put before it as one more row,
+the carry row. It sorts first and is dropped after the window.
 
 Results never depend on where the cuts are, only the balance does.
 """
@@ -15,7 +15,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from merchant_ledger.schemas import MERCHANT, ORDER
@@ -23,12 +23,16 @@ from merchant_ledger.session import shared_folder
 
 # A window task sorts and spills this many narrow rows without trouble.
 ROWS_PER_GROUP = 4_000_000
+# A group above that is cut finer still, to keep all cores busy.
+SLICES_PER_GROUP = 8
 # Bounds both the number of slices and the number of hot keys (rows / limit).
 MAX_SLICES = 20_000
 
-ORDER_KEYS = [MERCHANT, ORDER, "is_snapshot"]
+# The key with the most values first: rows are told apart sooner when they are sorted.
+ORDER_KEYS = [ORDER, MERCHANT, "is_snapshot"]
 ORDER_SLICE = "order_slice"
 MERCHANT_SLICE = "merchant_slice"
+CARRY = "is_carry"
 # Slice of all rows of a group that needs no cutting.
 WHOLE = -1
 
@@ -48,42 +52,46 @@ def slice_if_hot(
 
     The checks are a row count (parquet metadata) and, for large inputs only, a count
     per merchant. An order is never larger than its merchant, so orders are counted
-    only when some merchant is hot.
+    only when some merchant is hot, and only those of hot merchants. Events that are dear
+    to compute (parsed JSON) are better written to a table first.
     """
     rows = events.count()
     if rows <= rows_per_group:
         return events
+    largest = events.groupBy(MERCHANT).count().agg(F.max("count")).first()[0]
     limit = max(rows_per_group, math.ceil(rows / MAX_SLICES))
-    if _larger_than(events, [MERCHANT], limit).isEmpty():
+    if largest <= limit:
         return events
-    sliced = _even_slices(events, seq, math.ceil(rows / limit))
-    sliced = _slice_hot(sliced, [MERCHANT], MERCHANT_SLICE, limit)
+    slices = min(MAX_SLICES, math.ceil(rows * SLICES_PER_GROUP / limit))
+    sliced = _even_slices(events, seq, slices)
+    sliced = _slice_hot(sliced, sliced, [MERCHANT], MERCHANT_SLICE, limit)
     if by_order:
-        sliced = _slice_hot(sliced, ORDER_KEYS, ORDER_SLICE, limit)
+        of_hot = sliced.filter(F.col(MERCHANT_SLICE) != WHOLE)
+        sliced = _slice_hot(sliced, of_hot, ORDER_KEYS, ORDER_SLICE, limit)
     return sliced.drop("slice")
 
 
-def _larger_than(events: DataFrame, keys: list[str], limit: int) -> DataFrame:
-    """Keys with more than ``limit`` rows: at most rows / limit of them."""
-    return events.groupBy(*keys).count().filter(F.col("count") > limit).drop("count")
+def written(rows: DataFrame, purpose: str) -> DataFrame:
+    """The rows as a table in the shared folder: computed once, safe from lost executors."""
+    folder = shared_folder(rows.sparkSession, purpose)
+    rows.write.parquet(folder)
+    return rows.sparkSession.read.schema(rows.schema).parquet(folder)
 
 
 def _even_slices(events: DataFrame, seq: Sequence[str], slices: int) -> DataFrame:
-    """Number the ranges of a range partitioning. They are written out, because the
-    cuts come from a sample: every later read must see the same ones."""
-    folder = shared_folder(events.sparkSession, "slices")
-    (
-        events.repartitionByRange(slices, *seq)
-        .withColumn("slice", F.spark_partition_id())
-        .write.parquet(folder)
-    )
-    return events.sparkSession.read.parquet(folder)
+    """Number the ranges of a range partitioning. They are written, because the cuts come
+    from a sample: every later read must see the same ones."""
+    ranges = events.repartitionByRange(slices, *seq)
+    return written(ranges.withColumn("slice", F.spark_partition_id()), "slices")
 
 
-def _slice_hot(events: DataFrame, keys: list[str], name: str, limit: int) -> DataFrame:
+def _slice_hot(
+    events: DataFrame, counted: DataFrame, keys: list[str], name: str, limit: int
+) -> DataFrame:
     """Add the slice for rows of hot keys, ``WHOLE`` for all others. The broadcast side
     has at most ``MAX_SLICES`` rows, as each hot key holds over rows / MAX_SLICES rows."""
-    hot = _larger_than(events, keys, limit).alias("hot").withColumn("is_hot", F.lit(True))
+    counts = counted.groupBy(*keys).count()
+    hot = counts.filter(F.col("count") > limit).select(*keys, F.lit(True).alias("is_hot"))
     same_key = [F.col(f"events.{key}").eqNullSafe(F.col(f"hot.{key}")) for key in keys]
     return (
         events.alias("events")
@@ -93,3 +101,19 @@ def _slice_hot(events: DataFrame, keys: list[str], name: str, limit: int) -> Dat
             F.when(F.col("is_hot"), F.col("slice")).otherwise(WHOLE).alias(name),
         )
     )
+
+
+def with_carry(rows: DataFrame, carry: DataFrame) -> DataFrame:
+    """Put the carry rows, which lack most other columns, among the rows."""
+    marked = rows if CARRY in rows.columns else rows.withColumn(CARRY, F.lit(False))
+    return marked.unionByName(carry.withColumn(CARRY, F.lit(True)), allowMissingColumns=True)
+
+
+def without_carry(rows: DataFrame) -> DataFrame:
+    return rows.filter(~F.col(CARRY)).drop(CARRY) if CARRY in rows.columns else rows
+
+
+def in_order(rows: DataFrame, seq: Sequence[str]) -> list[Column]:
+    """The window order: carry rows first, then the sequence."""
+    first = [F.col(CARRY).desc()] if CARRY in rows.columns else []
+    return [*first, *[F.col(name) for name in seq]]

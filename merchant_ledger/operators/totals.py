@@ -3,32 +3,47 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from merchant_ledger.functions.buckets import buckets, derived_amounts, event_type
+from merchant_ledger.functions.buckets import bucket, buckets, derived_amounts, event_type
+from merchant_ledger.functions.once import with_once
 from merchant_ledger.operators.slices import (
     MERCHANT_SLICE,
     ORDER_SLICE,
     ROWS_PER_GROUP,
     WHOLE,
+    in_order,
     is_sliced,
     slice_if_hot,
+    with_carry,
+    without_carry,
+    written,
+)
+from merchant_ledger.operators.transitions import with_deltas
+from merchant_ledger.schemas import (
+    BUCKETS,
+    CANCELLED,
+    DELTAS,
+    MERCHANT,
+    ORDER,
+    REFUNDED,
+    SUCCESS,
 )
-from merchant_ledger.operators.transitions import join_carry, with_deltas
-from merchant_ledger.schemas import BUCKETS, DELTAS, MERCHANT, ORDER
 
 SUMS = dict(zip(BUCKETS, DELTAS))
 
 
 def running_sums(deltas: DataFrame, seq: Sequence[str]) -> DataFrame:
-    """Replace the deltas of each event by its merchant's sums up to that event."""
+    """Replace the deltas of each event by its merchant's sums up to that event. Carry
+    rows among the deltas take part in the sums and are dropped."""
     if not is_sliced(deltas):
-        window = _up_to_here(Window.partitionBy(MERCHANT).orderBy(*seq))
-        sums = {name: F.sum(delta).over(window) for name, delta in SUMS.items()}
-        return deltas.withColumns(sums).drop(*DELTAS)
+        return _summed(deltas, [MERCHANT], seq)
 
+    # Used twice below: for the sums of the slices, and row by row.
+    deltas = written(deltas, "deltas")
     keys = [MERCHANT, MERCHANT_SLICE]
     per_slice = (
         deltas.filter(F.col(MERCHANT_SLICE) != WHOLE)
@@ -40,23 +55,20 @@ def running_sums(deltas: DataFrame, seq: Sequence[str]) -> DataFrame:
         .orderBy(MERCHANT_SLICE)
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    before = per_slice.select(
-        *keys, *[F.sum(delta).over(earlier).alias(f"before_{delta}") for delta in DELTAS]
-    )
-    window = _up_to_here(Window.partitionBy(*keys).orderBy(*seq))
-    sums = {
-        name: F.sum(delta).over(window) + F.coalesce(f"before_{delta}", F.lit(0))
-        for name, delta in SUMS.items()
-    }
-    return (
-        join_carry(deltas, before, keys)
-        .withColumns(sums)
-        .drop(*DELTAS, *[f"before_{delta}" for delta in DELTAS], MERCHANT_SLICE, ORDER_SLICE)
-    )
+    carry = per_slice.select(*keys, *[F.sum(delta).over(earlier).alias(delta) for delta in DELTAS])
+    # The first slice of a merchant has a carry of nulls, which a sum leaves out.
+    rows = with_carry(deltas, carry)
+    return _summed(rows, keys, seq).drop(MERCHANT_SLICE, ORDER_SLICE)
 
 
-def _up_to_here(window):
-    return window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+def _summed(rows: DataFrame, keys: list[str], seq: Sequence[str]) -> DataFrame:
+    window = (
+        Window.partitionBy(*keys)
+        .orderBy(*in_order(rows, seq))
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    sums = {name: F.sum(delta).over(window) for name, delta in SUMS.items()}
+    return without_carry(rows.withColumns(sums)).drop(*DELTAS)
 
 
 def running_totals(
@@ -78,6 +90,32 @@ def finish(totals: DataFrame) -> DataFrame:
     return totals.withColumns({**derived_amounts(), "event_type": event_type()})
 
 
+WHOLE_NUMBERS = ("tinyint", "smallint", "int", "bigint")
+
+
+def position(events: DataFrame, seq: Sequence[str]) -> Column:
+    """The sequence as one orderable value, a number where that is possible: an aggregate
+    that keeps only numbers is hashed, one that keeps structs has to sort its input.
+    """
+    kinds = [dict(events.dtypes)[name] for name in seq]
+    if len(seq) == 1 and kinds[0] in WHOLE_NUMBERS:
+        return F.col(seq[0])
+    if len(seq) != 2 or not kinds[0].startswith("timestamp") or kinds[1] not in WHOLE_NUMBERS:
+        return F.struct(*seq)
+    # Each microsecond has room for every bigint, above and below.
+    high = _micros(events, seq[0]).cast("decimal(18,0)") * F.lit(Decimal(2 * 10**19))
+    return (high + F.col(seq[1])).cast("decimal(38,0)")
+
+
+def _micros(events: DataFrame, name: str) -> Column:
+    is_ntz = dict(events.dtypes)[name] == "timestamp_ntz"
+    if not is_ntz or events.sparkSession.conf.get("spark.sql.session.timeZone") == "UTC":
+        return F.unix_micros(F.col(name).cast("timestamp"))
+    # Without a time zone, and so without its gaps.
+    since = F.col(name) - F.lit("1970-01-01").cast("timestamp_ntz")
+    return (since.cast("interval second").cast("decimal(18,6)") * 1_000_000).cast("bigint")
+
+
 def order_contributions(events: DataFrame, seq: Sequence[str]) -> DataFrame:
     """Per merchant and order, the sum of all its deltas, without a sort or a window.
 
@@ -85,30 +123,44 @@ def order_contributions(events: DataFrame, seq: Sequence[str]) -> DataFrame:
     cancel at the last bucket less the first. Plain aggregates are combined before the
     shuffle, so a hot order or merchant is reduced where it is read.
     """
-    position = F.struct(*seq)
-    change = F.when(~F.col("is_snapshot"), position)  # null positions are not considered
-    amounts = events.withColumns(buckets())
-    refund_cancel = F.struct("refund_amount", "cancel_amount")
-    grouped = amounts.groupBy(MERCHANT, ORDER).agg(
-        F.min_by(refund_cancel, change).alias("first"),
-        F.max_by(F.struct(*BUCKETS), change).alias("last"),
-        *[F.sum(F.when(F.col("is_snapshot"), F.col(b))).alias(f"snap_{b}") for b in BUCKETS],
-        F.max_by("is_snapshot", position).alias("is_snapshot"),
-        F.max(position).alias("position"),
+    change = ~F.col("is_snapshot")
+    # Null positions are not considered.
+    at = with_once(events, {"position": position(events, seq)}).withColumn(
+        "change_position", F.when(change, F.col("position"))
+    )
+    grouped = (
+        at.withColumns(buckets())
+        .groupBy(MERCHANT, ORDER)
+        .agg(
+            F.min_by("state", "change_position").alias("first_state"),
+            F.min_by("amount", "change_position").alias("first_amount"),
+            F.max_by("state", "change_position").alias("last_state"),
+            F.max_by("amount", "change_position").alias("last_amount"),
+            *[F.sum(F.when(~change, F.col(b))).alias(f"snap_{b}") for b in BUCKETS],
+            F.max_by("is_snapshot", "position").alias("is_snapshot"),
+            F.max("position").alias("position"),
+            *[F.max_by(name, "position").alias(name) for name in seq],
+        )
     )
 
-    def amount(name: str, first: bool):
-        value = _zero(f"snap_{name}") + _zero(f"last.{name}")
-        return value - _zero(f"first.{name}") if first else value
+    def amount(code: int, less_first: bool) -> Column:
+        value = bucket(code, F.col("last_state"), F.col("last_amount"))
+        if less_first:
+            value = value - bucket(code, F.col("first_state"), F.col("first_amount"))
+        return value
 
+    sums = {
+        "success_amount": amount(SUCCESS, False),
+        "refund_amount": amount(REFUNDED, True),
+        "cancel_amount": amount(CANCELLED, True),
+    }
     return grouped.select(
         MERCHANT,
         ORDER,
-        amount("success_amount", False).alias("success_amount"),
-        amount("refund_amount", True).alias("refund_amount"),
-        amount("cancel_amount", True).alias("cancel_amount"),
+        *[(_zero(f"snap_{name}") + value).alias(name) for name, value in sums.items()],
         "is_snapshot",
         "position",
+        *seq,
     )
 
 
@@ -146,9 +198,8 @@ def latest_totals(events: DataFrame, seq: Sequence[str]) -> DataFrame:
         .agg(
             *sums,
             F.max_by("is_snapshot", "position").alias("is_snapshot"),
-            F.max("position").alias("position"),
+            *[F.max_by(name, "position").alias(name) for name in seq],
         )
-        .select(MERCHANT, *BUCKETS, "is_snapshot", "position.*")
     )
 
 

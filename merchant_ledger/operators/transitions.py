@@ -8,7 +8,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from merchant_ledger.functions.buckets import bucket
-from merchant_ledger.operators.slices import ORDER_KEYS, ORDER_SLICE, WHOLE, is_sliced
+from merchant_ledger.operators.slices import (
+    ORDER_KEYS,
+    ORDER_SLICE,
+    WHOLE,
+    in_order,
+    is_sliced,
+    with_carry,
+    without_carry,
+)
 from merchant_ledger.schemas import CANCELLED, MERCHANT, ORDER, REFUNDED, SUCCESS
 
 
@@ -24,28 +32,17 @@ def with_previous_state(events: DataFrame, seq: Sequence[str]) -> DataFrame:
         return events.withColumn("prev", F.lag(image).over(window))
 
     keys = [*ORDER_KEYS, ORDER_SLICE]
-    within = F.lag(image).over(Window.partitionBy(*keys).orderBy(*seq))
     last = (
-        events.filter(F.col(ORDER_SLICE) != WHOLE)
+        events.filter((F.col(ORDER_SLICE) != WHOLE) & ~F.col("is_snapshot"))
         .groupBy(*keys)
         .agg(F.max_by(image, F.struct(*seq)).alias("last"))
     )
     by_slice = Window.partitionBy(*ORDER_KEYS).orderBy(ORDER_SLICE)
     before = last.select(*keys, F.lag("last").over(by_slice).alias("before"))
-    joined = join_carry(events, before, keys)
-    return joined.withColumn("prev", F.coalesce(within, "before")).drop("before")
-
-
-def join_carry(rows: DataFrame, carry: DataFrame, keys: list[str]) -> DataFrame:
-    """Left join on keys that may be null. No hint: AQE broadcasts the carry if its
-    measured size allows, else both sides meet on the keys the window needs anyway."""
-    same_key = [F.col(f"rows.{key}").eqNullSafe(F.col(f"carry.{key}")) for key in keys]
-    values = [f"carry.{name}" for name in carry.columns if name not in keys]
-    return (
-        rows.alias("rows")
-        .join(carry.alias("carry"), same_key, "left")
-        .select("rows.*", *values)
-    )
+    carry = before.filter(F.col("before").isNotNull()).select(*keys, "before.*")
+    rows = with_carry(events, carry)
+    window = Window.partitionBy(*keys).orderBy(*in_order(rows, seq))
+    return without_carry(rows.withColumn("prev", F.lag(image).over(window)))
 
 
 def delta_columns() -> dict[str, Column]:

@@ -10,7 +10,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from merchant_ledger.functions.buckets import derived_amounts
-from merchant_ledger.operators.slices import ROWS_PER_GROUP, slice_if_hot
+from merchant_ledger.operators.slices import (
+    ROWS_PER_GROUP,
+    slice_if_hot,
+    with_carry,
+)
 from merchant_ledger.operators.totals import SUMS, finish, running_sums, snapshot_totals
 from merchant_ledger.schemas import BUCKETS, MERCHANT
 from merchant_ledger.streaming.metrics import observed
@@ -45,11 +49,10 @@ class Ledger:
         folder: str,
         seq: Sequence[str],
         sinks: Sequence[Sink] = (),
-        opening: bool = False,
         rows_per_group: int = ROWS_PER_GROUP,
     ):
         self.spark, self.folder, self.seq = spark, folder, list(seq)
-        self.sinks, self.opening, self.rows_per_group = list(sinks), opening, rows_per_group
+        self.sinks, self.rows_per_group = list(sinks), rows_per_group
 
     def _path(self, table: str, batch_id: int | None = None) -> str:
         path = f"{self.folder}/{table}"
@@ -58,26 +61,30 @@ class Ledger:
     def _read(self, table: str, batch_id: int) -> DataFrame:
         return self.spark.read.parquet(self._path(table, batch_id))
 
+    def _read_if_there(self, table: str, batch_id: int) -> DataFrame | None:
+        try:
+            return self._read(table, batch_id)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return None
+
     def _write(self, rows: DataFrame, table: str, batch_id: int) -> None:
         rows.write.mode("overwrite").parquet(self._path(table, batch_id))
 
     def shards(self) -> int:
         """How many groups the order states are spread over: chosen at the first start,
         kept ever after, since the states are stored by group."""
-        path = self._path("settings")
-        try:
-            return self.spark.read.schema("shards int").json(path).first()[0]
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
+        stored = self._read_if_there("settings", 0)
+        if stored is not None:
+            return stored.first().shards
         count = SHARDS_PER_TASK * int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-        self.spark.range(1).select(F.lit(count).alias("shards")).write.json(path)
+        self._write(self.spark.range(1).select(F.lit(count).alias("shards")), "settings", 0)
         return count
 
     def open_with(self, totals: DataFrame) -> None:
         """Totals of a table snapshot, for the stream to go on from."""
         self._write(totals.select(MERCHANT, *BUCKETS), "totals", OPENING)
-        self.opening = True
 
     def apply(self, batch: DataFrame, batch_id: int) -> None:
         """The body of ``foreachBatch``."""
@@ -85,24 +92,27 @@ class Ledger:
         self._write(batch, "deltas", batch_id)
         deltas = self._read("deltas", batch_id)
         sums = deltas.groupBy(MERCHANT).agg(*[F.sum(d).alias(n) for n, d in SUMS.items()])
-        opening = None
-        if batch_id > 0 or self.opening:
-            opening = self._read("totals", batch_id - 1)
-        self._write(self._changelog(deltas, opening), "changelog", batch_id)
+        opening = self._opening(batch_id)
+        touched = None if opening is None else opening.join(sums, MERCHANT, "left_semi")
+        self._write(self._changelog(deltas, touched), "changelog", batch_id)
         self._write(self._closing(sums, opening), "totals", batch_id)
         for sink in self.sinks:
             sink(self._read("changelog", batch_id), batch_id)
 
+    def _opening(self, batch_id: int) -> DataFrame | None:
+        """Totals before the batch. Before the first one there may be none."""
+        if batch_id > 0:
+            return self._read("totals", batch_id - 1)
+        return self._read_if_there("totals", OPENING)
+
     def _changelog(self, deltas: DataFrame, opening: DataFrame | None) -> DataFrame:
-        """Running totals. The opening totals of the batch's merchants take part as rows
-        that sort before all others, so no join with the events is needed."""
+        """Running totals. The opening totals of the batch's merchants take part as carry
+        rows, which sort before all others, so no join with the events is needed."""
         if opening is not None:
-            touched = opening.join(deltas.select(MERCHANT), MERCHANT, "left_semi")
-            rows = touched.select(MERCHANT, *[F.col(n).alias(d) for n, d in SUMS.items()])
-            deltas = deltas.unionByName(rows, allowMissingColumns=True)
+            carry = opening.select(MERCHANT, *[F.col(n).alias(d) for n, d in SUMS.items()])
+            deltas = with_carry(deltas, carry)
         deltas = slice_if_hot(deltas, self.seq, self.rows_per_group, by_order=False)
-        totals = running_sums(deltas, self.seq)
-        return finish(totals.filter(F.col("is_snapshot").isNotNull()))
+        return finish(running_sums(deltas, self.seq))
 
     def _closing(self, sums: DataFrame, opening: DataFrame | None) -> DataFrame:
         if opening is None:

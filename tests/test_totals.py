@@ -1,6 +1,7 @@
 """Running and final totals: worked traces, and random streams against the model."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from merchant_ledger.operators import totals, transitions
 from merchant_ledger.operators.slices import is_sliced, slice_if_hot
@@ -137,3 +138,38 @@ def test_plain_running_totals_shuffle_once(spark):
     assert plan.count("Exchange") <= 1
     executed = df._jdf.queryExecution().executedPlan().toString()
     assert executed.count("Exchange hashpartitioning") == 1
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz"])
+def test_position_keeps_the_order_of_two_columns(spark, zone, kind):
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        times = ["1969-12-31 23:59:59.9", "2024-03-10 01:59:59", "2024-03-10 03:00:00.000001"]
+        times += ["2024-11-03 01:30:00", "2024-11-03 02:30:00"]
+        rows = [(t, i) for t in times for i in (-(2**63), -1, 0, 7, 2**63 - 1)]
+        df = spark.createDataFrame(rows, "t string, id long")
+        df = df.withColumn("ts", df.t.cast(kind))
+        at = df.select("t", "id", totals.position(df, ["ts", "id"]).alias("at"))
+        assert at.schema["at"].dataType.simpleString() == "decimal(38,0)"
+        assert [(r.t, r.id) for r in at.sort("at").collect()] == rows
+        assert at.select("at").distinct().count() == len(rows)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_final_totals_are_hash_aggregates(spark):
+    df = frame(spark, random_events(1, 50))
+    plan = totals.latest_totals(df, ["seq"])._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
+
+
+def test_rows_without_a_sequence_are_kept(spark):
+    events = random_events(9, 300, hot=0.5)
+    df = frame(spark, events)
+    df = df.withColumn("seq", F.when(F.col("seq") > 0, F.col("seq")))
+    for rows_per_group in (20, 10_000):
+        rows = totals.running_totals(df, ["seq"], rows_per_group=rows_per_group).collect()
+        assert len(rows) == len(events)
+        by_seq = {row.seq or 0: tuple(row[name] for name in AMOUNTS) for row in rows}
+        assert [by_seq[i] for i in range(len(events))] == totals_after_each(events)
