@@ -24,7 +24,7 @@ from merchant_ledger.session import shared_folder
 # A window task sorts and spills this many narrow rows without trouble.
 ROWS_PER_GROUP = 4_000_000
 # A group above that is cut finer still, to keep all cores busy.
-SLICES_PER_GROUP = 8
+SLICES_PER_GROUP = 4
 # Bounds both the number of slices and the number of hot keys (rows / limit).
 MAX_SLICES = 20_000
 

@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from merchant_ledger.functions.buckets import bucket, buckets, derived_amounts, event_type
 from merchant_ledger.functions.once import with_once
+from merchant_ledger.operators.sequence import position
 from merchant_ledger.operators.slices import (
     MERCHANT_SLICE,
     ORDER_SLICE,
@@ -90,32 +90,6 @@ def finish(totals: DataFrame) -> DataFrame:
     return totals.withColumns({**derived_amounts(), "event_type": event_type()})
 
 
-WHOLE_NUMBERS = ("tinyint", "smallint", "int", "bigint")
-
-
-def position(events: DataFrame, seq: Sequence[str]) -> Column:
-    """The sequence as one orderable value, a number where that is possible: an aggregate
-    that keeps only numbers is hashed, one that keeps structs has to sort its input.
-    """
-    kinds = [dict(events.dtypes)[name] for name in seq]
-    if len(seq) == 1 and kinds[0] in WHOLE_NUMBERS:
-        return F.col(seq[0])
-    if len(seq) != 2 or not kinds[0].startswith("timestamp") or kinds[1] not in WHOLE_NUMBERS:
-        return F.struct(*seq)
-    # Each microsecond has room for every bigint, above and below.
-    high = _micros(events, seq[0]).cast("decimal(18,0)") * F.lit(Decimal(2 * 10**19))
-    return (high + F.col(seq[1])).cast("decimal(38,0)")
-
-
-def _micros(events: DataFrame, name: str) -> Column:
-    is_ntz = dict(events.dtypes)[name] == "timestamp_ntz"
-    if not is_ntz or events.sparkSession.conf.get("spark.sql.session.timeZone") == "UTC":
-        return F.unix_micros(F.col(name).cast("timestamp"))
-    # Without a time zone, and so without its gaps.
-    since = F.col(name) - F.lit("1970-01-01").cast("timestamp_ntz")
-    return (since.cast("interval second").cast("decimal(18,6)") * 1_000_000).cast("bigint")
-
-
 def order_contributions(events: DataFrame, seq: Sequence[str]) -> DataFrame:
     """Per merchant and order, the sum of all its deltas, without a sort or a window.
 

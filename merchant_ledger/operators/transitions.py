@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from merchant_ledger.functions.buckets import bucket
+from merchant_ledger.functions.once import with_once
+from merchant_ledger.operators.sequence import position
 from merchant_ledger.operators.slices import (
     ORDER_KEYS,
     ORDER_SLICE,
@@ -32,13 +34,11 @@ def with_previous_state(events: DataFrame, seq: Sequence[str]) -> DataFrame:
         return events.withColumn("prev", F.lag(image).over(window))
 
     keys = [*ORDER_KEYS, ORDER_SLICE]
-    last = (
-        events.filter((F.col(ORDER_SLICE) != WHOLE) & ~F.col("is_snapshot"))
-        .groupBy(*keys)
-        .agg(F.max_by(image, F.struct(*seq)).alias("last"))
-    )
+    hot = events.filter((F.col(ORDER_SLICE) != WHOLE) & ~F.col("is_snapshot"))
     by_slice = Window.partitionBy(*ORDER_KEYS).orderBy(ORDER_SLICE)
-    before = last.select(*keys, F.lag("last").over(by_slice).alias("before"))
+    before = _last_states(hot, keys, seq).select(
+        *keys, F.lag(image).over(by_slice).alias("before")
+    )
     carry = before.filter(F.col("before").isNotNull()).select(*keys, "before.*")
     rows = with_carry(events, carry)
     window = Window.partitionBy(*keys).orderBy(*in_order(rows, seq))
@@ -72,11 +72,12 @@ def with_deltas(events: DataFrame, seq: Sequence[str]) -> DataFrame:
     return with_previous_state(events, seq).withColumns(delta_columns()).drop("prev")
 
 
+def _last_states(events: DataFrame, keys: list[str], seq: Sequence[str]) -> DataFrame:
+    at = with_once(events, {"position": position(events, seq)})
+    last = [F.max_by(name, "position").alias(name) for name in ("state", "amount")]
+    return at.groupBy(*keys).agg(*last)
+
+
 def latest_order_states(events: DataFrame, seq: Sequence[str]) -> DataFrame:
     """The state recorded for each order by its last incremental change."""
-    return (
-        events.filter(~F.col("is_snapshot"))
-        .groupBy(MERCHANT, ORDER)
-        .agg(F.max_by(F.struct("state", "amount"), F.struct(*seq)).alias("last"))
-        .select(MERCHANT, ORDER, "last.state", "last.amount")
-    )
+    return _last_states(events.filter(~F.col("is_snapshot")), [MERCHANT, ORDER], seq)

@@ -20,7 +20,7 @@ from merchant_ledger.streaming import replay
 PREFIX = "[ledger]"
 START_MILLIS = 1705276800000  # 2024-01-15 00:00 UTC
 # Small enough for the slices to be used on the smallest test tables.
-TINY_GROUP = 300
+TINY_GROUP = 400
 
 AMOUNTS = ["total_amount", *BUCKETS, "net_amount"]
 RUNNING = ["event_id", MERCHANT, *AMOUNTS, "event_type"]

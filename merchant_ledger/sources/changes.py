@@ -22,9 +22,17 @@ def change_files(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
 
 
-def stream_change_files(spark: SparkSession, path: str, files_per_trigger: int = 16) -> DataFrame:
-    """New files as they arrive. The limit bounds a micro-batch."""
-    return spark.readStream.option("maxFilesPerTrigger", files_per_trigger).text(path)
+def batch_limit(files: int | None = None, size: int = 1 << 30) -> dict[str, str]:
+    """Bounds a micro-batch of a file stream, by number or (by default) total size of the
+    files, and with it the rows one call of the stateful operator gets."""
+    return {"maxFilesPerTrigger": str(files)} if files else {"maxBytesPerTrigger": str(size)}
+
+
+def stream_change_files(
+    spark: SparkSession, path: str, files_per_trigger: int | None = None
+) -> DataFrame:
+    """New files as they arrive."""
+    return spark.readStream.options(**batch_limit(files_per_trigger)).text(path)
 
 
 def kafka_options(

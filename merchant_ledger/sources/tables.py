@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from merchant_ledger.schemas import CANCELLED, REFUNDED, SUCCESS
+from merchant_ledger.sources.changes import batch_limit
 
 SEQ = ["ts", "event_id"]
 SNAPSHOT_END = "2024-01-10"
@@ -22,11 +23,10 @@ def read_events(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.schema(EVENTS_SCHEMA).parquet(f"{folder}/events.parquet")
 
 
-def stream_events(spark: SparkSession, folder: str, files_per_trigger: int = 16) -> DataFrame:
+def stream_events(spark: SparkSession, folder: str) -> DataFrame:
     return (
         spark.readStream.schema(EVENTS_SCHEMA)
-        .option("pathGlobFilter", "events*.parquet")
-        .option("maxFilesPerTrigger", files_per_trigger)
+        .options(**batch_limit(), pathGlobFilter="events*.parquet")
         .parquet(folder)
     )
 

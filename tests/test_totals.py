@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from merchant_ledger.operators import totals, transitions
+from merchant_ledger.operators import sequence, totals, transitions
 from merchant_ledger.operators.slices import is_sliced, slice_if_hot
 from model import random_events, totals_after_each
 
@@ -150,7 +150,7 @@ def test_position_keeps_the_order_of_two_columns(spark, zone, kind):
         rows = [(t, i) for t in times for i in (-(2**63), -1, 0, 7, 2**63 - 1)]
         df = spark.createDataFrame(rows, "t string, id long")
         df = df.withColumn("ts", df.t.cast(kind))
-        at = df.select("t", "id", totals.position(df, ["ts", "id"]).alias("at"))
+        at = df.select("t", "id", sequence.position(df, ["ts", "id"]).alias("at"))
         assert at.schema["at"].dataType.simpleString() == "decimal(38,0)"
         assert [(r.t, r.id) for r in at.sort("at").collect()] == rows
         assert at.select("at").distinct().count() == len(rows)
