@@ -23,31 +23,28 @@ def read_messages(messages: DataFrame, value: str = "value") -> DataFrame:
     ``value`` is text or UTF-8 bytes. Works on batch and streaming frames alike.
     """
     body = F.col(value).cast("string")
-    # Also numbers, texts and lists are JSON: these are read for their syntax only, as a
-    # list, so that text after the value is not ignored.
+    # Read as a list, so that text after the message is not ignored.
     listed = F.concat(F.lit("["), body, F.lit("]"))
-    values = F.from_json(listed, T.ArrayType(T.StringType()))
-    read = with_once(
-        messages,
-        {
-            "stats": F.from_json(body, STATS_MESSAGE),
-            # A field of a wrong type reads null in ``stats``, but not here.
-            "_texts": F.from_json(body, T.MapType(T.StringType(), T.StringType())),
-            "_is_json": F.size(values) == 1,
-        },
-    )
+    objects = F.from_json(listed, T.ArrayType(T.MapType(T.StringType(), T.StringType())))
+    read = with_once(messages, {"_objects": objects, "stats": F.from_json(body, STATS_MESSAGE)})
+    # A field of a wrong type reads null in ``stats``, but not here.
+    texts = F.when(F.size("_objects") == 1, F.get("_objects", F.lit(0)))
+    read = read.withColumn("_texts", texts)
+    # Numbers, texts and lists are JSON too.
+    other_json = F.size(F.from_json(listed, T.ArrayType(T.StringType()))) == 1
     mistyped = [
         F.col("_texts")[field.name].isNotNull() & F.col(f"stats.{field.name}").isNull()
         for field in STATS_MESSAGE.fields
     ]
     disposition = (
         F.when(~F.is_valid_utf8(body), REQUEUE)
-        .when(~F.coalesce("_is_json", F.lit(False)), REJECT)
-        .when(F.col("_texts").isNull() | F.coalesce(F.greatest(*mistyped), F.lit(False)), REQUEUE)
-        .otherwise(ACK)
+        .when(F.coalesce(F.greatest(*mistyped), F.lit(False)), REQUEUE)
+        .when(F.col("_texts").isNotNull(), ACK)
+        .when(other_json, REQUEUE)
+        .otherwise(REJECT)
     )
     present = {"present": F.map_keys("_texts"), "disposition": disposition}
-    return with_once(read, present).drop("_texts", "_is_json")
+    return with_once(read, present).drop("_objects", "_texts")
 
 
 def rejected(read: DataFrame) -> DataFrame:
