@@ -82,7 +82,7 @@ def change_columns(snapshot_by: str = "source_flag") -> dict[str, Column]:
 
 def has_merchant() -> Column:
     """Null and empty merchant numbers are discarded. A blank one is kept."""
-    return F.col("mch_no").isNotNull() & (F.col("mch_no") != "")
+    return F.coalesce(F.col("mch_no") != "", F.lit(False))
 
 
 def is_mistyped(name: str) -> Column:
@@ -134,9 +134,13 @@ def quarantined(records: DataFrame) -> DataFrame:
     return records.filter(F.col("bad_reason").isNotNull())
 
 
+def is_discarded() -> Column:
+    return F.col("bad_reason").isNull() & ~has_merchant()
+
+
 def discarded(records: DataFrame) -> DataFrame:
     """Well-formed events without a merchant number."""
-    return records.filter(F.col("bad_reason").isNull() & ~F.coalesce(has_merchant(), F.lit(False)))
+    return records.filter(is_discarded())
 
 
 def select_table(records: DataFrame, db: str, table: str) -> DataFrame:

@@ -2,18 +2,33 @@
 
 from __future__ import annotations
 
+from collections import Counter
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQueryListener
 
-NAME = "ledger"
+from merchant_ledger.operators.parsing import is_discarded
+
+EVENTS = "ledger_events"
+RECORDS = "ledger_records"
+
+
+def observed_records(records: DataFrame) -> DataFrame:
+    """Count the records of ``classified`` that will not become events. Use it before
+    ``good_changes``."""
+    return records.observe(
+        RECORDS,
+        F.count_if(F.col("bad_reason").isNotNull()).alias("bad_records_total"),
+        F.count_if(is_discarded()).alias("discarded_events_total"),
+    )
 
 
 def observed(deltas: DataFrame) -> DataFrame:
     """Count events as they pass, at no cost of a second pass."""
     snapshot = F.col("is_snapshot")
     return deltas.observe(
-        NAME,
+        EVENTS,
         F.count_if(snapshot).alias("snapshot_events_total"),
         F.count_if(~snapshot).alias("incremental_events_total"),
         F.count(F.lit(1)).alias("output_records_total"),
@@ -27,11 +42,7 @@ class EventCounters(StreamingQueryListener):
     """
 
     def __init__(self) -> None:
-        self.counts = {
-            "snapshot_events_total": 0,
-            "incremental_events_total": 0,
-            "output_records_total": 0,
-        }
+        self.counts: Counter[str] = Counter()
         self.state_rows = 0
 
     def onQueryStarted(self, event) -> None: ...
@@ -44,9 +55,8 @@ class EventCounters(StreamingQueryListener):
         self.add(event.progress)
 
     def add(self, progress) -> None:
-        row = progress.observedMetrics.get(NAME)
-        if row is not None:
-            for name in self.counts:
-                self.counts[name] += row[name]
+        for name in (EVENTS, RECORDS):
+            if name in progress.observedMetrics:
+                self.counts.update(progress.observedMetrics[name].asDict())
         for operator in progress.stateOperators:
             self.state_rows = operator.numRowsTotal

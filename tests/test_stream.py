@@ -1,6 +1,7 @@
 """The stream equals the model, also after a stop, a failure, and a hand-over."""
 
 import json
+import time
 import uuid
 
 import pytest
@@ -8,7 +9,7 @@ import pytest
 from merchant_ledger.operators import parsing, totals
 from merchant_ledger.sources import changes
 from merchant_ledger.streaming.ledger import Ledger, hand_over, run_for, start
-from merchant_ledger.streaming.metrics import EventCounters
+from merchant_ledger.streaming.metrics import EventCounters, observed_records
 from model import random_events, totals_after_each
 
 AMOUNTS = ["total_amount", "success_amount", "refund_amount", "cancel_amount", "net_amount"]
@@ -31,7 +32,7 @@ def write_changes(folder, events, start_at=0, name=None):
 
 def stream_of(spark, folder, files_per_trigger=1):
     lines = changes.stream_change_files(spark, str(folder), files_per_trigger)
-    good = parsing.good_changes(parsing.classified(lines))
+    good = parsing.good_changes(observed_records(parsing.classified(lines)))
     keep = ["mch_no", "order_id", "state", "amount", "is_snapshot", "ts_ms", *SEQ]
     return good.select(*keep)
 
@@ -69,6 +70,8 @@ def test_batches_and_restart(spark, place):
         "snapshot_events_total": snapshots,
         "incremental_events_total": 100 - snapshots,
         "output_records_total": 100,
+        "bad_records_total": 0,
+        "discarded_events_total": 0,
     }
     assert counters.state_rows == len({e[:2] for e in events[:200] if not e[4]})
 
@@ -127,13 +130,26 @@ def test_bad_record_stops_the_stream(spark, place):
 
 
 def test_run_for_stops_an_endless_query(spark, place):
-    write_changes(place / "in", random_events(15, 20))
+    events = [*random_events(15, 20, snapshot_share=0), ("", "O1", 2, 5, False)]
+    write_changes(place / "in", events)
     ledger = Ledger(spark, str(place / "out"), SEQ)
-    query = start(stream_of(spark, place / "in"), ledger, str(place / "checkpoint"))
-    query.processAllAvailable()
-    run_for(query, 1)
-    assert not query.isActive
-    assert ledger.changelog().count() == 20
+    counters = EventCounters()
+    spark.streams.addListener(counters)
+    try:
+        query = start(stream_of(spark, place / "in"), ledger, str(place / "checkpoint"))
+        query.processAllAvailable()
+        run_for(query, 1)
+        assert not query.isActive
+        assert ledger.changelog().count() == 20
+        for _ in range(100):
+            if counters.counts["output_records_total"]:
+                break
+            time.sleep(0.1)
+    finally:
+        spark.streams.removeListener(counters)
+    assert counters.counts["incremental_events_total"] == 20
+    assert counters.counts["discarded_events_total"] == 1
+    assert counters.counts["bad_records_total"] == 0
 
 
 def test_stream_equals_batch(spark, place):
