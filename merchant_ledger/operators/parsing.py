@@ -144,9 +144,12 @@ def discarded(records: DataFrame) -> DataFrame:
 
 
 def select_table(records: DataFrame, db: str, table: str) -> DataFrame:
-    return records.filter((F.col("db") == db) & (F.col("table") == table))
+    """Drop records of other tables. One that names no table stays: an unreadable record
+    must fail the job or reach the quarantine, not vanish here."""
+    chosen = (F.col("db") == db) & (F.col("table") == table)
+    return records.filter(F.coalesce(chosen, F.lit(True)))
 
 
 def start_from(records: DataFrame, millis: int) -> DataFrame:
-    """Events written at or after a point in time."""
-    return records.filter(F.col("ts_ms") >= millis)
+    """Drop events written before a point in time. One without a time stays."""
+    return records.filter(F.coalesce(F.col("ts_ms") >= millis, F.lit(True)))

@@ -149,6 +149,14 @@ def test_table_and_start(spark):
     assert [r.id for r in parsing.start_from(chosen, 11).collect()] == [3]
 
 
+def test_unreadable_records_pass_the_table_and_time_filters(spark):
+    values = ["nope", envelope(source=None), envelope(source={"db": "other"})]
+    chosen = parsing.select_table(records(spark, *values), "pay", "pay_order")
+    kept = parsing.start_from(chosen, 11)
+    assert [r.id for r in kept.orderBy("id").collect()] == [0, 1]
+    assert [r.id for r in parsing.quarantined(kept).collect()] == [0]
+
+
 def test_envelope_is_parsed_once(spark):
     df = parsing.good_changes(records(spark, envelope()))
     plan = df._jdf.queryExecution().executedPlan().toString()
