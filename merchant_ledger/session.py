@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -27,13 +26,20 @@ def local_session(cpus: int | str = "*", memory: str = "8g") -> SparkSession:
 
 
 def shared_folder(spark: SparkSession, purpose: str) -> str:
-    """A new folder name below the cluster's shared checkpoint folder.
+    """A new folder name below the folder that all executors share.
 
-    Only a local session without such a setting gets a folder of its own.
+    That is the one in ``spark.checkpoint.dir``; where it is unset, the warehouse, which is
+    shared too. Nothing is ever written to a folder of one machine's own on a cluster.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.conf.get("spark.master").startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.gettempdir()
-    return f"{root.rstrip('/')}/merchant-ledger/{purpose}-{uuid.uuid4().hex}"
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    folder = f"{root.rstrip('/')}/merchant-ledger/{spark.sparkContext.applicationId}/{purpose}"
+    return f"{folder}-{uuid.uuid4().hex}"
+
+
+def clean_up(spark: SparkSession) -> None:
+    """Remove all that this application has written to shared folders.
+
+    Frames that read from there can't be used any more; the ledger of a replay goes too.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(os.path.dirname(shared_folder(spark, "any")))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
