@@ -60,6 +60,15 @@ def shingle_sets(texts: list[str], size: int = SHINGLE) -> list[np.ndarray]:
     return [each.view(np.int64) for each in found]
 
 
+def parities(tokens: np.ndarray) -> list[int]:
+    """512 bits in eight numbers: of each class of shingles, whether their number is odd.
+
+    Two sets differ in at least as many shingles as their parities differ in bits.
+    """
+    odd = np.bincount(tokens.view(np.uint64) >> np.uint64(55), minlength=512).astype(np.uint8) & 1
+    return np.packbits(odd).view(np.int64).tolist()
+
+
 def digest(tokens: np.ndarray) -> bytes:
     return hashlib.blake2b(tokens.tobytes(), digest_size=16).digest()
 
@@ -137,15 +146,17 @@ def _tokens(docs: DataFrame, survivors: DataFrame, size: int) -> DataFrame:
                 "cid": frame["cid"].values[same],
                 "n": frame["n"].values[same],
                 "tokens": [s for s, ok in zip(sets, same) if ok],
+                "odd": [parities(s) for s, ok in zip(sets, same) if ok],
             })
 
-    rehashed = texts.mapInPandas(made, "cid bigint, n bigint, tokens array<bigint>")
+    rehashed = texts.mapInPandas(made, "cid bigint, n bigint, tokens array<bigint>, odd array<bigint>")
     # Repeated rows of one document give the same class twice; one is enough.
-    return rehashed.groupBy("cid", "n").agg(F.first("tokens").alias("tokens"))
+    once = rehashed.groupBy("cid", "n").agg(F.first("tokens").alias("tokens"), F.first("odd").alias("odd"))
+    return once.withColumn("odd", F.struct(*[F.col("odd")[i].alias(f"b{i}") for i in range(8)]))
 
 
 def _signatures(tokens: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
-    """(cid, n, own, tokens) of classes that can link, and their (sig, cid, n, own).
+    """(cid, n, tokens) of classes that can link, and their lists (sig, cid, n, own, odd).
 
     ``own`` counts the shingles that no other surviving class has. A class with more of them
     than a partner may lack is out. The rest of a set is ordered from rare to frequent; two
@@ -161,11 +172,12 @@ def _signatures(tokens: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
         known.groupBy("cid", "n").agg(F.count(F.lit(1)).alias("shared"))
         .select("cid", (F.col("n") - F.col("shared")).alias("own"), "n")
         .where(F.col("own") <= spare)
+        .join(tokens.select("cid", "odd"), "cid")
     )
     alive = materialize(alive, "join-alive")
     rank = F.row_number().over(Window.partitionBy("cid").orderBy("df", "h"))
     prefix = (
-        known.join(alive.drop("n"), "cid")
+        known.join(alive.drop("n", "odd"), "cid")
         .withColumn("rank", rank)
         .where(F.col("rank") <= spare + CLASSES + 1 - F.col("own"))
     )
@@ -182,12 +194,15 @@ def _signatures(tokens: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
         "hs", lambda a, i: F.transform(F.slice("hs", i + 2, F.size("hs")), lambda b: F.struct(a.alias("a"), b.alias("b")))
     )
     pairs = classes.select(F.explode(F.flatten(later)).alias("sig"), "cid", "n", "own")
-    return alive.join(tokens.select("cid", "tokens"), "cid"), single.unionByName(pairs)
+    lists = single.unionByName(pairs).join(alive.select("cid", "odd"), "cid")
+    return alive.select("cid", "n").join(tokens.select("cid", "tokens"), "cid"), lists
 
 
 def _feasible(percent: int) -> Column:
-    """Whether two sets can link by their sizes and the shingles that only they have."""
-    most = F.least(F.col("n") - F.col("own"), F.col("p.n") - F.col("p.own"))
+    """Whether two sets can link by their sizes, what only they have, and their parities."""
+    differ = sum(F.bit_count(F.col(f"odd.b{i}").bitwiseXOR(F.col(f"p.odd.b{i}"))) for i in range(8))
+    both = F.floor((F.col("n") + F.col("p.n") - differ) / 2)
+    most = F.least(F.col("n") - F.col("own"), F.col("p.n") - F.col("p.own"), both)
     return 100 * most >= percent * (F.col("n") + F.col("p.n") - most)
 
 
@@ -205,8 +220,8 @@ def links(docs: DataFrame, classes: DataFrame, size: int, percent: int) -> DataF
     In each list of an index entry, a few pivots are compared with all that are not yet
     connected with them: first the one with the fewest shingles of its own, then those
     outside the list's largest component, and more of them in each round. A list is done
-    when all in it is connected or every pair was compared; so no link between components
-    is missed, and a list of near copies of one text costs little more than its length.
+    when all in it is connected or all outside the largest component were pivots; so no
+    link between components is missed, and a list of near copies of one text costs little more than its length.
     """
     survivors = materialize(_survivors(classes, percent), "join-survivors")
     tokens = materialize(_tokens(docs, survivors, size), "join-tokens")
@@ -214,7 +229,7 @@ def links(docs: DataFrame, classes: DataFrame, size: int, percent: int) -> DataF
     sets = materialize(sets, "join-sets")
     lists = materialize(lists, "join-lists")
     hubs = lists.groupBy("sig").agg(
-        F.count(F.lit(1)).alias("members"), F.min(F.struct("own", "cid", "n")).alias("p")
+        F.count(F.lit(1)).alias("members"), F.min(F.struct("own", "cid", "n", "odd")).alias("p")
     ).where("members > 1")
     lists = materialize(lists.join(hubs.select("sig", "members"), "sig"), "join-lists")
     pairs = (
@@ -231,16 +246,18 @@ def links(docs: DataFrame, classes: DataFrame, size: int, percent: int) -> DataF
             "root", F.coalesce("root", "cid")
         )
         parts = named.groupBy("sig", "root").agg(F.count(F.lit(1)).alias("part"))
-        open_lists = parts.groupBy("sig").count().where("count > 1").select("sig")
+        open_lists = parts.groupBy("sig").agg(
+            F.count(F.lit(1)).alias("roots"), (F.sum("part") - F.max("part")).alias("outside")
+        ).where("roots > 1").drop("roots")
         open_members = materialize(
             named.join(open_lists, "sig").join(parts, ["sig", "root"]), "join-open"
         )
-        largest = open_members.agg(F.max("members")).first()[0]
-        if not largest:
+        outside = open_members.agg(F.max("outside")).first()[0]
+        if not outside:
             return found
         first = F.row_number().over(Window.partitionBy("sig").orderBy("part", "own", "cid"))
         chosen = open_members.withColumn("turn", first).where(F.col("turn") <= pivots)
-        chosen = chosen.select("sig", F.struct("cid", "n", "own", "root").alias("p"))
+        chosen = chosen.select("sig", F.struct("cid", "n", "own", "odd", "root").alias("p"))
         pairs = (
             open_members.join(chosen, "sig")
             .where((F.col("root") != F.col("p.root")) & _feasible(percent))
@@ -248,9 +265,9 @@ def links(docs: DataFrame, classes: DataFrame, size: int, percent: int) -> DataF
             .distinct()
         )
         found = materialize(found.union(_verified(pairs, sets, percent)), "join-links")
-        if largest <= pivots:
+        if outside <= pivots:
             return found
-        pivots *= 8
+        pivots *= 7
 
 
 def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
