@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from merchant_ledger.llm import (
+    language_model,
     mixing,
     ngram_join,
     packing,
@@ -13,6 +14,7 @@ from merchant_ledger.llm import (
     quality_rules,
     secret_scan,
     url_filters,
+    vector_search,
 )
 
 
@@ -46,6 +48,10 @@ def op3_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secret_scan.op3(documents(spark, folder))
 
 
+def op5_vector_search(spark: SparkSession, folder: str) -> DataFrame:
+    return vector_search.op5(spark.read.parquet(f"{folder}/embeddings.parquet"))
+
+
 def op6_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return quality_classifier.op6(documents(spark, folder), spark.read.parquet(f"{folder}/labels.parquet"))
 
@@ -54,6 +60,10 @@ def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.op8(documents(spark, folder))
 
 
+def op9_language_model(spark: SparkSession, folder: str) -> DataFrame:
+    return language_model.op9(documents(spark, folder))
+
+
 def op10_url_filters(spark: SparkSession, folder: str) -> DataFrame:
     return url_filters.op10(spark.read.parquet(f"{folder}/pages.parquet"))
 
@@ -65,9 +75,11 @@ QUERIES = {
         op2_deobfuscated_pii,
         op3_secret_scan,
         op4_pack_sequences,
+        op5_vector_search,
         op6_quality_classifier,
         op7_ngram_join,
         op8_quality_rules,
+        op9_language_model,
         op10_url_filters,
     )
 }
