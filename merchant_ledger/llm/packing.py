@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import base64
 import re
 import zlib
-from array import array
 from collections.abc import Iterator
+from dataclasses import dataclass
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,49 +17,47 @@ from merchant_ledger.llm.common import materialize, rank_within
 
 CAPACITY = 1024
 END = b"\x00\x00\x00\x00"
-#: A worker forgets its words beyond so many, and never keeps longer ones.
-MOST_WORDS = 1_000_000
-LONGEST_WORD = 64
+#: Longer runs without white space go to an encoder whose time does not grow with their square.
+LONGEST_RUN = re.compile(r"\S{2000}")
 
 
-class Tokenizer:
-    """Ids of texts as little-endian 32-bit integers.
+@dataclass(frozen=True)
+class Vocabulary:
+    """Files of one byte-level vocabulary: for tokenizers, and as ranks with their pattern."""
+
+    tokenizer: str
+    ranks: str
+    pattern: str
 
-    The vocabulary never joins text across a space that stands before a visible character,
-    so a text is cut there, and each piece is looked up or encoded once. Where white space
-    stands beside such a space, a text is encoded whole.
-    """
 
-    def __init__(self, vocabulary: str):
-        from tokenizers import Tokenizer as Vocabulary
+class Encoder:
+    """Ids of texts as little-endian 32-bit integers; strings of special tokens are text.
 
-        self.vocabulary = Vocabulary.from_file(vocabulary)
-        self.vocabulary.encode_special_tokens = True
-        self.known: dict[str, bytes] = {}
+    The ids are those of the vocabulary's tokenizer. The encoder over the ranks gives the
+    same ids in a quarter of the time, unless a text has very long words.
+    """
 
-    def encode(self, text: str) -> bytes:
-        return array("I", self.vocabulary.encode(text, add_special_tokens=False).ids).tobytes()
+    def __init__(self, vocabulary: Vocabulary):
+        import tiktoken
+        from tokenizers import Tokenizer
+
+        with open(vocabulary.ranks, "rb") as lines:
+            ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
+        self.fast = tiktoken.Encoding(
+            "ranks", pat_str=vocabulary.pattern, mergeable_ranks=ranks, special_tokens={}
+        )
+        self.whole = Tokenizer.from_file(vocabulary.tokenizer)
+        self.whole.encode_special_tokens = True
 
     def __call__(self, text: str) -> bytes:
-        if not text:
-            return b""
-        if re.search(r" (?:\s|$)|\s ", text):
-            first, *rest = re.split(r"(?= \S)", text)
+        if LONGEST_RUN.search(text):
+            ids = self.whole.encode(text, add_special_tokens=False).ids
         else:
-            first, *rest = text.split(" ")
-            rest = [" " + piece for piece in rest]
-        known = self.known
-        for piece in {*rest} - known.keys():
-            known[piece] = self.encode(piece)
-        ids = self.encode(first) + b"".join(map(known.__getitem__, rest))
-        if len(known) > MOST_WORDS:
-            known.clear()
-        for piece in [piece for piece in {*rest} if len(piece) > LONGEST_WORD]:
-            known.pop(piece, None)
-        return ids
-
-
-def token_pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY) -> DataFrame:
+            ids = self.fast.encode_ordinary(text)
+        return np.array(ids, dtype="<u4").tobytes()
+
+
+def token_pieces(docs: DataFrame, vocabulary: Vocabulary, capacity: int = CAPACITY) -> DataFrame:
     """(doc_id, doc_tokens, pieces, parts): each document's ids, cut at multiples of ``capacity``.
 
     ``pieces`` has (start, length, ids_crc32). ``parts`` has the last piece, if it is short,
@@ -66,7 +66,7 @@ def token_pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY) ->
     """
 
     def tokenized(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode = Tokenizer(vocabulary)
+        encode = Encoder(vocabulary)
 
         def cut(ids: bytes, start: int, length: int) -> tuple[int, int, int]:
             return start, length, zlib.crc32(ids[4 * start : 4 * (start + length)])
@@ -162,7 +162,7 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> tuple[list[tuple],
     return places, splits
 
 
-def pack(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY) -> DataFrame:
+def pack(docs: DataFrame, vocabulary: Vocabulary, capacity: int = CAPACITY) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
     Documents are tokenized once, with a row per document written to the shared folder. How

@@ -26,10 +26,10 @@ def op1_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.op1(documents(spark, folder))
 
 
-def vocabulary() -> str:
-    import public_tokenizers
+def vocabulary() -> packing.Vocabulary:
+    import public_tokenizers as files
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return packing.Vocabulary(files.path("byte_bpe_50k.json"), files.path("byte_bpe_50k.tiktoken"), files.PATTERN)
 
 
 def op4_pack_sequences(spark: SparkSession, folder: str) -> DataFrame:
