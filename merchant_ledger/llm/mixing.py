@@ -69,12 +69,18 @@ def mix(docs: DataFrame, weights=WEIGHTS, cap: int = MOST_COPIES, seed: str = SE
     other than doc_id, text and source pass through, but for the names added here.
     """
     ours = ["size", "source_size", "target", "copies", "rank"]
-    docs = docs.drop(*ours, "_source", "_longer", "_text")
-    sized = docs.withColumns({
+    return _taken(_sized(docs.drop(*ours, "_source", "_longer", "_text", "_bucket", "_before", "_inside")), weights, cap, seed)
+
+
+def _sized(docs: DataFrame) -> DataFrame:
+    return docs.withColumns({
         "size": F.size(words(F.col("text"))).cast("long"),
         "_source": F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("n")),
         "_text": F.xxhash64("text"),
     })
+
+
+def _taken(sized: DataFrame, weights, cap: int, seed: str) -> DataFrame:
     lengths = materialize(
         sized.groupBy("_source", "source", "size").agg(F.count(F.lit(1)).alias("_n")), "mix-lengths"
     )
@@ -99,11 +105,11 @@ def mix(docs: DataFrame, weights=WEIGHTS, cap: int = MOST_COPIES, seed: str = SE
     )
 
 
-def mixed(docs: DataFrame, **how) -> DataFrame:
+def mixed(docs: DataFrame, weights=WEIGHTS, cap: int = MOST_COPIES, seed: str = SEED) -> DataFrame:
     """The mix itself: each document as often as it is taken, with the columns of ``docs``."""
-    kept = docs.columns
-    taken = mix(docs, **how).where("copies > 0")
-    return taken.select(*kept, F.explode(F.sequence(F.lit(1), "copies")).alias("_copy")).drop("_copy")
+    rows = _sized(docs.select("doc_id", "text", "source", F.struct("*").alias("_row"))).drop("text")
+    taken = _taken(rows, weights, cap, seed).where("copies > 0")
+    return taken.select("_row", F.explode(F.sequence(F.lit(1), "copies"))).select("_row.*")
 
 
 def op1(docs: DataFrame) -> DataFrame:

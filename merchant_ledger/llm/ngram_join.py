@@ -332,14 +332,13 @@ def without_near_duplicates(docs: DataFrame) -> DataFrame:
     keys = materialize(
         kept.groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("_n"), F.max("n_shingles").alias("_s")), "join-keys"
     )
-    columns = docs.columns
-    hashed = docs.withColumn("_hash", F.xxhash64("text"))
+    hashed = docs.select("doc_id", F.xxhash64("text").alias("_hash"), F.struct("*").alias("_row"))
     chosen = hashed.join(
         keys.withColumnRenamed("doc_id", "_id").withColumnRenamed("text_hash", "_key"),
         F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_key")),
     )
     repeated = keys.where("_n > 1 and _s > 0").limit(1).count() > 0
     if not repeated:
-        return chosen.select(*columns)
-    once = chosen.where("_n = 1 or _s = 0").select(*columns)
-    return once.union(chosen.where("_n > 1 and _s > 0").dropDuplicates(["doc_id", "_hash"]).select(*columns))
+        return chosen.select("_row.*")
+    once = chosen.where("_n = 1 or _s = 0").select("_row.*")
+    return once.union(chosen.where("_n > 1 and _s > 0").dropDuplicates(["doc_id", "_hash"]).select("_row.*"))

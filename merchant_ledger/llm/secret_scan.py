@@ -98,6 +98,8 @@ def labelled_samples(docs: DataFrame, found: DataFrame) -> DataFrame:
     for pattern in (ASSIGN, ACCESS, HEX):
         texts = texts.withColumn("text", F.regexp_replace("text", pattern, " "))
     ordinary = texts.select(F.explode(F.regexp_extract_all("text", F.lit(IDENTIFIER), F.lit(0))).alias("string"))
+    # What is to be judged is not learned from.
+    ordinary = ordinary.where(~(F.col("string").rlike(f"^{CANDIDATE}$") & F.col("string").rlike("[0-9]")))
     return (
         secrets.union(generated).select("string", F.lit(True).alias("random"))
         .union(ordinary.select("string", F.lit(False).alias("random")))
@@ -203,4 +205,6 @@ def redacted(docs: DataFrame, mark: str = "[secret]") -> DataFrame:
     rebuilt = F.aggregate(
         "_all", first, step, lambda s: F.concat(s["out"], F.substring(text, s["at"] + 1, F.length(text)))
     )
-    return scan(docs).withColumn("text", F.when(F.size("_all") > 0, rebuilt).otherwise(text)).select(*docs.columns)
+    rows = scan(docs.select("doc_id", "text", F.struct("*").alias("_row")))
+    new = F.when(F.size("_all") > 0, rebuilt).otherwise(text).alias("text")
+    return rows.select(*[new if c == "text" else F.col("_row")[c].alias(c) for c in docs.columns])
