@@ -106,10 +106,12 @@ def labelled_samples(docs: DataFrame, found: DataFrame) -> DataFrame:
     )
 
 
-def train(samples: DataFrame, smooth: float = 0.5) -> list[float]:
+def train(samples: DataFrame, smooth: float = 10.0) -> list[float]:
     """Log ratios of all transitions between two characters, random over ordinary.
 
-    One row per transition comes to the driver, 68 * 68 at most for each model.
+    A transition's probability is mixed with that of its second character alone, which
+    counts as ``smooth`` transitions. One row per transition comes to the driver, 68 * 68
+    at most for each model.
     """
     pair = F.transform(
         F.sequence(F.lit(1), F.length("string") - 1), lambda i: F.substring(F.col("string"), i, F.lit(2))
@@ -122,9 +124,11 @@ def train(samples: DataFrame, smooth: float = 0.5) -> list[float]:
     seen = {(r["random"], r["pair"]): r["count"] for r in counts}
     logs = {}
     for random in (True, False):
-        for a in ALPHABET:
-            row = [seen.get((random, a + b), 0) + smooth for b in ALPHABET]
-            logs[random, a] = [math.log(n / sum(row)) for n in row]
+        rows = {a: [seen.get((random, a + b), 0) for b in ALPHABET] for a in ALPHABET}
+        single = [sum(column) + 0.1 for column in zip(*rows.values())]
+        for a, row in rows.items():
+            shares = [(n + smooth * k / sum(single)) / (sum(row) + smooth) for n, k in zip(row, single)]
+            logs[random, a] = [math.log(p) for p in shares]
     return [r - o for a in ALPHABET for r, o in zip(logs[True, a], logs[False, a])]
 
 
