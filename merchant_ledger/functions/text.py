@@ -42,6 +42,10 @@ REPORT_LABELS = {
 }
 
 
+# A day inside the years 1 and 9999 in every zone.
+TIME_RANGE = (-62135510400000, 253402214400000)
+
+
 def yuan(fen: Column | str) -> Column:
     """An amount in 1/100 as text with two decimals; null has no currency sign."""
     fen = F.col(fen) if isinstance(fen, str) else fen
@@ -49,10 +53,14 @@ def yuan(fen: Column | str) -> Column:
 
 
 def local_time(millis: Column | str, missing: str = NO_TIME_LOG, zone: str = ZONE) -> Column:
-    """Epoch milliseconds as wall time of ``zone``, whatever the session's zone is."""
+    """Epoch milliseconds as wall time of ``zone``, whatever the session's zone is.
+
+    A number beyond the years 1 to 9999 is no time and is shown as it is.
+    """
     millis = F.col(millis) if isinstance(millis, str) else millis
-    text = F.date_format(_wall_time(millis, zone), TIME_FORMAT)
-    return F.when(millis.isNull(), missing).otherwise(text)
+    is_time = millis.between(*TIME_RANGE)
+    text = F.date_format(_wall_time(F.when(is_time, millis), zone), TIME_FORMAT)
+    return F.when(millis.isNull(), missing).when(is_time, text).otherwise(millis.cast("string"))
 
 
 def _wall_time(millis: Column, zone: str) -> Column:

@@ -75,6 +75,7 @@ def change_columns(snapshot_by: str = "source_flag") -> dict[str, Column]:
         "db": F.col("envelope.source.db"),
         "table": F.col("envelope.source.table"),
         "file": F.col("envelope.source.file"),
+        "file_no": F.regexp_extract("envelope.source.file", r"([0-9]+)$", 1).try_cast("int"),
         "pos": F.col("envelope.source.pos"),
         "row": F.col("envelope.source.row"),
     }

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 WHOLE_NUMBERS = ("tinyint", "smallint", "int", "bigint")
+ROOM = {"int": 2**32, "bigint": 2**64}
 
 
 def position(events: DataFrame, seq: Sequence[str]) -> Column:
@@ -18,6 +19,12 @@ def position(events: DataFrame, seq: Sequence[str]) -> Column:
     kinds = [dict(events.dtypes)[name] for name in seq]
     if len(seq) == 1 and kinds[0] in WHOLE_NUMBERS:
         return F.col(seq[0])
+    if all(kind in ROOM for kind in kinds) and kinds.count("bigint") < 2 and len(seq) <= 3:
+        # Each number has the room of its type; a first one beyond 10**9 overflows and fails.
+        total = F.col(seq[0]).cast("decimal(38,0)")
+        for name, kind in zip(seq[1:], kinds[1:]):
+            total = (total * F.lit(Decimal(ROOM[kind]))).cast("decimal(38,0)") + F.col(name)
+        return total.cast("decimal(38,0)")
     if len(seq) != 2 or not kinds[0].startswith("timestamp") or kinds[1] not in WHOLE_NUMBERS:
         return F.struct(*seq)
     # Each microsecond has room for every bigint, above and below.

@@ -183,7 +183,11 @@ SELECTS: dict[str, str] = {
         '原始数据: ' || {MESSAGE_PAIRS}) AS report FROM running""",
     "stats_json_roundtrip": f"""SELECT event_id, mch_no, {AMOUNTS}, update_time, event_type,
         'ack' AS disposition FROM running""",
-    "bad_messages": """SELECT event_id, '#{' AS start, 'reject' AS disposition FROM running
+    "bad_messages": """SELECT event_id, substr('#{"mchNo":"' || mch_no || '","totalAmount":'
+            || total_amount || ',"successAmount":' || success_amount || ',"refundAmount":'
+            || refund_amount || ',"cancelAmount":' || cancel_amount || ',"netAmount":' || net_amount
+            || ',"updateTime":' || update_time || ',"eventType":"' || event_type || '"}', 1, 100) AS start,
+            'reject' AS disposition FROM running
         WHERE event_id % 10 = 3""",
     "message_dispositions": """SELECT CASE event_id % 10 WHEN 3 THEN 'reject'
         WHEN 7 THEN 'requeue' ELSE 'ack' END AS disposition, count(*) AS messages

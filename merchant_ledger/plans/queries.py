@@ -13,7 +13,7 @@ from merchant_ledger.operators.slices import slice_if_hot
 from merchant_ledger.schemas import BUCKETS, DELTAS, MERCHANT
 from merchant_ledger.sinks.tables import jdbc_rows
 from merchant_ledger.sources import tables
-from merchant_ledger.sources.messages import first_messages, read_messages, rejected
+from merchant_ledger.sources.messages import ACK, first_messages, read_messages, rejected
 from merchant_ledger.sources.tables import SEQ
 from merchant_ledger.streaming import replay
 
@@ -250,7 +250,7 @@ def messages(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def stats_report(spark: SparkSession, folder: str) -> DataFrame:
-    read = read_messages(messages(spark, folder))
+    read = read_messages(messages(spark, folder)).filter(F.col("disposition") == ACK)
     printed_at = F.date_format("ts", "HH:mm:ss")
     return read.select("event_id", msg.report(printed_at).alias("report"))
 
@@ -273,8 +273,7 @@ def damaged_messages(spark: SparkSession, folder: str) -> DataFrame:
 
 def bad_messages(spark: SparkSession, folder: str) -> DataFrame:
     bad = rejected(read_messages(damaged_messages(spark, folder)))
-    # The key order of a message is not fixed, so only the start is compared.
-    return bad.select("event_id", msg.preview("value", 2).alias("start"), "disposition")
+    return bad.select("event_id", msg.preview("value").alias("start"), "disposition")
 
 
 def message_dispositions(spark: SparkSession, folder: str) -> DataFrame:

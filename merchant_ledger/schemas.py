@@ -71,10 +71,11 @@ ENVELOPE = struct(
     ts_ms="long",
 )
 
-# Sequence columns of parsed envelopes: the position in the change log.
-LOG_POSITION = ["file", "pos", "row"]
+# Sequence columns of parsed envelopes: the position in the change log. Files are ordered by
+# the number that their names end with; as text, 999999 would come after 1000000.
+LOG_POSITION = ["file_no", "pos", "row"]
 
-# The message contract: one JSON object per changed total.
+# Fixed values. The message contract: one JSON object per changed total.
 STATS_MESSAGE = struct(
     mchNo="string",
     **_each("long", "totalAmount successAmount refundAmount cancelAmount netAmount updateTime"),

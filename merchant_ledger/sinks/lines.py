@@ -32,11 +32,15 @@ def alert_lines(totals: DataFrame, prefix: str) -> DataFrame:
     return alerts.select(text.alert_line(prefix).alias("value"))
 
 
-def console_sink(prefix: str = text.CONSOLE_PREFIX, rows: int = 20):
-    """A ledger sink for trying things out: shows the first rows of each micro-batch."""
+def console_sink(prefix: str = text.CONSOLE_PREFIX):
+    """A ledger sink that prints every line of each micro-batch.
+
+    Lines come to the driver partition by partition, never all at once.
+    """
 
     def show(totals: DataFrame, batch_id: int) -> None:
-        console_lines(totals, prefix).show(rows, truncate=False)
+        for row in console_lines(totals, prefix).toLocalIterator():
+            print(row["value"])
 
     return show
 

@@ -6,13 +6,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from merchant_ledger.functions.messages import kafka_json
+from merchant_ledger.operators.totals import with_update_time
 from merchant_ledger.schemas import MERCHANT
 
 INSERT_BATCH = 1000
 
 
+def _rows(totals: DataFrame) -> DataFrame:
+    return with_update_time(totals).filter(F.col(MERCHANT).isNotNull())
+
+
 def jdbc_rows(totals: DataFrame) -> DataFrame:
-    return totals.select(MERCHANT, "net_amount", "update_time")
+    """Rows without a merchant are left out; a changelog gets the time at which it is sent."""
+    return _rows(totals).select(MERCHANT, "net_amount", "update_time")
 
 
 def write_jdbc(totals: DataFrame, url: str, table: str, properties: dict[str, str]) -> None:
@@ -27,8 +33,9 @@ def write_jdbc(totals: DataFrame, url: str, table: str, properties: dict[str, st
 
 
 def kafka_rows(totals: DataFrame) -> DataFrame:
-    """Keyed by merchant, so that a topic keeps each merchant's totals in order."""
-    return totals.select(F.col(MERCHANT).alias("key"), kafka_json().alias("value"))
+    """Keyed by merchant: all of a merchant's totals go to one partition of the topic. Their
+    order there is that of the tasks; a reader takes the latest by the times inside."""
+    return _rows(totals).select(F.col(MERCHANT).alias("key"), kafka_json().alias("value"))
 
 
 def write_kafka(totals: DataFrame, servers: str, topic: str) -> None:
@@ -39,3 +46,13 @@ def write_kafka(totals: DataFrame, servers: str, topic: str) -> None:
         .option("topic", topic)
         .save()
     )
+
+
+def jdbc_sink(url: str, table: str, properties: dict[str, str]):
+    """A ledger sink; a repeated micro-batch is appended again."""
+    return lambda totals, batch_id: write_jdbc(totals, url, table, properties)
+
+
+def kafka_sink(servers: str, topic: str):
+    """A ledger sink; a repeated micro-batch is sent again."""
+    return lambda totals, batch_id: write_kafka(totals, servers, topic)

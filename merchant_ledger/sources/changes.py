@@ -11,10 +11,6 @@ from pyspark.sql import functions as F
 # Defaults for reading a table in chunks.
 SPLIT_SIZE = 8192
 FETCH_SIZE = 2048
-POOL_SIZE = 8
-
-# A table read opens at most this many queries in all.
-MAX_CHUNKS = 10_000
 
 
 def change_files(spark: SparkSession, path: str) -> DataFrame:
@@ -74,12 +70,11 @@ def table_options(
     split_size: int = SPLIT_SIZE,
     fetch_size: int = FETCH_SIZE,
     columns: str = "*",
-    max_chunks: int = MAX_CHUNKS,
 ) -> dict[str, str]:
     """Options for reading a table in chunks of ``split_size`` values of its numeric key.
 
-    Chunks are tasks: the number of connections open at a time is that of the executor
-    cores, so give the job ``POOL_SIZE`` of them if the database must be spared.
+    Chunks are tasks, as many as the range of the key needs: the connections open at a time
+    are as many as the executors have cores. For a very large range choose larger chunks.
     """
     chunks = max(1, math.ceil((highest - lowest + 1) / split_size))
     return {
@@ -88,7 +83,7 @@ def table_options(
         "partitionColumn": key,
         "lowerBound": str(lowest),
         "upperBound": str(highest + 1),
-        "numPartitions": str(min(chunks, max_chunks)),
+        "numPartitions": str(chunks),
         "fetchsize": str(fetch_size),
     }
 

@@ -7,9 +7,12 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
-from merchant_ledger.schemas import PAY_ORDER
-from merchant_ledger.operators.totals import snapshot_totals
+from merchant_ledger.functions import text
+from merchant_ledger.operators import parsing
+from merchant_ledger.schemas import LOG_POSITION, PAY_ORDER
+from merchant_ledger.operators.totals import merchant_totals, snapshot_totals
 from merchant_ledger.sinks.queue import Retry, publish, queue_sink, stats_messages
+from merchant_ledger.sinks import lines, tables
 from merchant_ledger.sources import changes
 from test_text import GOLDEN, MESSAGE, NEGATIVE, TOTALS
 
@@ -117,7 +120,7 @@ def test_table_options():
     assert options["fetchsize"] == "2048"
     assert "password" not in options
     huge = changes.table_options("jdbc:x", "t", "id", 1, 10**12)
-    assert huge["numPartitions"] == str(changes.MAX_CHUNKS)
+    assert huge["numPartitions"] == str(-(-(10**12) // 8192))
 
 
 def test_snapshot_of_the_order_table(spark, tmp_path):
@@ -140,3 +143,38 @@ def test_change_files_batch_and_stream_read_the_same(spark, tmp_path):
     stream = changes.stream_change_files(spark, str(tmp_path / "in"))
     assert batch.count() == 2 and stream.isStreaming
     assert batch.schema == stream.schema
+
+
+def test_log_files_are_ordered_by_number(spark):
+    line = (
+        '{"op":"u","before":null,"after":{"pay_order_id":"O","mch_no":"M","amount":%d,"state":%d},'
+        '"source":{"snapshot":"false","file":"log.%s","pos":7,"row":0}}'
+    )
+    lines = [(line % (100, 2, "999999"),), (line % (100, 5, "1000000"),)]
+    parsed = parsing.good_changes(parsing.classified(spark.createDataFrame(lines, "value string")))
+    result = merchant_totals(parsed, LOG_POSITION)
+    assert tuple(result.select("success_amount", "refund_amount").first()) == (0, 100)
+    plan = result._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan
+
+
+def test_changelog_rows_to_kafka_and_jdbc(spark):
+    row = spark.createDataFrame([("M1", 5), (None, 6)], "mch_no string, net_amount long")
+    assert [r["mch_no"] for r in tables.jdbc_rows(row).collect()] == ["M1"]
+    assert [r["key"] for r in tables.kafka_rows(row).collect()] == ["M1"]
+
+
+def test_console_sink_prints_all(spark, capsys):
+    rows = spark.createDataFrame(
+        [(f"M{i}", 1, 1, 0, 0, 1, "INCREMENTAL") for i in range(50)],
+        "mch_no string, total_amount long, success_amount long, refund_amount long, cancel_amount long,"
+        " net_amount long, event_type string",
+    )
+    lines.console_sink()(rows, 0)
+    assert len(capsys.readouterr().out.splitlines()) == 50
+
+
+def test_a_number_that_is_no_time(spark):
+    frame = spark.createDataFrame([(2**63 - 1,), (None,)], "t long")
+    shown = [r[0] for r in frame.select(text.local_time("t", "none")).collect()]
+    assert shown == [str(2**63 - 1), "none"]
