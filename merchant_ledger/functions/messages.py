@@ -14,7 +14,6 @@ from merchant_ledger.functions.text import (
     local_time,
     yuan,
 )
-from merchant_ledger.schemas import STATS_MESSAGE
 
 # Message field -> column of the totals.
 FIELDS = {
@@ -59,24 +58,20 @@ def type_or_fallback() -> Column:
     return _or_fallback("eventType", NO_TYPE)
 
 
-def raw_line() -> Column:
-    """The message with a blank after each comma and colon. Fields beyond the message
-    contract are not shown, the others in the order of the contract."""
-    shown = []
-    for field in STATS_MESSAGE.fields:
-        value = F.col(f"stats.{field.name}")
-        if field.dataType.typeName() == "string":
-            quoted = F.to_json(F.struct(value.alias("v")))
-            text = F.substring(quoted, F.lit(6), F.length(quoted) - 6)  # {"v":...}
-        else:
-            text = value.cast("string")
-        pair = F.concat(F.lit(f'"{field.name}": '), F.when(value.isNull(), "null").otherwise(text))
-        shown.append(F.when(F.array_contains("present", field.name), pair))
-    return F.concat(F.lit("{"), F.concat_ws(", ", *shown), F.lit("}"))
-
-
-def report(printed_at: Column, zone: str = ZONE) -> Column:
-    """The ten lines a reader sees of one message. Needs the columns ``stats`` and
+# A text with its escapes, a separator, or what else stands between blanks.
+TOKEN = r'"(?:[^"\\]++|\\.)*+"|[,:]|[^\s",:]++'
+
+
+def raw_line(value: str = "value") -> Column:
+    """The whole message, fields in its own order, with one blank after each comma and colon
+    and none elsewhere outside of texts."""
+    tokens = F.regexp_extract_all(F.col(value).cast("string"), F.lit(TOKEN), F.lit(0))
+    spaced = F.transform(tokens, lambda t: F.when(t.isin(",", ":"), F.concat(t, F.lit(" "))).otherwise(t))
+    return F.array_join(spaced, "")
+
+
+def report(printed_at: Column, zone: str = ZONE, value: str = "value") -> Column:
+    """The ten lines a reader sees of one message. Needs the columns ``value``, ``stats`` and
     ``present`` of ``read_messages``; ``printed_at`` is the clock text of the head line."""
     label = {name: F.lit(text) for name, text in REPORT_LABELS.items()}
     time = local_time("stats.updateTime", NO_TIME_REPORT, zone)
@@ -87,5 +82,5 @@ def report(printed_at: Column, zone: str = ZONE) -> Column:
         F.concat(label["eventType"], type_or_fallback()),
         F.concat(label["updateTime"], time),
         *[F.concat(label[name], yuan(f"stats.{name}")) for name in AMOUNT_FIELDS],
-        F.concat(label["raw"], raw_line()),
+        F.concat(label["raw"], raw_line(value)),
     )

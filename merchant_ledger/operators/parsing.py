@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from merchant_ledger.functions.once import with_once
+from merchant_ledger.operators.sequence import lacks_position
 from merchant_ledger.schemas import CANCELLED, ENVELOPE, REFUNDED, SUCCESS
 
 # Why a record cannot be used.
@@ -16,6 +19,7 @@ MISTYPED_VALUE = "mistyped_value"
 MISSING_SNAPSHOT_FLAG = "missing_snapshot_flag"
 NULL_STATE = "null_state"
 NULL_AMOUNT = "null_amount"
+MISSING_POSITION = "missing_position"
 
 
 def parse_envelopes(messages: DataFrame, value: str = "value") -> DataFrame:
@@ -91,28 +95,42 @@ def is_mistyped(name: str) -> Column:
     return text.isNotNull() & ~text.isin("", "null") & F.col(name).isNull()
 
 
-def bad_reason() -> Column:
-    """Null for a usable record. An event without merchant is discarded before its
-    state and amount are looked at, so these cannot make it bad."""
+def bad_values() -> Column:
+    """Null for usable values, of change events and of table rows alike. An event without
+    merchant is discarded before its state and amount are looked at, so these cannot make
+    it bad."""
     moves_money = F.col("state").isin(SUCCESS, CANCELLED, REFUNDED)
+    return (
+        F.when(~has_merchant(), F.lit(None))
+        .when(F.col("state").isNull(), NULL_STATE)
+        .when(moves_money & F.col("amount").isNull(), NULL_AMOUNT)
+    )
+
+
+def bad_reason(seq: Sequence[str] = ()) -> Column:
+    """Null for a usable record. ``seq`` names the columns that an event needs for its
+    place in the order; those of the table snapshot need none."""
     return (
         F.when(F.col("envelope").isNull(), NOT_JSON)
         .when(F.col("image").isNull(), MISSING_IMAGE)
         .when(is_mistyped("amount") | is_mistyped("state"), MISTYPED_VALUE)
         .when(F.col("is_snapshot").isNull(), MISSING_SNAPSHOT_FLAG)
-        .when(~has_merchant(), F.lit(None))
-        .when(F.col("state").isNull(), NULL_STATE)
-        .when(moves_money & F.col("amount").isNull(), NULL_AMOUNT)
+        .when(has_merchant() & lacks_position(seq), MISSING_POSITION)
+        .otherwise(bad_values())
     )
 
 
 def classified(
-    messages: DataFrame, value: str = "value", snapshot_by: str = "source_flag"
+    messages: DataFrame,
+    value: str = "value",
+    snapshot_by: str = "source_flag",
+    seq: Sequence[str] = (),
 ) -> DataFrame:
     """Every message with its change columns and ``bad_reason``. Columns of ``messages``
-    (an offset, an arrival time) are passed through."""
+    (an offset, an arrival time) are passed through. With ``seq``, changes that lack one of
+    these columns are bad; without it, the operators that need the order fail on them."""
     parsed = with_once(parse_envelopes(messages, value), change_columns(snapshot_by))
-    return with_once(parsed, {"bad_reason": bad_reason()}).drop("envelope", "image")
+    return with_once(parsed, {"bad_reason": bad_reason(seq)}).drop("envelope", "image")
 
 
 def good_changes(records: DataFrame, on_bad: str = "fail") -> DataFrame:

@@ -32,6 +32,21 @@ def position(events: DataFrame, seq: Sequence[str]) -> Column:
     return (high + F.col(seq[1])).cast("decimal(38,0)")
 
 
+def lacks_position(seq: Sequence[str]) -> Column:
+    """Whether a change (a row that is not of the table snapshot) has no place in the order."""
+    missing = F.lit(False)
+    for name in seq:
+        missing = missing | F.col(name).isNull()
+    return ~F.col("is_snapshot") & missing
+
+
+def with_positions(events: DataFrame, seq: Sequence[str]) -> DataFrame:
+    """The events; the job fails at a change without a place in the order. A guess would
+    give every operator another result."""
+    failure = F.raise_error(F.lit("a change without a position")).cast("boolean")
+    return events.filter(F.when(lacks_position(seq), failure).otherwise(F.lit(True)))
+
+
 def _micros(events: DataFrame, name: str) -> Column:
     is_ntz = dict(events.dtypes)[name] == "timestamp_ntz"
     if not is_ntz or events.sparkSession.conf.get("spark.sql.session.timeZone") == "UTC":

@@ -25,8 +25,8 @@ from merchant_ledger.session import shared_folder
 ROWS_PER_GROUP = 4_000_000
 # A group above that is cut finer still, to keep all cores busy.
 SLICES_PER_GROUP = 4
-# Bounds both the number of slices and the number of hot keys (rows / limit).
-MAX_SLICES = 20_000
+# Hot keys are broadcast up to this many; more are joined by a shuffle.
+BROADCAST_KEYS = 20_000
 
 # The key with the most values first: rows are told apart sooner when they are sorted.
 ORDER_KEYS = [ORDER, MERCHANT, "is_snapshot"]
@@ -59,15 +59,15 @@ def slice_if_hot(
     if rows <= rows_per_group:
         return events
     largest = events.groupBy(MERCHANT).count().agg(F.max("count")).first()[0]
-    limit = max(rows_per_group, math.ceil(rows / MAX_SLICES))
-    if largest <= limit:
+    if largest <= rows_per_group:
         return events
-    slices = min(MAX_SLICES, math.ceil(rows * SLICES_PER_GROUP / limit))
-    sliced = _even_slices(events, seq, slices)
-    sliced = _slice_hot(sliced, sliced, [MERCHANT], MERCHANT_SLICE, limit)
+    sliced = _even_slices(events, seq, math.ceil(rows * SLICES_PER_GROUP / rows_per_group))
+    hot_keys = rows // rows_per_group  # at most
+    limits = (rows_per_group, hot_keys)
+    sliced = _slice_hot(sliced, sliced, [MERCHANT], MERCHANT_SLICE, *limits)
     if by_order:
         of_hot = sliced.filter(F.col(MERCHANT_SLICE) != WHOLE)
-        sliced = _slice_hot(sliced, of_hot, ORDER_KEYS, ORDER_SLICE, limit)
+        sliced = _slice_hot(sliced, of_hot, ORDER_KEYS, ORDER_SLICE, *limits)
     return sliced.drop("slice")
 
 
@@ -86,16 +86,18 @@ def _even_slices(events: DataFrame, seq: Sequence[str], slices: int) -> DataFram
 
 
 def _slice_hot(
-    events: DataFrame, counted: DataFrame, keys: list[str], name: str, limit: int
+    events: DataFrame, counted: DataFrame, keys: list[str], name: str, limit: int, hot_keys: int
 ) -> DataFrame:
-    """Add the slice for rows of hot keys, ``WHOLE`` for all others. The broadcast side
-    has at most ``MAX_SLICES`` rows, as each hot key holds over rows / MAX_SLICES rows."""
+    """Add the slice for rows of hot keys, ``WHOLE`` for all others. There are at most
+    ``hot_keys`` keys with more than ``limit`` rows; they are broadcast if these are few."""
     counts = counted.groupBy(*keys).count()
     hot = counts.filter(F.col("count") > limit).select(*keys, F.lit(True).alias("is_hot"))
+    if hot_keys <= BROADCAST_KEYS:
+        hot = F.broadcast(hot)
     same_key = [F.col(f"events.{key}").eqNullSafe(F.col(f"hot.{key}")) for key in keys]
     return (
         events.alias("events")
-        .join(F.broadcast(hot.alias("hot")), same_key, "left")
+        .join(hot.alias("hot"), same_key, "left")
         .select(
             "events.*",
             F.when(F.col("is_hot"), F.col("slice")).otherwise(WHOLE).alias(name),

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from merchant_ledger.functions.buckets import bucket, buckets, derived_amounts, event_type
 from merchant_ledger.functions.once import with_once
-from merchant_ledger.operators.sequence import position
+from merchant_ledger.operators.sequence import position, with_positions
 from merchant_ledger.operators.slices import (
     MERCHANT_SLICE,
     ORDER_SLICE,
@@ -98,8 +98,8 @@ def order_contributions(events: DataFrame, seq: Sequence[str]) -> DataFrame:
     shuffle, so a hot order or merchant is reduced where it is read.
     """
     change = ~F.col("is_snapshot")
-    # Null positions are not considered.
-    at = with_once(events, {"position": position(events, seq)}).withColumn(
+    # Only snapshot rows may lack a position; the order does not matter to them.
+    at = with_once(with_positions(events, seq), {"position": position(events, seq)}).withColumn(
         "change_position", F.when(change, F.col("position"))
     )
     grouped = (
@@ -187,6 +187,12 @@ def snapshot_totals(events: DataFrame) -> DataFrame:
     )
 
 
+def in_merchant_order(totals: DataFrame, seq: Sequence[str]) -> DataFrame:
+    """A merchant's rows in one task and in order, for sinks that keep the order they get.
+    The sort spills; the rows pass one by one."""
+    return totals.repartition(MERCHANT).sortWithinPartitions(MERCHANT, *seq)
+
+
 def with_update_time(totals: DataFrame) -> DataFrame:
     """The time of the output in epoch milliseconds, where the rows do not bring one."""
     if "update_time" in totals.columns:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from merchant_ledger.functions.buckets import bucket
 from merchant_ledger.functions.once import with_once
-from merchant_ledger.operators.sequence import position
+from merchant_ledger.operators.sequence import position, with_positions
 from merchant_ledger.operators.slices import (
     ORDER_KEYS,
     ORDER_SLICE,
@@ -29,6 +29,7 @@ def with_previous_state(events: DataFrame, seq: Sequence[str]) -> DataFrame:
     null for the first one. It is a struct so that a null amount is not taken for that.
     """
     image = F.struct("state", "amount")
+    events = with_positions(events, seq)
     if not is_sliced(events):
         window = Window.partitionBy(*ORDER_KEYS).orderBy(*seq)
         return events.withColumn("prev", F.lag(image).over(window))
@@ -73,7 +74,7 @@ def with_deltas(events: DataFrame, seq: Sequence[str]) -> DataFrame:
 
 
 def _last_states(events: DataFrame, keys: list[str], seq: Sequence[str]) -> DataFrame:
-    at = with_once(events, {"position": position(events, seq)})
+    at = with_once(with_positions(events, seq), {"position": position(events, seq)})
     last = [F.max_by(name, "position").alias(name) for name in ("state", "amount")]
     return at.groupBy(*keys).agg(*last)
 

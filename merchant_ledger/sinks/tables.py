@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from merchant_ledger.functions.messages import kafka_json
-from merchant_ledger.operators.totals import with_update_time
+from merchant_ledger.operators.totals import in_merchant_order, with_update_time
 from merchant_ledger.schemas import MERCHANT
 
 INSERT_BATCH = 1000
@@ -32,15 +34,16 @@ def write_jdbc(totals: DataFrame, url: str, table: str, properties: dict[str, st
     )
 
 
-def kafka_rows(totals: DataFrame) -> DataFrame:
-    """Keyed by merchant: all of a merchant's totals go to one partition of the topic. Their
-    order there is that of the tasks; a reader takes the latest by the times inside."""
-    return _rows(totals).select(F.col(MERCHANT).alias("key"), kafka_json().alias("value"))
+def kafka_rows(totals: DataFrame, seq: Sequence[str] = ()) -> DataFrame:
+    """Keyed by merchant: all of a merchant's totals go to one partition of the topic, in
+    order if ``seq`` is given."""
+    rows = in_merchant_order(_rows(totals), seq) if seq else _rows(totals)
+    return rows.select(F.col(MERCHANT).alias("key"), kafka_json().alias("value"))
 
 
-def write_kafka(totals: DataFrame, servers: str, topic: str) -> None:
+def write_kafka(totals: DataFrame, servers: str, topic: str, seq: Sequence[str] = ()) -> None:
     (
-        kafka_rows(totals)
+        kafka_rows(totals, seq)
         .write.format("kafka")
         .option("kafka.bootstrap.servers", servers)
         .option("topic", topic)
@@ -53,6 +56,7 @@ def jdbc_sink(url: str, table: str, properties: dict[str, str]):
     return lambda totals, batch_id: write_jdbc(totals, url, table, properties)
 
 
-def kafka_sink(servers: str, topic: str):
-    """A ledger sink; a repeated micro-batch is sent again."""
-    return lambda totals, batch_id: write_kafka(totals, servers, topic)
+def kafka_sink(servers: str, topic: str, seq: Sequence[str] = ()):
+    """A ledger sink; a repeated micro-batch is sent again. Give the ledger's ``seq`` for
+    totals in order."""
+    return lambda totals, batch_id: write_kafka(totals, servers, topic, seq)

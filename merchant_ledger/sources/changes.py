@@ -8,6 +8,8 @@ import math
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from merchant_ledger.operators.parsing import bad_values, good_changes
+
 # Defaults for reading a table in chunks.
 SPLIT_SIZE = 8192
 FETCH_SIZE = 2048
@@ -95,9 +97,10 @@ def table_snapshot(
     return spark.read.format("jdbc").options(**{**options, **(properties or {})}).load()
 
 
-def snapshot_changes(rows: DataFrame) -> DataFrame:
-    """Rows of the payment-order table as snapshot change events."""
-    return rows.select(
+def snapshot_records(rows: DataFrame) -> DataFrame:
+    """Rows of the payment-order table as snapshot change events with ``bad_reason``, for
+    ``quarantined`` and ``discarded`` as with change records."""
+    events = rows.select(
         F.col("pay_order_id").alias("order_id"),
         "mch_no",
         "amount",
@@ -105,3 +108,9 @@ def snapshot_changes(rows: DataFrame) -> DataFrame:
         F.lit("r").alias("operation"),
         F.lit(True).alias("is_snapshot"),
     )
+    return events.withColumn("bad_reason", bad_values())
+
+
+def snapshot_changes(rows: DataFrame, on_bad: str = "fail") -> DataFrame:
+    """The usable rows of the payment-order table as snapshot change events."""
+    return good_changes(snapshot_records(rows), on_bad)
