@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -15,8 +16,15 @@ from merchant_ledger.operators.slices import (
     slice_if_hot,
     with_carry,
 )
-from merchant_ledger.operators.totals import SUMS, finish, running_sums, snapshot_totals
-from merchant_ledger.schemas import BUCKETS, MERCHANT
+from merchant_ledger.operators.totals import (
+    SUMS,
+    finish,
+    running_sums,
+    running_totals,
+    snapshot_totals,
+    with_update_time,
+)
+from merchant_ledger.schemas import BUCKETS, CHANGE_COLUMNS, MERCHANT, ORDER, struct
 from merchant_ledger.streaming.metrics import observed
 from merchant_ledger.streaming.orders import ROCKSDB, order_deltas
 
@@ -28,6 +36,11 @@ SHARDS_PER_TASK = 4
 
 OPENING = -1  # batch id of totals that were there before the stream
 
+# After so many batches their sums are added up into all merchants' totals.
+BATCHES_PER_BASE = 64
+
+SUMS_SCHEMA = struct(**{MERCHANT: "string"}, **{name: "long" for name in BUCKETS})
+
 Sink = Callable[[DataFrame, int], None]
 
 
@@ -36,11 +49,15 @@ class Ledger:
 
     ``deltas``     what each event added,
     ``changelog``  one row per event with its merchant's totals just after it,
-    ``totals``     all merchants' totals at the end of the batch.
-
-    A micro-batch that is run again after a failure overwrites its own partitions, so
-    the tables hold every event once. ``sinks`` get the changelog of each batch; they may
-    see a batch twice and can tell by its id, or by merchant and sequence.
+    ``sums``       what the batch added, for its own merchants only,
+    ``base``       all merchants' totals, after every ``batches_per_base`` batches.
+
+    Batch -1 holds the table snapshot of a hand-over. A micro-batch that is run again after
+    a failure overwrites its own partitions, so the tables hold every event once. A batch
+    reads one base and less than ``batches_per_base`` sums, however long the history is.
+    ``sinks`` get the changelog of each batch; they may see a batch twice and can tell by
+    its id, or by merchant and sequence. ``keep`` names further columns of the events for
+    the changelog; all others are dropped before the state.
     """
 
     def __init__(
@@ -50,9 +67,13 @@ class Ledger:
         seq: Sequence[str],
         sinks: Sequence[Sink] = (),
         rows_per_group: int = ROWS_PER_GROUP,
+        keep: Sequence[str] = (),
+        batches_per_base: int = BATCHES_PER_BASE,
     ):
         self.spark, self.folder, self.seq = spark, folder, list(seq)
         self.sinks, self.rows_per_group = list(sinks), rows_per_group
+        self.columns = list(dict.fromkeys([*CHANGE_COLUMNS, *seq, *keep]))
+        self.batches_per_base = batches_per_base
 
     def _path(self, table: str, batch_id: int | None = None) -> str:
         path = f"{self.folder}/{table}"
@@ -61,30 +82,49 @@ class Ledger:
     def _read(self, table: str, batch_id: int) -> DataFrame:
         return self.spark.read.parquet(self._path(table, batch_id))
 
-    def _read_if_there(self, table: str, batch_id: int) -> DataFrame | None:
-        try:
-            return self._read(table, batch_id)
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return None
+    def _read_if_there(self, table: str, batch_id: int | None = None) -> DataFrame | None:
+        return _if_there(lambda: self.spark.read.parquet(self._path(table, batch_id)))
 
     def _write(self, rows: DataFrame, table: str, batch_id: int) -> None:
         rows.write.mode("overwrite").parquet(self._path(table, batch_id))
 
-    def shards(self) -> int:
-        """How many groups the order states are spread over: chosen at the first start,
-        kept ever after, since the states are stored by group."""
-        stored = self._read_if_there("settings", 0)
+    def _setting(self, name: str, value) -> object:
+        """Chosen at the first start, kept ever after."""
+        stored = self._read_if_there(name, 0)
         if stored is not None:
-            return stored.first().shards
-        count = SHARDS_PER_TASK * int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-        self._write(self.spark.range(1).select(F.lit(count).alias("shards")), "settings", 0)
-        return count
+            return stored.first()[0]
+        self._write(self.spark.range(1).select(F.lit(value).alias(name)), name, 0)
+        return value
 
-    def open_with(self, totals: DataFrame) -> None:
-        """Totals of a table snapshot, for the stream to go on from."""
-        self._write(totals.select(MERCHANT, *BUCKETS), "totals", OPENING)
+    def shards(self) -> int:
+        """How many groups the order states are spread over. The states are stored by group."""
+        partitions = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        return self._setting("shards", SHARDS_PER_TASK * partitions)
+
+    def claim(self, checkpoint: str) -> None:
+        """A ledger belongs to one checkpoint: with another one, or with one that is gone,
+        batch ids would start again and old totals be taken for new ones."""
+        owner = self._setting("checkpoint", checkpoint)
+        if owner != checkpoint:
+            raise ValueError(f"the ledger {self.folder} belongs to the checkpoint {owner}")
+        # A stream writes this file before its first batch.
+        known = _if_there(lambda: self.spark.read.text(f"{checkpoint}/metadata"))
+        if known is None and self.last_batch() not in (None, OPENING):
+            raise ValueError(f"the ledger {self.folder} has batches, but no checkpoint {checkpoint}")
+        self._setting("batches_per_base", self.batches_per_base)
+
+    def open_with(self, snapshot: DataFrame, like: DataFrame, order: Sequence[str]) -> None:
+        """The events of a table snapshot as batch -1: one row of the changelog per event, and
+        totals for the stream to go on from. ``like`` has the columns of the stream."""
+        columns = [
+            F.col(f.name) if f.name in snapshot.columns else F.lit(None).cast(f.dataType).alias(f.name)
+            for f in like.select(*self.columns).schema
+        ]
+        events = with_update_time(snapshot.select(*columns))
+        self._write(running_totals(events, order, self.rows_per_group), "changelog", OPENING)
+        self._write(snapshot_totals(events).select(MERCHANT, *BUCKETS), "base", OPENING)
+        for sink in self.sinks:
+            sink(self._read("changelog", OPENING), OPENING)
 
     def apply(self, batch: DataFrame, batch_id: int) -> None:
         """The body of ``foreachBatch``."""
@@ -92,18 +132,34 @@ class Ledger:
         self._write(batch, "deltas", batch_id)
         deltas = self._read("deltas", batch_id)
         sums = deltas.groupBy(MERCHANT).agg(*[F.sum(d).alias(n) for n, d in SUMS.items()])
-        opening = self._opening(batch_id)
-        touched = None if opening is None else opening.join(sums, MERCHANT, "left_semi")
-        self._write(self._changelog(deltas, touched), "changelog", batch_id)
-        self._write(self._closing(sums, opening), "totals", batch_id)
+        self._write(sums, "sums", batch_id)
+        of_batch = self._stored("sums", [batch_id])
+        before = self._before(batch_id)
+        touched = [rows.join(of_batch, MERCHANT, "left_semi") for rows in before]
+        self._write(self._changelog(deltas, _added_up(touched)), "changelog", batch_id)
+        if (batch_id + 1) % self._every() == 0:
+            self._write(_added_up([*before, of_batch]), "base", batch_id)
+        # Two places in turn: the last but one is there while this one is written.
+        self._write(self.spark.range(1).select(F.lit(batch_id).alias("last")), "last", batch_id % 2)
         for sink in self.sinks:
             sink(self._read("changelog", batch_id), batch_id)
 
-    def _opening(self, batch_id: int) -> DataFrame | None:
-        """Totals before the batch. Before the first one there may be none."""
-        if batch_id > 0:
-            return self._read("totals", batch_id - 1)
-        return self._read_if_there("totals", OPENING)
+    def _every(self) -> int:
+        return self._setting("batches_per_base", self.batches_per_base)
+
+    def _stored(self, table: str, batch_ids: Sequence[int]) -> DataFrame:
+        paths = [self._path(table, batch_id) for batch_id in batch_ids]
+        return self.spark.read.schema(SUMS_SCHEMA).parquet(*paths)
+
+    def _before(self, batch_id: int) -> list[DataFrame]:
+        """What adds up to the totals before a batch. Before the first one there may be none."""
+        base = batch_id // self._every() * self._every() - 1
+        parts = []
+        if base > OPENING or self._read_if_there("base", OPENING) is not None:
+            parts.append(self._stored("base", [base]))
+        if base + 1 < batch_id:
+            parts.append(self._stored("sums", range(base + 1, batch_id)))
+        return parts
 
     def _changelog(self, deltas: DataFrame, opening: DataFrame | None) -> DataFrame:
         """Running totals. The opening totals of the batch's merchants take part as carry
@@ -114,21 +170,40 @@ class Ledger:
         deltas = slice_if_hot(deltas, self.seq, self.rows_per_group, by_order=False)
         return finish(running_sums(deltas, self.seq))
 
-    def _closing(self, sums: DataFrame, opening: DataFrame | None) -> DataFrame:
-        if opening is None:
-            return sums
-        both = opening.unionByName(sums)
-        return both.groupBy(MERCHANT).agg(*[F.sum(name).alias(name) for name in BUCKETS])
-
     def changelog(self) -> DataFrame:
         return self.spark.read.parquet(self._path("changelog"))
 
+    def last_batch(self) -> int | None:
+        """The last batch whose tables are whole; -1 for a snapshot only."""
+        written = self._read_if_there("last")
+        if written is not None:
+            return written.agg(F.max("last")).first()[0]
+        return None if self._read_if_there("base", OPENING) is None else OPENING
+
     def totals(self, batch_id: int | None = None) -> DataFrame:
         """Totals after a batch, by default the last one."""
         if batch_id is None:
-            ids = self.spark.read.parquet(self._path("totals")).agg(F.max("batch_id"))
-            batch_id = ids.first()[0]
-        return self._read("totals", batch_id).withColumns(derived_amounts())
+            batch_id = self.last_batch()
+        rows = None if batch_id is None else _added_up(self._before(batch_id + 1))
+        if rows is None:
+            raise ValueError(f"the ledger {self.folder} has no batch yet")
+        return rows.withColumns(derived_amounts())
+
+
+def _added_up(parts: Sequence[DataFrame]) -> DataFrame | None:
+    if not parts:
+        return None
+    rows = reduce(DataFrame.unionByName, parts)
+    return rows.groupBy(MERCHANT).agg(*[F.sum(name).alias(name) for name in BUCKETS])
+
+
+def _if_there(read: Callable[[], DataFrame]) -> DataFrame | None:
+    try:
+        return read()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
 
 
 def start(
@@ -137,14 +212,16 @@ def start(
     """Run ``changes`` (a streaming frame of change events) into the ledger.
 
     Started again with the same checkpoint, it goes on where it stopped. No watermark: no
-    row is ever too late.
+    row is ever too late. The update time is that of the micro-batch: it is part of the
+    checkpoint, so a batch that runs again has the same one.
     """
+    ledger.claim(checkpoint)
     conf, key = ledger.spark.conf, "spark.sql.streaming.stateStore.providerClass"
     before = conf.get(key)
     conf.set(key, ROCKSDB)  # order states outgrow the heap
     try:
         return (
-            observed(order_deltas(changes, ledger.seq, ledger.shards()))
+            observed(with_update_time(order_deltas(changes.select(*ledger.columns), ledger.seq, ledger.shards())))
             .writeStream.foreachBatch(ledger.apply)
             .option("checkpointLocation", checkpoint)
             .outputMode("append")
@@ -167,13 +244,18 @@ def hand_over(
     ledger: Ledger,
     checkpoint: str,
     trigger: dict | None = None,
+    order: Sequence[str] = (ORDER,),
 ) -> StreamingQuery:
     """Table snapshot first, then the changes since.
 
     ``snapshot`` are the snapshot's change events, ``changes`` a stream that starts at the
-    log position recorded before the snapshot was read. Totals of the snapshot open the
-    ledger; they are plain sums, so a snapshot of any size needs no order and no state.
-    On a restart use ``start``: the checkpoint knows the position.
+    log position recorded before the snapshot was read. The snapshot's rows get their places
+    in the changelog by ``order`` (the table's primary key) and go to the sinks as batch -1;
+    they need no state. The ledger must be new. If the snapshot fails, hand over again; on a
+    later restart use ``start``: the checkpoint knows the position.
     """
-    ledger.open_with(snapshot_totals(snapshot))
+    if ledger.last_batch() not in (None, OPENING):
+        raise ValueError(f"the ledger {ledger.folder} has batches: use start, or a new folder")
+    ledger.claim(checkpoint)
+    ledger.open_with(snapshot, changes, order)
     return start(changes, ledger, checkpoint, trigger)

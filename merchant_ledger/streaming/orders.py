@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from merchant_ledger.operators.sequence import with_positions
 from merchant_ledger.schemas import (
     CANCELLED,
     DELTAS,
@@ -49,6 +50,7 @@ def order_deltas(changes: DataFrame, seq: Sequence[str], shards: int) -> DataFra
     output = changes.drop("state", "amount").schema
     for delta in DELTAS:
         output = output.add(delta, "long")
+    changes = with_positions(changes, seq)
     return (
         # A null amount only occurs in states that move no money.
         changes.withColumn("amount", F.coalesce("amount", F.lit(0)))

@@ -48,7 +48,7 @@ def place(tmp_path):
     return tmp_path
 
 
-def run(spark, place, ledger, **options):
+def run(spark, place, ledger):
     query = start(stream_of(spark, place / "in"), ledger, str(place / "checkpoint"), ONCE)
     query.awaitTermination()
     return query
@@ -56,7 +56,7 @@ def run(spark, place, ledger, **options):
 
 def test_batches_and_restart(spark, place):
     events = random_events(11, 300, hot=0.3)
-    ledger = Ledger(spark, str(place / "out"), SEQ)
+    ledger = Ledger(spark, str(place / "out"), SEQ, batches_per_base=2)
     for part in range(2):
         write_changes(place / "in", events[part * 100 : part * 100 + 100], part * 100, f"a{part}")
         if part == 0:
@@ -78,7 +78,7 @@ def test_batches_and_restart(spark, place):
     write_changes(place / "in", events[200:], 200, "b")
     # A ledger object of a new process, small groups: the path for hot merchants.
     spark.conf.set("spark.sql.shuffle.partitions", "3")
-    later = Ledger(spark, str(place / "out"), SEQ, rows_per_group=30)
+    later = Ledger(spark, str(place / "out"), SEQ, rows_per_group=30, batches_per_base=9)
     assert later.shards() == ledger.shards()
     run(spark, place, later)
     spark.conf.set("spark.sql.shuffle.partitions", "4")
@@ -111,18 +111,65 @@ def test_hand_over(spark, place):
     events = random_events(14, 80, snapshot_share=0)
     write_changes(place / "in", events)
     schema = "mch_no string, order_id string, state int, amount long, is_snapshot boolean"
-    ledger = Ledger(spark, str(place / "out"), SEQ)
+    seen = {}
+    sink = lambda changelog, batch_id: seen.update({batch_id: changelog.count()})
+    ledger = Ledger(spark, str(place / "out"), SEQ, sinks=[sink])
     stream = stream_of(spark, place / "in")
     query = hand_over(
         spark.createDataFrame(snapshot, schema), stream, ledger, str(place / "checkpoint"), ONCE
     )
     query.awaitTermination()
+    snapshot.sort(key=lambda row: row[1])
     expected = totals_after_each(snapshot + events)
-    assert rows_of(ledger) == expected[len(snapshot) :]
+    rows = ledger.changelog().sort("batch_id", "pos", "order_id").collect()
+    assert [tuple(row[name] for name in AMOUNTS) for row in rows] == expected
+    assert [row.event_type for row in rows] == ["SNAPSHOT"] * 80 + ["INCREMENTAL"] * 80
+    assert seen == {-1: 80, 0: 80}
+    assert {row.update_time is None for row in rows} == {False}
     last = {event[0]: total for event, total in zip(snapshot + events, expected)}
     assert {r.mch_no: tuple(r[n] for n in AMOUNTS) for r in ledger.totals().collect()} == last
 
 
+def test_a_ledger_belongs_to_one_checkpoint(spark, place):
+    write_changes(place / "in", random_events(17, 10))
+    ledger = Ledger(spark, str(place / "out"), SEQ)
+    run(spark, place, ledger)
+    stream = stream_of(spark, place / "in")
+    with pytest.raises(ValueError, match="belongs to"):
+        start(stream, ledger, str(place / "other"), ONCE)
+    with pytest.raises(ValueError, match="has batches"):
+        hand_over(stream, stream, ledger, str(place / "checkpoint"), ONCE)
+    (place / "checkpoint").rename(place / "gone")
+    with pytest.raises(ValueError, match="no checkpoint"):
+        start(stream, ledger, str(place / "checkpoint"), ONCE)
+
+
+def test_snapshot_rows_are_validated(spark):
+    rows = [("A", "M1", 5, 2), ("B", "", 5, 2), ("C", None, 5, 2), ("D", "M1", None, 2), ("E", "M1", 5, None)]
+    table = spark.createDataFrame(rows, "pay_order_id string, mch_no string, amount long, state int")
+    good = changes.snapshot_changes(table, on_bad="quarantine")
+    assert [row.order_id for row in good.collect()] == ["A"]
+    bad = parsing.quarantined(changes.snapshot_records(table)).sort("order_id").collect()
+    assert [(row.order_id, row.bad_reason) for row in bad] == [("D", "null_amount"), ("E", "null_state")]
+    assert parsing.discarded(changes.snapshot_records(table)).count() == 2
+    with pytest.raises(Exception, match="bad change record"):
+        changes.snapshot_changes(table).collect()
+
+
+def test_a_change_without_a_position_fails_everywhere(spark):
+    schema = "mch_no string, order_id string, state int, amount long, is_snapshot boolean, seq long"
+    rows = spark.createDataFrame([("M", "O", 2, 1, False, 1), ("M", "O", 5, 1, False, None)], schema)
+    for form in (totals.running_totals, totals.merchant_totals, totals.latest_totals):
+        with pytest.raises(Exception, match="without a position"):
+            form(rows, ["seq"]).collect()
+    lines = spark.createDataFrame(
+        [(json.dumps({"op": "u", "after": {"mch_no": "M", "pay_order_id": "O", "amount": 1, "state": 2}}),)],
+        "value string",
+    )
+    reasons = [parsing.classified(lines, seq=seq).first().bad_reason for seq in ([], SEQ)]
+    assert reasons == [None, "missing_position"]
+
+
 def test_bad_record_stops_the_stream(spark, place):
     (place / "in" / "x.json").write_text("nope\n")
     with pytest.raises(Exception, match="bad change record"):
