@@ -219,10 +219,58 @@ HANDOVER = f"""
            CAST(sum(c) AS BIGINT) AS cancel_amount, CAST(sum(s - r - c) AS BIGINT) AS net_amount
     FROM parts GROUP BY mch_no"""
 
+def _in_order(sql: str, order: str) -> str:
+    """``sql`` with another order of the events."""
+    backwards = ", ".join(f"{column} DESC" for column in order.split(", "))
+    return sql.replace("ORDER BY ts, event_id", f"ORDER BY {order}").replace(
+        "ORDER BY ts DESC, event_id DESC", f"ORDER BY {backwards}"
+    )
+
+
+ARRIVAL = """least(3, CAST(event_id % 50 = 0 AS INTEGER) + CASE
+    WHEN ts >= TIMESTAMP '2024-01-22' THEN 3 WHEN ts >= TIMESTAMP '2024-01-15' THEN 2
+    WHEN ts >= TIMESTAMP '2024-01-08' THEN 1 ELSE 0 END)"""
+
+
+def _in_arrival_order(select: str) -> str:
+    return _in_order(_with_steps(select), f"{ARRIVAL}, ts, event_id")
+
+
+HANDOVER_STEPS = f"""
+    WITH changes AS ({CHANGES} WHERE NOT ({IS_SNAPSHOT})),
+    bucketed AS ({BUCKETS}), previous AS ({PREVIOUS}), changed AS ({DELTAS}),
+    deltas AS (
+        SELECT order_id, event_id, ts, mch_no, is_snapshot, ms, d_success, d_refund, d_cancel
+        FROM changed
+        UNION ALL
+        SELECT 'O' || o_orderkey, NULL, NULL, 'M' || (o_custkey % 20), true, NULL,
+               CASE WHEN o_orderstatus = 'F' THEN fen ELSE 0 END,
+               CASE WHEN o_orderstatus = 'O' THEN fen ELSE 0 END,
+               CASE WHEN o_orderstatus = 'P' THEN fen ELSE 0 END
+        FROM (SELECT *, CAST(round(o_totalprice * 100) AS BIGINT) AS fen FROM orders)
+        WHERE o_orderkey % 11 <> 0 AND o_orderkey % 13 <> 0 AND o_orderkey % 7 <> 0),
+    sums AS ({_in_order(SUMS, "NOT is_snapshot, ts, event_id, order_id")}),
+    running AS ({RUNNING})"""
+
 ORACLE = {
     **{name: _with_steps(select) for name, select in SELECTS.items()},
     "snapshot_running": _with_steps(RUNNING_ROWS, IS_SNAPSHOT),
     "incremental_running": _with_steps(RUNNING_ROWS, f"NOT ({IS_SNAPSHOT})"),
     "snapshot_totals": _with_steps(TOTALS, IS_SNAPSHOT),
     "handover_totals": HANDOVER,
+    "handover_stream_running": f"""{HANDOVER_STEPS} SELECT order_id, event_id, mch_no, {AMOUNTS},
+        event_type FROM running""",
+    "handover_stream_totals": f"{HANDOVER_STEPS} {TOTALS}",
+    "stream_batches_running": _in_arrival_order(RUNNING_ROWS),
+    "stream_batches_totals": _in_arrival_order(TOTALS),
+    "merchant_totals_log_position": _in_order(_with_steps(TOTALS), "event_id % 20, event_id"),
+    "merchant_latest_kafka_position": _in_order(
+        _with_steps(SELECTS["merchant_latest"]), "event_id"
+    ),
+    "stats_report_extra_fields": _with_steps(
+        SELECTS["stats_report"].replace(
+            MESSAGE_PAIRS,
+            f"""'{{"zzz": {{"a": 1, "b": [1, "x,y"]}}, ' || substr({MESSAGE_PAIRS}, 2)""",
+        )
+    ),
 }

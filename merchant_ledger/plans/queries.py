@@ -10,9 +10,10 @@ from merchant_ledger.functions import text
 from merchant_ledger.functions.buckets import buckets
 from merchant_ledger.operators import parsing, totals, transitions
 from merchant_ledger.operators.slices import slice_if_hot
-from merchant_ledger.schemas import BUCKETS, DELTAS, MERCHANT
+from merchant_ledger.schemas import BUCKETS, DELTAS, LOG_POSITION, MERCHANT
 from merchant_ledger.sinks.tables import jdbc_rows
 from merchant_ledger.sources import tables
+from merchant_ledger.sources.changes import KAFKA_SEQ
 from merchant_ledger.sources.messages import ACK, first_messages, read_messages, rejected
 from merchant_ledger.sources.tables import SEQ
 from merchant_ledger.streaming import replay
@@ -191,6 +192,28 @@ def merchant_latest(spark: SparkSession, folder: str) -> DataFrame:
     return latest.select(MERCHANT, *AMOUNTS, "event_type", "event_id")
 
 
+def _log_changes(spark: SparkSession, folder: str, **options) -> DataFrame:
+    """Events parsed from a log whose file numbers grow by a digit."""
+    file = F.concat(F.lit("log."), F.lit(999_990) + F.col("event_id") % 20)
+    logged = tables.to_envelopes(changes(spark, folder), file)
+    return parsing.good_changes(parsing.classified(logged, seq=LOG_POSITION))
+
+
+def merchant_totals_log_position(spark: SparkSession, folder: str) -> DataFrame:
+    logged = totals.merchant_totals(_log_changes(spark, folder), LOG_POSITION)
+    return logged.select(MERCHANT, *AMOUNTS)
+
+
+def merchant_latest_kafka_position(spark: SparkSession, folder: str) -> DataFrame:
+    """A merchant's events are in one partition, by their offsets."""
+    partition = F.substring(MERCHANT, 2, 9).cast("int") % 4
+    events = _log_changes(spark, folder).withColumns(
+        {"partition": partition, "offset": F.col("event_id")}
+    )
+    latest = totals.latest_totals(events, KAFKA_SEQ)
+    return latest.select(MERCHANT, *AMOUNTS, "event_type", F.col("offset").alias("event_id"))
+
+
 def handover_totals(spark: SparkSession, folder: str) -> DataFrame:
     """A table snapshot first, then the changes: totals of both."""
     first = tables.order_rows(spark.read.parquet(f"{folder}/orders.parquet"))
@@ -255,6 +278,14 @@ def stats_report(spark: SparkSession, folder: str) -> DataFrame:
     return read.select("event_id", msg.report(printed_at).alias("report"))
 
 
+def stats_report_extra_fields(spark: SparkSession, folder: str) -> DataFrame:
+    """Reports of messages with a field that the contract does not have."""
+    extra = F.concat(F.lit('{"zzz":{"a":1,"b":[1, "x,y"]},'), F.substr("value", F.lit(2)))
+    read = read_messages(messages(spark, folder).withColumn("value", extra))
+    printed_at = F.date_format("ts", "HH:mm:ss")
+    return read.select("event_id", msg.report(printed_at).alias("report"))
+
+
 def stats_json_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     read = read_messages(messages(spark, folder))
     fields = [F.col(f"stats.{f}").alias(name) for f, name in msg.FIELDS.items()]
@@ -329,6 +360,25 @@ def stream_merchant_totals(spark: SparkSession, folder: str) -> DataFrame:
     return replay.ledger_of(spark, folder).totals().select(MERCHANT, *AMOUNTS)
 
 
+def stream_batches_running(spark: SparkSession, folder: str) -> DataFrame:
+    return replay.ledger_of_arrivals(spark, folder).changelog().select(*RUNNING)
+
+
+def stream_batches_totals(spark: SparkSession, folder: str) -> DataFrame:
+    """With a new base after every second batch."""
+    ledger = replay.ledger_of_arrivals(spark, folder, batches_per_base=2)
+    return ledger.totals().select(MERCHANT, *AMOUNTS)
+
+
+def handover_stream_running(spark: SparkSession, folder: str) -> DataFrame:
+    changelog = replay.ledger_after_hand_over(spark, folder).changelog()
+    return changelog.select("order_id", *RUNNING)
+
+
+def handover_stream_totals(spark: SparkSession, folder: str) -> DataFrame:
+    return replay.ledger_after_hand_over(spark, folder).totals().select(MERCHANT, *AMOUNTS)
+
+
 QUERIES = {
     query.__name__: query
     for query in (
@@ -353,6 +403,8 @@ QUERIES = {
         merchant_totals,
         merchant_totals_from_deltas,
         merchant_latest,
+        merchant_totals_log_position,
+        merchant_latest_kafka_position,
         handover_totals,
         event_metrics,
         negative_net_alerts,
@@ -361,6 +413,7 @@ QUERIES = {
         stats_text_verbose,
         change_event_text,
         stats_report,
+        stats_report_extra_fields,
         stats_json_roundtrip,
         bad_messages,
         message_dispositions,
@@ -370,6 +423,10 @@ QUERIES = {
         jdbc_insert_rows,
         stream_merchant_running,
         stream_merchant_totals,
+        stream_batches_running,
+        stream_batches_totals,
+        handover_stream_running,
+        handover_stream_totals,
     )
 }
 QUERIES["first_messages"] = QUERIES.pop("first_ten_messages")

@@ -31,8 +31,8 @@ def stream_events(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def change_events(events: DataFrame) -> DataFrame:
-    """``events`` as changes of payment orders."""
+def change_events(events: DataFrame, *keep: str) -> DataFrame:
+    """``events`` as changes of payment orders; ``keep`` names columns to pass through."""
     kind = F.col("event_type")
     state = (
         F.when(kind == "purchase", SUCCESS)
@@ -49,9 +49,19 @@ def change_events(events: DataFrame) -> DataFrame:
         F.round(F.col("value") * 100).cast("bigint").alias("amount"),
         state.alias("state"),
         _is_snapshot().alias("is_snapshot"),
+        *keep,
     )
 
 
+def arrival() -> Column:
+    """In which of four batches an event arrives: by week, and some a batch too late."""
+    week = F.lit(0)
+    for number, start in enumerate(("2024-01-08", "2024-01-15", "2024-01-22"), 1):
+        week = F.when(F.col("ts") >= F.lit(start).cast("timestamp_ntz"), number).otherwise(week)
+    late = (F.col("event_id") % 50 == 0).cast("int")
+    return F.least(week + late, F.lit(3))
+
+
 def _is_snapshot() -> Column:
     return F.col("ts") < F.lit(SNAPSHOT_END).cast("timestamp_ntz")
 
@@ -81,7 +91,18 @@ def order_rows(orders: DataFrame) -> DataFrame:
     )
 
 
-def to_envelopes(changes: DataFrame) -> DataFrame:
+def damaged_table_rows(orders: DataFrame) -> DataFrame:
+    """``orders`` as rows of the payment-order table, some without merchant or amount."""
+    number = F.substring("order_id", 2, 20).cast("bigint")
+    return order_rows(orders).select(
+        F.col("order_id").alias("pay_order_id"),
+        F.when(number % 11 == 0, "").when(number % 13 != 0, F.col("mch_no")).alias("mch_no"),
+        F.when(number % 7 != 0, F.col("amount")).alias("amount"),
+        "state",
+    )
+
+
+def to_envelopes(changes: DataFrame, file: Column | None = None) -> DataFrame:
     """One JSON change envelope per event, in the column ``value``."""
     image = F.struct(F.col("order_id").alias("pay_order_id"), "mch_no", "amount", "state")
     op = operation()
@@ -90,7 +111,7 @@ def to_envelopes(changes: DataFrame) -> DataFrame:
         # Every fifth event belongs to a second table of the same database.
         F.lit(DATABASE).alias("db"),
         F.when(F.col("event_id") % 5 == 4, "refund_order").otherwise(TABLE).alias("table"),
-        F.lit("log.000001").alias("file"),
+        (F.lit("log.000001") if file is None else file).alias("file"),
         F.col("event_id").alias("pos"),
         F.lit(0).alias("row"),
     )

@@ -3,10 +3,15 @@
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
+from merchant_ledger.operators.parsing import good_changes
 from merchant_ledger.session import shared_folder
 from merchant_ledger.sources import tables
-from merchant_ledger.streaming.ledger import Ledger, start
+from merchant_ledger.sources.changes import snapshot_records
+from merchant_ledger.streaming.ledger import Ledger, hand_over, start
+
+ALL = {"availableNow": True}
 
 
 def ledger_of(spark: SparkSession, folder: str, **options) -> Ledger:
@@ -14,6 +19,34 @@ def ledger_of(spark: SparkSession, folder: str, **options) -> Ledger:
     target = shared_folder(spark, "ledger")
     ledger = Ledger(spark, target, tables.SEQ, **options)
     changes = tables.change_events(tables.stream_events(spark, folder))
-    query = start(changes, ledger, f"{target}/checkpoint", {"availableNow": True})
+    query = start(changes, ledger, f"{target}/checkpoint", ALL)
     query.awaitTermination()
     return ledger
+
+
+ARRIVALS = 4
+
+
+def ledger_of_arrivals(spark: SparkSession, folder: str, **options) -> Ledger:
+    """The ledger of all events, which arrive in four batches. After each the stream stops
+    and starts again. Late events count when they arrive."""
+    source, target = shared_folder(spark, "arrivals"), shared_folder(spark, "ledger")
+    ledger = Ledger(spark, target, ["arrival", *tables.SEQ], **options)
+    events = tables.read_events(spark, folder).withColumn("arrival", tables.arrival())
+    for number in range(ARRIVALS):
+        events.filter(F.col("arrival") == number).write.mode("append").parquet(source)
+        arrived = spark.readStream.schema(events.schema).parquet(source)
+        changes = tables.change_events(arrived, "arrival")
+        start(changes, ledger, f"{target}/checkpoint", ALL).awaitTermination()
+    return ledger
+
+
+def ledger_after_hand_over(spark: SparkSession, folder: str, **options) -> Ledger:
+    """The orders as a table snapshot, with bad rows left out, then the changes."""
+    target = shared_folder(spark, "ledger")
+    ledger = Ledger(spark, target, tables.SEQ, **options)
+    rows = tables.damaged_table_rows(spark.read.parquet(f"{folder}/orders.parquet"))
+    snapshot = good_changes(snapshot_records(rows), on_bad="quarantine")
+    changes = tables.change_events(tables.stream_events(spark, folder)).filter("not is_snapshot")
+    hand_over(snapshot, changes, ledger, f"{target}/checkpoint", ALL).awaitTermination()
+    return ledger
