@@ -114,6 +114,7 @@ MESSAGE_PAIRS = """
     || ', "cancelAmount": ' || cancel_amount || ', "netAmount": ' || net_amount
     || ', "updateTime": ' || update_time || ', "eventType": "' || event_type || '"}'"""
 
+# The texts inside are those of functions/text.py, which the output must have.
 SELECTS: dict[str, str] = {
     "cdc_parse": """SELECT event_id, order_id, mch_no, amount, state, op AS operation,
         is_snapshot, ms AS ts_ms FROM changes""",

@@ -20,6 +20,7 @@ MESSAGE = (
     '"cancelAmount":20000,"netAmount":50000,"updateTime":1709728224000,'
     '"eventType":"INCREMENTAL"}'
 )
+# Output texts, character for character.
 REPORT = """【商户统计】14:30:25
 商户号: M001
 事件类型: INCREMENTAL

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from merchant_ledger.operators import sequence, totals, transitions
 from merchant_ledger.operators.slices import is_sliced, slice_if_hot
+from merchant_ledger.plans.queries import QUERIES
 from model import random_events, totals_after_each
 
 SCHEMA = "seq long, mch_no string, order_id string, state int, amount long, is_snapshot boolean"
@@ -173,3 +174,10 @@ def test_rows_without_a_sequence_are_kept(spark):
         assert len(rows) == len(events)
         by_seq = {row.seq or 0: tuple(row[name] for name in AMOUNTS) for row in rows}
         assert [by_seq[i] for i in range(len(events))] == totals_after_each(events)
+
+
+@pytest.mark.parametrize("name", ["merchant_totals_log_position", "merchant_latest_kafka_position"])
+def test_real_positions_are_hashed(spark, name):
+    plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan
+    assert "SortAggregate" not in plan
