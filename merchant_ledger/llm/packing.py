@@ -128,8 +128,9 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> tuple[list[tuple],
     part, first rank of the part). The most frequent length is always the one to be filled
     up, and a filling is used as often as it can be. Where none is exact, the pieces of that
     length are split into powers of two, which are placed like others; in the end these fill
-    a sequence of their own, which needs no padding. Each filling at least halves the count
-    of a length: at most ``capacity`` * log2(documents) fillings, whatever the input.
+    sequences as long as a smaller power of two, the largest that can be reached, which need
+    no padding. Each filling uses up a length or at least halves its count: at most about
+    ``capacity`` * log2(documents) fillings, whatever the input.
     """
     counts = {n: c for n, c in counts.items() if c}
     after = {n: 1 for n in range(1, capacity + 1)}
@@ -148,8 +149,11 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> tuple[list[tuple],
                     total[part] = total.get(part, 0) + ranks
                     counts[part] = counts.get(part, 0) + ranks
             continue
-        if filled < capacity:
-            used = {seed: 1}
+        room = capacity
+        while filled < room:
+            room = 1 << filled.bit_length() - 1
+            used = closest(counts, seed, room)
+            filled = sum(n * k for n, k in used.items())
         times, offset = min(counts[n] // k for n, k in used.items()), 0
         for n, k in sorted(used.items(), reverse=True):
             places.append((n, after[n], after[n] + times * k - 1, k, sequence, offset))
