@@ -10,6 +10,7 @@ from merchant_ledger.functions.text import (
     NO_TIME_REPORT,
     NO_TYPE,
     REPORT_LABELS,
+    TIME_RANGE,
     ZONE,
     local_time,
     yuan,
@@ -71,16 +72,23 @@ def raw_line(value: str = "value") -> Column:
 
 
 def report(printed_at: Column, zone: str = ZONE, value: str = "value") -> Column:
-    """The ten lines a reader sees of one message. Needs the columns ``value``, ``stats`` and
-    ``present`` of ``read_messages``; ``printed_at`` is the clock text of the head line."""
+    """The ten lines a reader sees of one message. Needs ``value`` and the columns that
+    ``read_messages`` adds; ``printed_at`` is the clock text of the head line. A time that is
+    none is shown as it is; an amount may be a fraction."""
     label = {name: F.lit(text) for name, text in REPORT_LABELS.items()}
-    time = local_time("stats.updateTime", NO_TIME_REPORT, zone)
+    whole = F.when(F.col("numbers.updateTime").between(*TIME_RANGE), F.floor("numbers.updateTime"))
+    time = (
+        F.when(F.col("time_text").isNull(), local_time("stats.updateTime", NO_TIME_REPORT, zone))
+        .when(whole.isNotNull(), local_time(whole, NO_TIME_REPORT, zone))
+        .otherwise(F.col("time_text"))
+    )
+    amount = lambda name: F.coalesce(F.col(f"stats.{name}").cast("double"), F.col(f"numbers.{name}"))
     return F.concat_ws(
         "\n",
         F.concat(label["head"], printed_at),
         F.concat(label["mchNo"], merchant_or_fallback()),
         F.concat(label["eventType"], type_or_fallback()),
         F.concat(label["updateTime"], time),
-        *[F.concat(label[name], yuan(f"stats.{name}")) for name in AMOUNT_FIELDS],
+        *[F.concat(label[name], yuan(amount(name))) for name in AMOUNT_FIELDS],
         F.concat(label["raw"], raw_line(value)),
     )

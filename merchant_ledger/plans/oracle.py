@@ -114,6 +114,14 @@ MESSAGE_PAIRS = """
     || ', "cancelAmount": ' || cancel_amount || ', "netAmount": ' || net_amount
     || ', "updateTime": ' || update_time || ', "eventType": "' || event_type || '"}'"""
 
+DAMAGED_PAIRS = MESSAGE_PAIRS.replace(
+    "|| total_amount", "|| total_amount || CASE event_id % 10 WHEN 5 THEN '.25' ELSE '' END"
+).replace(
+    "|| update_time",
+    """|| CASE event_id % 10 WHEN 1 THEN '"abc"' WHEN 9 THEN '9223372036854775807'
+        ELSE CAST(update_time AS VARCHAR) END""",
+)
+
 # The texts inside are those of functions/text.py, which the output must have.
 SELECTS: dict[str, str] = {
     "cdc_parse": """SELECT event_id, order_id, mch_no, amount, state, op AS operation,
@@ -191,7 +199,7 @@ SELECTS: dict[str, str] = {
             'reject' AS disposition FROM running
         WHERE event_id % 10 = 3""",
     "message_dispositions": """SELECT CASE event_id % 10 WHEN 3 THEN 'reject'
-        WHEN 7 THEN 'requeue' ELSE 'ack' END AS disposition, count(*) AS messages
+        WHEN 6 THEN 'requeue' WHEN 7 THEN 'requeue' ELSE 'ack' END AS disposition, count(*) AS messages
         FROM running GROUP BY 1""",
     "message_fallbacks": """SELECT event_id, CASE event_id % 3 WHEN 0 THEN '未知商户'
         WHEN 1 THEN 'None' ELSE mch_no END AS merchant,
@@ -268,6 +276,12 @@ ORACLE = {
     "merchant_latest_kafka_position": _in_order(
         _with_steps(SELECTS["merchant_latest"]), "event_id"
     ),
+    "damaged_stats_report": _with_steps(
+        SELECTS["stats_report"].replace(MESSAGE_PAIRS, DAMAGED_PAIRS).replace(
+            TIME, f"CASE event_id % 10 WHEN 1 THEN 'abc' WHEN 9 THEN '9223372036854775807' ELSE {TIME} END"
+        )
+        + " WHERE event_id % 10 NOT IN (3, 6, 7)"
+    ),
     "stats_report_extra_fields": _with_steps(
         SELECTS["stats_report"].replace(
             MESSAGE_PAIRS,

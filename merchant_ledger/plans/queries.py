@@ -286,6 +286,12 @@ def stats_report_extra_fields(spark: SparkSession, folder: str) -> DataFrame:
     return read.select("event_id", msg.report(printed_at).alias("report"))
 
 
+def damaged_stats_report(spark: SparkSession, folder: str) -> DataFrame:
+    """Reports of what is acked of messages with a time or an amount that is none."""
+    read = read_messages(damaged_messages(spark, folder)).filter(F.col("disposition") == ACK)
+    return read.select("event_id", msg.report(F.date_format("ts", "HH:mm:ss")).alias("report"))
+
+
 def stats_json_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     read = read_messages(messages(spark, folder))
     fields = [F.col(f"stats.{f}").alias(name) for f, name in msg.FIELDS.items()]
@@ -294,9 +300,14 @@ def stats_json_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
 
 def damaged_messages(spark: SparkSession, folder: str) -> DataFrame:
     kind = F.col("event_id") % 10
+    time = '"updateTime":([0-9]+)'
     damaged = (
         F.when(kind == 3, F.concat(F.lit("#"), "value"))
         .when(kind == 7, F.concat(F.lit("["), "value", F.lit("]")))
+        .when(kind == 1, F.regexp_replace("value", time, '"updateTime":"abc"'))
+        .when(kind == 5, F.regexp_replace("value", '"totalAmount":(-?[0-9]+)', '"totalAmount":$1.25'))
+        .when(kind == 6, F.regexp_replace("value", '"netAmount":(-?[0-9]+)', '"netAmount":"$1"'))
+        .when(kind == 9, F.regexp_replace("value", time, '"updateTime":9223372036854775807'))
         .otherwise(F.col("value"))
     )
     return messages(spark, folder).withColumn("value", damaged)
@@ -417,6 +428,7 @@ QUERIES = {
         stats_json_roundtrip,
         bad_messages,
         message_dispositions,
+        damaged_stats_report,
         message_fallbacks,
         first_ten_messages,
         kafka_payload,

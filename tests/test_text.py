@@ -151,6 +151,13 @@ DISPOSITIONS = {
     b"[1]": "requeue",
     b'"text"': "requeue",
     b'{"netAmount":"x"}': "requeue",
+    b'{"netAmount":"12"}': "requeue",
+    b'{"netAmount":[1]}': "requeue",
+    b'{"totalAmount":12.5}': "ack",
+    b'{"totalAmount":1e30}': "ack",
+    b'{"updateTime":"abc"}': "ack",
+    b'{"updateTime":[1]}': "ack",
+    b'{"updateTime":9223372036854775807}': "ack",
     b"\xff\xfe": "requeue",
 }
 
@@ -163,6 +170,14 @@ def test_dispositions(spark):
     assert rejected(read).count() == 4
 
 
+def test_reports_of_times_and_amounts_that_do_not_fit(spark):
+    bodies = ['{"totalAmount":1250.5}', '{"updateTime":"abc"}', '{"updateTime":1709728224000.5}', '{"updateTime":99999999999999999999}']
+    read = read_messages(spark.createDataFrame([(b,) for b in bodies], "value string"))
+    lines = [r[0].split("\n") for r in read.select(messages.report(F.lit(""))).collect()]
+    assert lines[0][4] == "总金额: ¥12.51"
+    assert [each[3] for each in lines[1:]] == ["更新时间: abc", "更新时间: 2024-03-06 20:30:24", "更新时间: 99999999999999999999"]
+
+
 def test_fallbacks(spark):
     bodies = ["{}", '{"mchNo":null,"eventType":null}', '{"mchNo":"a","eventType":"b"}']
     read = read_messages(spark.createDataFrame([(b,) for b in bodies], "value string"))
