@@ -21,8 +21,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays."""
-    return ngram_join.without_near_duplicates(docs)
+    """One document of each group of near copies stays: five words, a similarity of 0.8 or more."""
+    return ngram_join.without_near_duplicates(docs, size=5, percent=80)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -319,12 +319,13 @@ def op7(docs: DataFrame) -> DataFrame:
     return near_duplicates(docs).select("doc_id", "n_shingles", "component_id")
 
 
-def without_near_duplicates(docs: DataFrame) -> DataFrame:
+def without_near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """One document of each component, with the columns of ``docs``; all without shingles stay.
 
+    Shingles have ``size`` words; ``percent`` (80 at least, by the lengths of the index) is what two sets share.
     A document that is kept but stands there twice, with equal id and text, is kept once.
     """
-    found = materialize(near_duplicates(docs), "join-kept")
+    found = materialize(near_duplicates(docs, size, percent), "join-kept")
     kept = found.where(
         (F.col("n_shingles") == 0)
         | (F.col("doc_id").eqNullSafe(F.col("first_id")) & (F.col("text_hash") == F.col("first_hash")))
