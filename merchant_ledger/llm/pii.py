@@ -116,8 +116,10 @@ def normalised(text: str) -> tuple[str, list[int], list[int]]:
 def disguised(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
     """Spans, in ``text``, of what is only found in the normalised text.
 
-    A span that touches one of ``base`` is left out, and so is an address whose last label
-    is not letters, or a number that was there before without passing.
+    A span that is or lies within one of ``base`` of its kind is left out; one that reaches
+    beyond it stands beside it, as where only a part of an address is disguised. An address
+    whose last label is not letters is left out too, and a number that was there before
+    without passing.
     """
     if not DISGUISE.search(text):
         return []
@@ -129,7 +131,7 @@ def disguised(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, in
             continue
         if kind == 0 and not plain[start:end].rpartition(".")[2].isalpha():
             continue
-        if all(span[2] <= s or e <= span[0] for s, _, e in base):
+        if not any(k == kind and s <= span[0] and span[2] <= e for s, k, e in base):
             more.append(span)
     return more
 
