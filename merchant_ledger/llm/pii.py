@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-import hashlib
+import functools
 import re
-from collections.abc import Iterator
+import sys
+import unicodedata
+from bisect import bisect_right
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -27,22 +30,59 @@ LOOKALIKES = str.maketrans(
 DIGITS = ("zero", "one", "two", "three", "four", "five", "six", "seven", "eight", "nine")
 MARKS = str.maketrans("．＠＋－（）　。", ".@+-() .")
 
-#: What may be a disguise; a text without any is not normalised.
-DISGUISE = re.compile(
-    r"[Ͱ-ϿЀ-ԯ！-～　。]|[\[({<]\s*(?:at|dot)\s*[\])}>]|\s(?:at|dot)\s"
-    rf"|\b(?:{'|'.join(DIGITS)})[\s.,-]+(?:{'|'.join(DIGITS)})\b|\bplus\s",
-    re.IGNORECASE,
-)
-#: One pass of the transducer: each alternative is rewritten as a whole, all else is kept.
-REWRITE = re.compile(
-    r"(?P<at>\s*[\[({<]\s*at\s*[\])}>]\s*|\s+@\s+)"
-    r"|(?P<dot>\s*[\[({<]\s*dot\s*[\])}>]\s*)"
-    r"|(?P<said>(?<=[A-Za-z0-9])\s+at\s+(?=[A-Za-z0-9-]+(?:(?:\s+dot\s+|\s*[\[({<]\s*dot\s*[\])}>]\s*)[A-Za-z0-9-]+)+))"
-    r"|(?P<point>(?<=[A-Za-z0-9])\s+dot\s+(?=[A-Za-z]))"
-    rf"|(?P<digit>\b(?:{'|'.join(DIGITS)})\b(?:[ ,]+(?=(?:{'|'.join(DIGITS)})\b))?)"
-    r"|(?P<plus>\bplus\s+(?=[0-9]|(?:" + "|".join(DIGITS) + r")\b))",
-    re.IGNORECASE,
-)
+
+
+def _compatible() -> dict[int, str]:
+    """Other forms of ASCII letters, digits and signs: mathematical, circled, full width and so on.
+
+    A few are written as several characters. Raised and lowered digits are mostly footnotes
+    and powers, and stay, as do raised signs such as the trade mark.
+    """
+    found = {}
+    for c in map(chr, range(128, sys.maxunicode + 1)):
+        kind = unicodedata.decomposition(c).partition(" ")[0]
+        if kind[:1] != "<" or kind in ("<fraction>", "<noBreak>"):
+            continue
+        new = unicodedata.normalize("NFKC", c)
+        if kind in ("<super>", "<sub>") and not (len(new) == 1 and new.isascii() and new.isalpha() and c not in "ªº"):
+            continue
+        if re.fullmatch(r"[!-~]", new) or re.fullmatch(r"[A-Za-z0-9.@+()-]+", new) and re.search("[A-Za-z0-9]", new):
+            found[ord(c)] = new
+    return found
+
+
+#: What each single character is replaced by; İ and ı match an i where case is ignored.
+FOLD = {**_compatible(), ord("İ"): "I", ord("ı"): "i", **{k: chr(v) for k, v in (LOOKALIKES | MARKS).items()}}
+_DIGIT = rf"\b(?:{'|'.join(DIGITS)})\b"
+#: One pass of the transducer: each alternative is rewritten as a whole, all else is kept. With
+#: each goes what must be found, in lower case, where it can match, which is faster to look for.
+ALTERNATIVES = {
+    "at": (r"\s*[\[({<]\s*at\s*[\])}>]\s*|\s+@\s+", r"[\[({<]\s*at\s*[\])}>]|@(?<=\s@)(?=\s)", ()),
+    "dot": (r"\s*[\[({<]\s*dot\s*[\])}>]\s*", r"[\[({<]\s*dot\s*[\])}>]", ("dot",)),
+    "said": (
+        r"(?<=[A-Za-z0-9])\s+at\s+(?=[A-Za-z0-9-]+(?:(?:\s+dot\s+|\s*[\[({<]\s*dot\s*[\])}>]\s*)[A-Za-z0-9-]+)+)",
+        r"dot(?<=[\s\[({<]dot)(?=[\s\])}>])", ("dot",),
+    ),
+    "point": (r"(?<=[A-Za-z0-9])\s+dot\s+(?=[A-Za-z])", r"dot(?<=\sdot)(?=\s)", ("dot",)),
+    "digit": (rf"{_DIGIT}(?:[ ,]+(?={_DIGIT}))?", _DIGIT, DIGITS),
+    "plus": (rf"\bplus\s+(?=[0-9]|{_DIGIT})", r"plus(?<=\bplus)(?=\s)", ("plus",)),
+}
+_NEEDED = {kind: (literals, re.compile(needed)) for kind, (_, needed, literals) in ALTERNATIVES.items()}
+
+
+@functools.cache
+def rewriting(kinds: tuple[str, ...]) -> re.Pattern:
+    """The alternatives of these kinds in one pattern."""
+    return re.compile("|".join(f"(?P<{k}>{ALTERNATIVES[k][0]})" for k in kinds), re.IGNORECASE)
+
+
+def possible(plain: str) -> tuple[str, ...]:
+    """The kinds of alternatives that can match in a text; the others can't."""
+    low = plain.lower()
+    return tuple(
+        k for k, (literals, needed) in _NEEDED.items()
+        if (not literals or any(x in low for x in literals)) and needed.search(low)
+    )
 
 
 def luhn(digits: str) -> bool:
@@ -83,34 +123,53 @@ def detect(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
-def normalised(text: str) -> tuple[str, list[int], list[int]]:
-    """The text without its disguises, and where each of its characters starts and ends in ``text``.
+def folded(text: str) -> tuple[str, list[int] | range]:
+    """The text with FOLD applied, and the place in ``text`` of each of its characters."""
+    plain = text if text.isascii() else text.translate(FOLD)
+    if len(plain) == len(text):
+        return plain, range(len(text))
+    return plain, [i for i, c in enumerate(text) for _ in FOLD.get(ord(c), c)]
+
+
+def normalised(text: str) -> tuple[str, Callable[[int, int], tuple[int, int]]] | None:
+    """The text without its disguises, and what maps a span in it to its place in ``text``.
 
     First characters are replaced one by one: look-alikes, full width, marks. Then words are
     rewritten: (at) and dot, spelled digits, plus. A word of digits has the place of all of
-    its letters.
+    its letters. None if there is nothing to replace.
     """
-    plain = text.translate(LOOKALIKES).translate(MARKS)
-    plain = "".join(chr(ord(c) - 0xFEE0) if "！" <= c <= "～" else c for c in plain)
-    out, starts, ends, done = [], [], [], 0
-    for m in REWRITE.finditer(plain):
-        out.append(plain[done : m.start()])
-        starts.extend(range(done, m.start()))
-        ends.extend(range(done + 1, m.start() + 1))
+    plain, places = folded(text)
+    kinds = possible(plain)
+    if not kinds and plain == text:
+        return None
+    out, size, done = [], 0, 0
+    at, froms, lasts, nexts = [], [], [], []  # of each rewritten character: its place, and what it stands for
+    for m in rewriting(kinds).finditer(plain) if kinds else ():
         kind = m.lastgroup
         if kind == "digit":
             word = re.match("[a-z]+", m[0].lower())[0]
             new, last = str(DIGITS.index(word)), m.start() + len(word)
         else:
             new, last = {"at": "@", "said": "@", "dot": ".", "point": ".", "plus": "+"}[kind], m.end()
-        out.append(new)
-        starts.append(m.start())
-        ends.append(last)
+        out += plain[done : m.start()], new
+        size += m.start() - done + 1
         done = m.end()
+        at.append(size - 1)
+        froms.append(m.start())
+        lasts.append(last)
+        nexts.append(done)
+    if not at and plain == text:
+        return None
     out.append(plain[done:])
-    starts.extend(range(done, len(plain)))
-    ends.extend(range(done + 1, len(plain) + 1))
-    return "".join(out), starts, ends
+
+    def place(i: int) -> tuple[int, int]:
+        k = bisect_right(at, i) - 1
+        if k >= 0 and at[k] == i:
+            return froms[k], lasts[k]
+        start = i - at[k] - 1 + nexts[k] if k >= 0 else i
+        return start, start + 1
+
+    return "".join(out), lambda start, end: (places[place(start)[0]], places[place(end - 1)[1] - 1] + 1)
 
 
 def disguised(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
@@ -121,12 +180,14 @@ def disguised(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, in
     whose last label is not letters is left out too, and a number that was there before
     without passing.
     """
-    if not DISGUISE.search(text):
+    without = normalised(text)
+    if without is None:
         return []
-    plain, starts, ends = normalised(text)
+    plain, place = without
     more = []
     for start, kind, end in detect(plain):
-        span = starts[start], kind, ends[end - 1]
+        first, last = place(start, end)
+        span = first, kind, last
         if text[span[0] : span[2]] == plain[start:end]:
             continue
         if kind == 0 and not plain[start:end].rpartition(".")[2].isalpha():

@@ -16,6 +16,7 @@ def added(text):
     ("to j\u043ehn.doe@example.com now", 0, ["hn.doe@example.com"], "j\u043ehn.doe@example.com"),
     ("john (dot) doe@example.com", 0, ["doe@example.com"], "john (dot) doe@example.com"),
     ("mary@mail.example (dot) com", 0, ["mary@mail.example"], "mary@mail.example (dot) com"),
+    ("+1 507 555 225 seven", 3, ["+1 507 555 225"], "+1 507 555 225 seven"),
 ])
 def test_full_span_beside_base(text, kind, base, found):
     assert added(text) == ([(kind, b) for b in base], [(kind, found)])
