@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from merchant_ledger.functions.once import with_once
 from merchant_ledger.llm.common import materialize
 from merchant_ledger.llm.components import components
 
@@ -19,7 +20,10 @@ RULES = [
 LINK = r"(?is)<link\b[^>]*>"
 CANONICAL = r"(?is)\brel\s*=\s*[\"']?canonical\b"
 HREF = r"(?is)\bhref\s*=\s*[\"']?([^\"'\s>]+)"
-REFRESH = r"(?is)<meta\b[^>]*http-equiv\s*=\s*[\"']?refresh\b[^>]*?\burl\s*=\s*[\"']?([^\"'\s>;]+)"
+META = r"(?is)<meta\b[^>]*>"
+REFRESH = r"(?is)\bhttp-equiv\s*=\s*[\"']?refresh\b"
+REFRESH_URL = r"(?is)\burl\s*=\s*[\"']?([^\"'\s>;]+)"
+BASE = r"(?is)<base\b[^>]*?\bhref\s*=\s*[\"']?([^\"'\s>]+)"
 
 
 def lower(text: Column) -> Column:
@@ -49,29 +53,67 @@ def by_rules(rules=RULES) -> tuple[Column, Column]:
     return rule, verdict
 
 
+def without_dots(path: Column) -> Column:
+    """A path that starts with a slash, with . and .. segments resolved."""
+
+    def step(done: Column, part: Column) -> Column:
+        up = F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(1)))
+        return F.when(part == "..", up).when(part == ".", done).otherwise(F.concat(done, F.array(part)))
+
+    kept = F.array_join(F.aggregate(F.split(path, "/", -1), F.array().cast("array<string>"), step), "/")
+    end = F.when(path.rlike(r"/\.\.?$"), F.lit("/")).otherwise("")
+    return F.when(path.rlike(r"/\.\.?(/|$)"), F.concat(kept, end)).otherwise(path)
+
+
 def node(url: Column) -> Column:
-    """What names a page: host, path and query; neither scheme nor fragment. Null if no url."""
+    """What names a page: host, path without dots, and query; neither scheme nor fragment. Null if no url."""
     rest = F.regexp_extract(url, r"(?s)^.*?://[^/?#]*([^#]*)", 1)
-    named = F.concat(host_of(url), F.when(rest.startswith("/"), rest).otherwise(F.concat(F.lit("/"), rest)))
-    return F.when(host_of(url) != "", named)
+    rest = F.when(rest.startswith("/"), rest).otherwise(F.concat(F.lit("/"), rest))
+    path, query = (F.regexp_extract(rest, r"(?s)^([^?]*)(.*)", i) for i in (1, 2))
+    return F.when(host_of(url) != "", F.concat(host_of(url), without_dots(path), query))
+
+
+def resolved(base: Column, to: Column) -> Column:
+    """The url that a link ``to`` leads to from ``base``, dots not yet resolved; null for another
+    kind of place (mailto: and so on) and for a base without host."""
+    root = F.regexp_extract(base, r"(?s)^(.*?://[^/?#]*)", 1)
+    path = path_of(base)
+    folder = F.regexp_extract(path, r"(?s)^(.*/)", 1)
+    led = (
+        F.when(to.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"), to)
+        .when(to.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), F.lit(None))
+        .when(to.startswith("//"), F.concat(F.regexp_extract(base, r"(?s)^(.*?:)//", 1), to))
+        .when(to.startswith("/"), F.concat(root, to))
+        .when(to.startswith("?"), F.concat(root, path, to))
+        .when(to.startswith("#"), base)
+        .otherwise(F.concat(root, F.when(folder == "", F.lit("/")).otherwise(folder), to))
+    )
+    return F.when((host_of(base) != "") & (to != ""), led)
 
 
 def alias_edges(pages: DataFrame) -> DataFrame:
-    """(u, v): pages and what their canonical link or refresh leads to, as nodes."""
+    """(u, v): pages and what their canonical link or refresh leads to, as nodes.
+
+    Relative targets are resolved against the page's url, or its <base> where it has one.
+    """
     html = F.col("html")
     links = F.filter(F.regexp_extract_all(html, F.lit(LINK), F.lit(0)), lambda x: x.rlike(CANONICAL))
+    metas = F.filter(F.regexp_extract_all(html, F.lit(META), F.lit(0)), lambda x: x.rlike(REFRESH))
     targets = F.concat(
         F.transform(links, lambda x: F.regexp_extract(x, HREF, 1)),
-        F.regexp_extract_all(html, F.lit(REFRESH), F.lit(1)),
+        F.transform(metas, lambda x: F.regexp_extract(x, REFRESH_URL, 1)),
     )
-    led = pages.where(html.rlike(CANONICAL) | html.rlike(REFRESH)).select("url", F.explode(targets).alias("to"))
-    scheme = F.regexp_extract("url", r"(?s)^(.*?://)", 1)
-    to = (
-        F.when(F.col("to").contains("://"), F.col("to"))
-        .when(F.col("to").startswith("//"), F.concat(F.regexp_replace(scheme, "//$", ""), F.col("to")))
-        .when(F.col("to").startswith("/"), F.concat(scheme, host_of(F.col("url")), F.col("to")))
+    led = pages.where(html.rlike(CANONICAL) | html.rlike(REFRESH)).select(
+        "url", F.regexp_extract(html, BASE, 1).alias("base"), F.explode(targets).alias("to")
     )
-    return led.select(node(F.col("url")).alias("u"), node(to).alias("v")).where("u is not null and v is not null")
+    for name, column in (
+        ("base", F.coalesce(resolved(F.col("url"), F.col("base")), F.col("url"))),
+        ("to", resolved(F.col("base"), F.col("to"))),
+        ("u", node(F.col("url"))),
+        ("v", node(F.col("to"))),
+    ):
+        led = with_once(led, {name: column})
+    return led.select("u", "v").where("u is not null and v is not null")
 
 
 def judge(pages: DataFrame, rules=RULES, redirects: DataFrame | None = None) -> DataFrame:
@@ -82,7 +124,7 @@ def judge(pages: DataFrame, rules=RULES, redirects: DataFrame | None = None) ->
     with it: allow if any of them has an allow rule, else block if any has a block rule.
     A target counts with the rule of its own url even if it is no page here. A page without
     either is allowed. Aliases are components in the graph of links, found in joins; links
-    without a url at either end, to other places or in null html don't count. A null url or
+    without a url at either end, to what is no web page (mailto: and so on) or in null html don't count. A null url or
     one without :// has empty host and path. Repeated pages are judged each; no rows give no
     rows. Only page_id, url and html are read.
     """
