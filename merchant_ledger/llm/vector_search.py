@@ -82,15 +82,15 @@ def search(vectors: DataFrame, every: int = 100, nearest: int = NEAREST, probed:
     """(query_id, rank, vec_id, score): the ``nearest`` found of each query among all rows.
 
     Queries are the rows whose vec_id ``every`` divides. Equal vectors are searched once,
-    and of equal candidates only the ``nearest`` + 1 with the least ids can be in a result,
-    so a vector that very many rows have costs no more than others. Vectors lie in lists by
+    and of equal candidates only the ``nearest`` + 1 least ids, with the count of their rows
+    (``nearest`` at most), can be in a result, so a vector that very many rows have costs no more than others. Vectors lie in lists by
     nearest centroid; there are about as many lists as the root of half the rows. A query meets the rows
     of its nearest lists in blocks of bounded size, dealt by id; what the adaptive scan
     keeps is measured exactly, in double precision on the vectors as they are.
 
     Vectors that are null, zero, or hold null or non-finite components, rows without a
     vec_id, and vectors of another length than the most frequent one take no part. Ties go
-    to the smaller vec_id. Fewer candidates give shorter results; no rows give none. The
+    to the smaller vec_id. A repeated row is as many candidates. Fewer candidates give shorter results; no rows give none. The
     query's own row, and any with its vec_id, is no candidate. Other columns are not read.
     """
     spark = vectors.sparkSession
@@ -100,8 +100,11 @@ def search(vectors: DataFrame, every: int = 100, nearest: int = NEAREST, probed:
     kept = nearest + 1
     same = Window.partitionBy("key", "v").orderBy("vec_id")
     found = found.withColumn("key", F.xxhash64("v"))
-    rows = found.withColumn("nth", F.row_number().over(same)).where(F.col("nth") <= kept)
-    rows = materialize(rows.groupBy("key", "v").agg(F.sort_array(F.collect_list("vec_id")).alias("ids")), "near-rows")
+    rows = found.groupBy("key", "v", "vec_id").agg(F.least(F.count(F.lit(1)), F.lit(nearest)).alias("times"))
+    rows = rows.withColumn("nth", F.row_number().over(same)).where(F.col("nth") <= kept)
+    rows = rows.groupBy("key", "v").agg(F.sort_array(F.collect_list(F.struct("vec_id", "times"))).alias("ids"))
+    rows = rows.select("key", "v", F.col("ids.vec_id").alias("ids"), F.col("ids.times").alias("times"))
+    rows = materialize(rows, "near-rows")
     widths = rows.groupBy(F.size("v").alias("width")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "width").first()
     empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     if widths is None:
@@ -130,12 +133,16 @@ def search(vectors: DataFrame, every: int = 100, nearest: int = NEAREST, probed:
 
     kind = rows.schema["v"].dataType.simpleString()
     placed = materialize(
-        rows.mapInPandas(listed, f"key bigint, v {kind}, ids array<bigint>, list int"), "near-lists"
+        rows.mapInPandas(listed, f"key bigint, v {kind}, ids array<bigint>, times array<bigint>, list int"), "near-lists"
     )
-    wanted = asked.groupBy("key", "v").agg(F.min("vec_id").alias("query"))
+    # So many vectors a query's vec_id may have at most, its own among them; none of them is a neighbour.
+    own = asked.groupBy("key", "v", "vec_id").agg(F.lit(1).alias("one"))
+    own = own.join(own.groupBy("vec_id").agg(F.count(F.lit(1)).alias("own")), "vec_id")
+    searched = own.groupBy("key", "v").agg(F.max("own").alias("own"))
+    searched = materialize(searched.withColumn("query", F.monotonically_increasing_id()), "near-searched")
     wanted = materialize(
-        wanted.mapInPandas(probes, f"key bigint, v {kind}, query bigint, lists array<int>").select(
-            "query", "v", F.explode("lists").alias("list")
+        searched.select("key", "v", "query", "own").mapInPandas(probes, f"key bigint, v {kind}, query bigint, own bigint, lists array<int>").select(
+            "query", "own", "v", F.explode("lists").alias("list")
         ),
         "near-probes",
     )
@@ -155,31 +162,38 @@ def search(vectors: DataFrame, every: int = 100, nearest: int = NEAREST, probed:
         if len(some) and len(queries):
             exact = np.array(some["v"].tolist(), dtype=float)
             turned = exact @ turn
-            ids = some["ids"].to_numpy()
-            for query, vector in zip(queries["query"], queries["v"]):
+            ids, times = some["ids"].to_numpy(), some["times"].to_numpy()
+            for query, own, vector in zip(queries["query"], queries["own"], queries["v"]):
+                most = nearest + own
                 q = np.array(vector, dtype=float)
-                alive = adaptive(q @ turn, turned, kept)
+                alive = adaptive(q @ turn, turned, most)
                 score = np.sqrt(((exact[alive] - q) ** 2).sum(axis=1))
                 best = np.argsort(score, kind="stable")
-                if len(best) > kept:
-                    best = best[score[best] <= score[best[kept - 1]]]
+                if len(best) > most:
+                    best = best[score[best] <= score[best[most - 1]]]
                 for k in best:
-                    parts.append((query, ids[alive[k]].tolist(), score[k]))
-        return pd.DataFrame(parts, columns=["query", "ids", "score"])
+                    parts.append((query, ids[alive[k]].tolist(), times[alive[k]].tolist(), score[k]))
+        return pd.DataFrame(parts, columns=["query", "ids", "times", "score"])
 
     near = (
-        left.select(*group, "v", "ids").groupBy(*group)
-        .cogroup(right.select(*group, "v", "query").groupBy(*group))
-        .applyInPandas(met, "query bigint, ids array<bigint>, score double")
-        .select("query", F.explode("ids").alias("vec_id"), "score")
+        left.select(*group, "v", "ids", "times").groupBy(*group)
+        .cogroup(right.select(*group, "v", "query", "own").groupBy(*group))
+        .applyInPandas(met, "query bigint, ids array<bigint>, times array<bigint>, score double")
+        .select("query", F.inline(F.arrays_zip("ids", "times")), "score")
+        .withColumnRenamed("ids", "vec_id")
     )
-    best = Window.partitionBy("query").orderBy("score", "vec_id")
-    near = near.withColumn("nth", F.row_number().over(best)).where(F.col("nth") <= kept)
-    top = near.groupBy("query").agg(F.sort_array(F.collect_list(F.struct("score", "vec_id"))).alias("top"))
+    # The ``kept`` vec_ids that come first, whichever of them is the query's own; of each, its nearest rows.
+    first = F.min("score").over(Window.partitionBy("query", "vec_id"))
+    nth = F.row_number().over(Window.partitionBy("query", "vec_id").orderBy("score"))
+    near = near.withColumns({"first": first, "nth": nth}).where(F.col("nth") <= nearest)
+    place = F.dense_rank().over(Window.partitionBy("query").orderBy("first", "vec_id"))
+    near = near.withColumn("place", place).where(F.col("place") <= kept)
+    top = near.groupBy("query").agg(F.sort_array(F.collect_list(F.struct("score", "vec_id", "times"))).alias("top"))
     names = asked.select(F.col("vec_id").alias("query_id"), "key", "v").join(
-        asked.groupBy("key", "v").agg(F.min("vec_id").alias("query")), ["key", "v"]
+        searched.select("key", "v", "query"), ["key", "v"]
     )
-    others = F.slice(F.filter("top", lambda t: t["vec_id"] != F.col("query_id")), 1, nearest)
+    others = F.filter("top", lambda t: t["vec_id"] != F.col("query_id"))
+    others = F.slice(F.flatten(F.transform(others, lambda t: F.array_repeat(t, t["times"].cast("int")))), 1, nearest)
     return (
         names.join(top, "query")
         .select("query_id", F.posexplode(others).alias("at", "t"))
