@@ -85,6 +85,12 @@ def _cut(text: Column, span: Column) -> Column:
     return F.substring(text, span["start"] + 1, span["end"] - span["start"])
 
 
+def _value(text: Column, span: Column) -> Column:
+    """Of an assignment its value; of other spans all."""
+    whole = _cut(text, span)
+    return F.when(span["kind"] == "assign", F.regexp_extract(whole, f"^{ASSIGN}", 2)).otherwise(whole)
+
+
 def labelled_samples(docs: DataFrame, found: DataFrame) -> DataFrame:
     """(string, random): what the rules found in ``found`` and generated digests; ordinary words."""
     spark = docs.sparkSession
@@ -98,8 +104,11 @@ def labelled_samples(docs: DataFrame, found: DataFrame) -> DataFrame:
     for pattern in (ASSIGN, ACCESS, HEX):
         texts = texts.withColumn("text", F.regexp_replace("text", pattern, " "))
     ordinary = texts.select(F.explode(F.regexp_extract_all("text", F.lit(IDENTIFIER), F.lit(0))).alias("string"))
-    # What is to be judged is not learned from.
-    ordinary = ordinary.where(~(F.col("string").rlike(f"^{CANDIDATE}$") & F.col("string").rlike("[0-9]")))
+    # What is to be judged is not learned from, but for paths and names without digits that recur.
+    judged = F.col("string").rlike(f"^{CANDIDATE}$")
+    names = ordinary.where(judged & ~F.col("string").rlike("[0-9]")).groupBy("string").agg(F.count(F.lit(1)).alias("n"))
+    names = names.where("n > 1").select(F.explode(F.array_repeat("string", F.col("n").cast("int"))).alias("string"))
+    ordinary = ordinary.where(~judged).union(names)
     return (
         secrets.union(generated).select("string", F.lit(True).alias("random"))
         .union(ordinary.select("string", F.lit(False).alias("random")))
@@ -147,7 +156,7 @@ def scan(docs: DataFrame, model: list[float] | None = None) -> DataFrame:
     """``docs`` with ``_base`` and ``_all``: sorted arrays of (start, kind_no, end, kind).
 
     Rules first; then every further string of 20 or more characters of the alphabet that
-    has a digit, overlaps no span, and is likelier as a random string than as an ordinary
+    overlaps no span, and is likelier as a random string than as an ordinary
     identifier by the two Markov models (``train``; learned from ``docs`` if not given).
     Texts are read whole and rows are never shuffled. Null and empty texts have no spans;
     without any document the models know the generated strings only. Repeated rows are
@@ -157,13 +166,13 @@ def scan(docs: DataFrame, model: list[float] | None = None) -> DataFrame:
     if model is None:
         text = F.coalesce(F.col("text"), F.lit(""))
         found = base_spans(docs.select("text")).where(F.size("_base") > 0)
-        value = lambda s: F.regexp_extract(_cut(text, s), r"([A-Za-z0-9+/_.=-]+)$", 1)
-        found = materialize(found.select("_base", F.transform("_base", value).alias("values")), "secret-values")
+        values = F.transform("_base", lambda s: _value(text, s))
+        found = materialize(found.select("_base", values.alias("values")), "secret-values")
         model = train(labelled_samples(docs, found))
     text = F.coalesce(F.col("text"), F.lit(""))
     based = base_spans(docs)
     free = lambda m: ~F.exists("_base", lambda s: (s["start"] < m["end"]) & (s["end"] > m["start"]))
-    candidates = F.filter(matches(text, CANDIDATE), lambda m: free(m) & m["found"].rlike("[0-9]"))
+    candidates = F.filter(matches(text, CANDIDATE), free)
     listed = with_once(based, {
         "_candidates": _where_any(text, CANDIDATE, candidates, "array<struct<start:int,end:int,found:string>>")
     })
@@ -199,8 +208,7 @@ def redacted(docs: DataFrame, mark: str = "[secret]") -> DataFrame:
     text = F.col("text")
 
     def step(state: Column, span: Column) -> Column:
-        tail = F.length(F.regexp_extract(_cut(text, span), r"([A-Za-z0-9+/_.=-]+)$", 1))
-        start = F.when(span["kind"] == "assign", span["end"] - tail).otherwise(span["start"])
+        start = span["end"] - F.length(_value(text, span))
         before = F.substring(text, state["at"] + 1, F.greatest(start - state["at"], F.lit(0)))
         longer = F.concat(state["out"], F.when(start >= state["at"], F.concat(before, F.lit(mark))).otherwise(""))
         return F.struct(F.greatest(state["at"], span["end"]).alias("at"), longer.alias("out"))
