@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -58,3 +61,11 @@ def rank_within(df: DataFrame, keys: list[str], by: str, order: list[Column]) ->
         .withColumn("rank", F.col("_before") + F.col("_inside"))
         .drop("_bucket", "_before", "_inside")
     )
+
+
+def batches_of(frames: Iterator[pd.DataFrame], most: int = 4_000_000) -> Iterator[pd.DataFrame]:
+    """The frames, cut so that the texts of each have at most ``most`` characters or are one."""
+    for frame in frames:
+        at = frame["text"].str.len().cumsum() // most
+        for _, part in frame.groupby(at, sort=False):
+            yield part

@@ -3,15 +3,13 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from merchant_ledger.llm.common import materialize
+from merchant_ledger.llm.common import batches_of, materialize
 from merchant_ledger.llm.components import components
 
 SHINGLE = 3
@@ -73,14 +71,6 @@ def digest(tokens: np.ndarray) -> bytes:
     return hashlib.blake2b(tokens.tobytes(), digest_size=16).digest()
 
 
-def batches_of(frames: Iterator[pd.DataFrame], most: int = 4_000_000) -> Iterator[pd.DataFrame]:
-    """The frames, cut so that the texts of each have at most ``most`` characters or are one."""
-    for frame in frames:
-        at = frame["text"].str.len().cumsum() // most
-        for _, part in frame.groupby(at, sort=False):
-            yield part
-
-
 def _heads(docs: DataFrame, size: int, percent: int) -> DataFrame:
     """(doc_id, text_hash, n, digest, entries): a set's size, name and extended hash prefix.
 

@@ -9,10 +9,13 @@ from merchant_ledger.llm import (
     mixing,
     ngram_join,
     packing,
+    periodic_runs,
     pii,
     quality_classifier,
     quality_rules,
     secret_scan,
+    tokenizer_alignment,
+    toxicity,
     url_filters,
     vector_search,
 )
@@ -68,6 +71,24 @@ def op10_url_filters(spark: SparkSession, folder: str) -> DataFrame:
     return url_filters.op10(spark.read.parquet(f"{folder}/pages.parquet"))
 
 
+def op11_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.op11(documents(spark, folder), spark.read.parquet(f"{folder}/labels.parquet"))
+
+
+def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    return periodic_runs.op12(documents(spark, folder))
+
+
+def tokenizers() -> tokenizer_alignment.Tokenizers:
+    import public_tokenizers as files
+
+    return tokenizer_alignment.Tokenizers(vocabulary(), files.path("piece_bpe_32k.model"))
+
+
+def op13_tokenizer_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return tokenizer_alignment.op13(documents(spark, folder), tokenizers())
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -81,6 +102,9 @@ QUERIES = {
         op8_quality_rules,
         op9_language_model,
         op10_url_filters,
+        op11_toxicity,
+        op12_periodic_runs,
+        op13_tokenizer_alignment,
     )
 }
 ORACLE = {"op1_mix_sources": mixing.ORACLE}

@@ -1,0 +1,167 @@
+"""Alignment of two tokenizers against a brute-force version over all token pairs."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+from collections import Counter, defaultdict
+
+import numpy as np
+import public_tokenizers as files
+import pytest
+import samples
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from merchant_ledger.llm import tokenizer_alignment
+from merchant_ledger.llm.queries import tokenizers
+
+
+@pytest.fixture(scope="module")
+def models():
+    import sentencepiece
+    from tokenizers import Tokenizer
+
+    a = Tokenizer.from_file(files.path("byte_bpe_50k.json"))
+    a.encode_special_tokens = True
+    return a, sentencepiece.SentencePieceProcessor(model_file=files.path("piece_bpe_32k.model"))
+
+
+@pytest.fixture(scope="module")
+def letters():
+    """The byte that each character of the byte-level vocabulary stands for."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in plain]
+    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
+
+
+def brute_force(text, models, letters):
+    """(tokens of A, of B, groups as lists of both's ids), or None."""
+    a, b = models
+    if not text:
+        return None
+    raw = (" " + text).encode()
+    encoded = a.encode(" " + text, add_special_tokens=False)
+    bytes_a = [bytes(letters[c] for c in token) for token in encoded.tokens]
+    ids_b = b.encode(text)
+    pieces = [b.id_to_piece(i) for i in ids_b]
+    bytes_b = [bytes([int(p[3:5], 16)]) if b.is_byte(i) else p.replace("▁", " ").encode() for i, p in zip(ids_b, pieces)]
+    if b"".join(bytes_a) != raw or b"".join(bytes_b) != raw:
+        return None
+    ends_a, ends_b = np.cumsum([len(x) for x in bytes_a]).tolist(), np.cumsum([len(x) for x in bytes_b]).tolist()
+    groups, last = [], (0, 0)
+    for end in sorted(set(ends_a) & set(ends_b)):
+        until = ends_a.index(end, last[0]) + 1, ends_b.index(end, last[1]) + 1
+        groups.append((encoded.ids[last[0] : until[0]], ids_b[last[1] : until[1]]))
+        last = until
+    return len(ends_a), len(ends_b), groups
+
+
+def written(groups):
+    return ";".join(f"{','.join(map(str, a))}|{','.join(map(str, b))}" for a, b in groups)
+
+
+def expected(rows, models, letters):
+    found = [(doc_id, brute_force(text, models, letters)) for doc_id, text in rows]
+    links = [Counter((x, y) for a, b in each[2] for x in a for y in b) if each else Counter() for _, each in found]
+    count = Counter(pair for each in links for pair in each)
+    best = defaultdict(int)
+    for (a, _), n in count.items():
+        best[a] = max(best[a], n)
+    result = []
+    for (doc_id, each), own in zip(found, links):
+        if each is None:
+            result.append((doc_id, 0, 0, 0, 0, 0, 0, ""))
+            continue
+        result.append((
+            doc_id, each[0], each[1], len(each[2]), sum(own.values()),
+            sum(n for pair, n in own.items() if count[pair] == best[pair[0]]), sum(n * count[pair] for pair, n in own.items()),
+            hashlib.sha256(written(each[2]).encode()).hexdigest(),
+        ))
+    return result
+
+
+@pytest.mark.parametrize("source,chunk", [("odd", 1 << 15), ("odd", 4), ("table", 1 << 15)])
+def test_query(spark, models, letters, monkeypatch, source, chunk):
+    monkeypatch.setattr(tokenizer_alignment, "MOST_DOCS", chunk)
+    docs = samples.frame(spark) if source == "odd" else spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = [(r["doc_id"], r["text"]) for r in docs.select("doc_id", "text").collect()]
+    found = tokenizer_alignment.op13(docs.repartition(3), tokenizers())
+    assert found.columns == ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
+    assert Counter(map(tuple, found.collect())) == Counter(expected(rows, models, letters))
+
+
+POOL = [
+    "a", "b ", " ", "\n", "\t", "  ", "é", "é", "‍", "中文", "😀", "'s", "don't", " 12 ", "x" * 50, "\x1c", "\x85", " ",
+    "　", "▁", "<s>", "<|endoftext|>", "ﬁ", "\n\n  ", "\r\n", "\x00", "ab1", "!?", " ?", "   word", "end \n", "İ", "​", "<0x41>",
+]
+
+
+@pytest.fixture(scope="module")
+def aligner():
+    return tokenizer_alignment.Aligner(tokenizers())
+
+
+def groups_of(aligner, texts):
+    """What the chunk has for each text, without scores."""
+    chunk = tokenizer_alignment.Chunk(aligner)
+    chunk.add(list(range(len(texts))), texts)
+    return [doc[2:] for doc in chunk.docs]
+
+
+def of_brute_force(text, models, letters):
+    each = brute_force(text, models, letters)
+    if each is None:
+        return 0, 0, 0, 0, ""
+    sha = hashlib.sha256(written(each[2]).encode()).hexdigest()
+    return each[0], each[1], len(each[2]), sum(len(a) * len(b) for a, b in each[2]), sha
+
+
+def test_cuts_change_nothing(aligner, models, letters):
+    rng = random.Random(3)
+    texts = ["".join(rng.choice(POOL) for _ in range(rng.randint(0, 14))) for _ in range(1500)]
+    assert groups_of(aligner, texts) == [of_brute_force(t, models, letters) for t in texts]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text(max_size=40), max_size=4))
+def test_any_text(aligner, models, letters, texts):
+    texts = [t for t in texts if not any(0xD800 <= ord(c) < 0xE000 for c in t)]
+    assert groups_of(aligner, texts) == [of_brute_force(t, models, letters) for t in texts]
+
+
+def test_very_long_text(aligner, models, letters):
+    rng = random.Random(4)
+    text = " ".join(rng.choice(POOL[:2] + ["ordinary", "words", "of", "prose,"]) for _ in range(100_000))
+    found = groups_of(aligner, [text])[0]
+    assert found[:2] == (len(models[0].encode(" " + text, add_special_tokens=False).ids), len(models[1].encode(text)))
+
+
+@given(st.sets(st.integers(0, tokenizer_alignment.MOST_DOCS - 1), max_size=3000))
+def test_bitmaps(docs):
+    sorted_docs = np.array(sorted(docs), np.int64)
+    assert tokenizer_alignment.positions(tokenizer_alignment.bitmap(sorted_docs)).tolist() == sorted_docs.tolist()
+
+
+def test_dense_bitmap_is_bits():
+    docs = np.arange(0, 30_000, 2)
+    data = tokenizer_alignment.bitmap(docs)
+    assert len(data) < 4_000 and tokenizer_alignment.positions(data).tolist() == docs.tolist()
+
+
+@given(st.lists(st.dictionaries(st.integers(0, 999), st.integers(1, 5000), min_size=1, max_size=50), max_size=5))
+def test_planes(rows):
+    made = []
+    for times in rows:
+        docs = np.array(sorted(times), np.int64)
+        planes = tokenizer_alignment.planes(docs, np.array([times[d] for d in sorted(times)]))
+        assert tokenizer_alignment.union(planes).tolist() == docs.tolist()
+        made.append(planes)
+    sums = Counter()
+    for row, doc, n in zip(*tokenizer_alignment.expanded(made)):
+        sums[int(row), int(doc)] += int(n)
+    assert sums == {(i, d): n for i, times in enumerate(rows) for d, n in times.items()}
+
+
+def test_no_rows(spark):
+    assert tokenizer_alignment.op13(samples.frame(spark, []), tokenizers()).count() == 0
