@@ -32,6 +32,24 @@ def position(events: DataFrame, seq: Sequence[str]) -> Column:
     return (high + F.col(seq[1])).cast("decimal(38,0)")
 
 
+def slice_of(events: DataFrame, seq: Sequence[str], width: int) -> Column:
+    """A range of the sequence that an event is in, as text. ``width`` is in seconds for a
+    time and in positions for a number; rows between two of one range are of it too."""
+    kinds = dict(events.dtypes)
+    parts = []
+    for name in seq:
+        if kinds[name].startswith("timestamp"):
+            return _joined([*parts, F.floor(_micros(events, name) / F.lit(width * 1_000_000))])
+        if kinds[name] == "bigint":
+            return _joined([*parts, F.floor(F.col(name) / F.lit(width))])
+        parts.append(F.col(name))
+    return _joined(parts)
+
+
+def _joined(parts: Sequence[Column]) -> Column:
+    return F.concat_ws("/", *[part.cast("string") for part in parts])
+
+
 def lacks_position(seq: Sequence[str]) -> Column:
     """Whether a change (a row that is not of the table snapshot) has no place in the order."""
     missing = F.lit(False)

@@ -261,6 +261,14 @@ HANDOVER_STEPS = f"""
     sums AS ({_in_order(SUMS, "NOT is_snapshot, ts, event_id, order_id")}),
     running AS ({RUNNING})"""
 
+HOT = _with_steps(RUNNING_ROWS).replace(
+    "'P' || user_id AS order_id", "CASE WHEN event_id % 5 < 4 THEN 'HOT' ELSE 'P' || user_id END AS order_id"
+).replace(
+    "'M' || (user_id % 20) AS mch_no", "CASE WHEN event_id % 5 < 4 THEN 'M0' ELSE 'M' || (user_id % 20) END AS mch_no"
+)
+
+COVERED = "SELECT count(*) AS row_count, count(*) AS covered_once, true AS even FROM orders"
+
 ORACLE = {
     **{name: _with_steps(select) for name, select in SELECTS.items()},
     "snapshot_running": _with_steps(RUNNING_ROWS, IS_SNAPSHOT),
@@ -271,6 +279,19 @@ ORACLE = {
         event_type FROM running""",
     "handover_stream_totals": f"{HANDOVER_STEPS} {TOTALS}",
     "stream_batches_running": _in_arrival_order(RUNNING_ROWS),
+    "start_from_timestamp_pruned": _with_steps(SELECTS["start_from_timestamp"]),
+    "log_zones": _with_steps("""SELECT count(*) AS records, 0::BIGINT AS untimed, min(ms) AS first_ms,
+        max(ms) AS last_ms, min(event_id) AS first_pos, max(event_id) AS last_pos FROM changes"""),
+    "chunked_orders": COVERED,
+    "chunked_orders_text_key": COVERED,
+    "message_redelivery": _with_steps("""SELECT event_id, CASE event_id % 10 WHEN 3 THEN 'reject'
+        WHEN 6 THEN 'dead' WHEN 7 THEN 'dead' ELSE 'ack' END AS outcome,
+        CAST(CASE WHEN event_id % 10 = 3 THEN 1 WHEN event_id % 10 IN (6, 7) THEN 3
+             WHEN event_id % 4 = 2 THEN 2 ELSE 1 END AS INTEGER) AS attempts FROM changes"""),
+    "stream_hot_order_running": HOT,
+    "stream_order_states": _in_arrival_order(SELECTS["order_latest_state"]),
+    "stream_state_sizes": _with_steps("""SELECT mch_no, count(DISTINCT order_id) AS orders FROM changes
+        WHERE NOT is_snapshot GROUP BY mch_no"""),
     "stream_batches_totals": _in_arrival_order(TOTALS),
     "merchant_totals_log_position": _in_order(_with_steps(TOTALS), "event_id % 20, event_id"),
     "merchant_latest_kafka_position": _in_order(

@@ -11,17 +11,25 @@ from merchant_ledger.functions.buckets import buckets
 from merchant_ledger.operators import parsing, totals, transitions
 from merchant_ledger.operators.slices import slice_if_hot
 from merchant_ledger.schemas import BUCKETS, DELTAS, LOG_POSITION, MERCHANT
+from merchant_ledger.session import shared_folder
 from merchant_ledger.sinks.tables import jdbc_rows
 from merchant_ledger.sources import tables
 from merchant_ledger.sources.changes import KAFKA_SEQ
-from merchant_ledger.sources.messages import ACK, first_messages, read_messages, rejected
+from merchant_ledger.sources.chunks import MOST, chunk_number, plan_chunks
+from merchant_ledger.sources.messages import ACK, REJECT, first_messages, read_messages, rejected
 from merchant_ledger.sources.tables import SEQ
+from merchant_ledger.sources.zones import ZoneMap
 from merchant_ledger.streaming import replay
+from merchant_ledger.streaming.redelivery import DEAD
+from merchant_ledger.streaming.states import order_states, state_sizes
 
 PREFIX = "[ledger]"
 START_MILLIS = 1705276800000  # 2024-01-15 00:00 UTC
 # Small enough for the slices to be used on the smallest test tables.
 TINY_GROUP = 400
+SLICE_SECONDS = 6 * 3600
+LOG_FILES = 12
+CHUNKS = 20
 
 AMOUNTS = ["total_amount", *BUCKETS, "net_amount"]
 RUNNING = ["event_id", MERCHANT, *AMOUNTS, "event_type"]
@@ -75,6 +83,62 @@ def start_from_timestamp(spark: SparkSession, folder: str) -> DataFrame:
     return parsing.start_from(records, START_MILLIS).select("event_id", "ts_ms", "order_id")
 
 
+def start_from_timestamp_pruned(spark: SparkSession, folder: str) -> DataFrame:
+    """As start_from_timestamp, from files of which only those are read that matter."""
+    log, zones = shared_folder(spark, "log"), shared_folder(spark, "zones")
+    tables.write_log(envelopes(spark, folder), log, LOG_FILES)
+    zone_map = ZoneMap(spark, log, zones)
+    zone_map.update()
+    records = parsing.classified(zone_map.lines_from(START_MILLIS))
+    late = parsing.start_from(records, START_MILLIS)
+    return late.select(F.col("pos").alias("event_id"), "ts_ms", "order_id")
+
+
+def log_zones(spark: SparkSession, folder: str) -> DataFrame:
+    """What the zone map knows of a log that came in two parts."""
+    log, zones = shared_folder(spark, "log"), shared_folder(spark, "zones")
+    zone_map = ZoneMap(spark, log, zones)
+    for number in range(2):
+        part = envelopes(spark, folder).filter(F.col("event_id") % 2 == number)
+        tables.write_log(part, f"{log}/part{number}", LOG_FILES)
+        zone_map.update()
+    return zone_map.zones().agg(
+        F.sum("records").alias("records"),
+        F.sum("untimed").alias("untimed"),
+        F.min("first_ms").alias("first_ms"),
+        F.max("last_ms").alias("last_ms"),
+        F.min("first_pos").alias("first_pos"),
+        F.max("last_pos").alias("last_pos"),
+    )
+
+
+def _chunks(rows: DataFrame, key: str) -> DataFrame:
+    """How the planned chunks cover the rows: each once, none of more than twice its share."""
+    size = max(1, rows.count() // CHUNKS)
+    chunks = plan_chunks(rows, key, size)
+    covered = rows.withColumns({
+        "chunk": chunk_number(chunks, key),
+        "times": sum((F.coalesce(F.expr(chunk.predicate(key)).cast("int"), F.lit(0)) for chunk in chunks), F.lit(0)),
+    })
+    per_chunk = covered.groupBy("chunk").agg(F.count("*").alias("n"), F.count_if(F.col("times") == 1).alias("once"))
+    return per_chunk.agg(
+        F.sum("n").alias("row_count"), F.sum("once").alias("covered_once"), (F.max("n") <= MOST * size).alias("even")
+    )
+
+
+def chunked_orders(spark: SparkSession, folder: str) -> DataFrame:
+    """Chunks of ``orders`` by a key whose values are dense at one end and rare at the other."""
+    key = F.col("o_orderkey") * F.col("o_orderkey") * F.col("o_orderkey")
+    return _chunks(spark.read.parquet(f"{folder}/orders.parquet").select(key.alias("id")), "id")
+
+
+def chunked_orders_text_key(spark: SparkSession, folder: str) -> DataFrame:
+    """The same by a text key, with a null and a quote in some."""
+    number = F.col("o_orderkey")
+    key = F.when(number % 100 != 0, F.concat(F.lit("o'"), number.cast("string")))
+    return _chunks(spark.read.parquet(f"{folder}/orders.parquet").select(key.alias("id")), "id")
+
+
 def with_faults(spark: SparkSession, folder: str) -> DataFrame:
     """All events as envelopes, some of them damaged in one of eight ways."""
     value = F.col("value")
@@ -323,6 +387,16 @@ def message_dispositions(spark: SparkSession, folder: str) -> DataFrame:
     return read.groupBy("disposition").agg(F.count("*").alias("messages"))
 
 
+def message_redelivery(spark: SparkSession, folder: str) -> DataFrame:
+    """Where each message ends, and after how many offers."""
+    queue = replay.redelivery_of(spark, damaged_messages(spark, folder).select("event_id", "value"))
+    ends = [
+        queue.table(outcome).select("event_id", F.lit(outcome).alias("outcome"), F.col("attempt").alias("attempts"))
+        for outcome in (ACK, REJECT, DEAD)
+    ]
+    return ends[0].unionByName(ends[1]).unionByName(ends[2])
+
+
 def message_fallbacks(spark: SparkSession, folder: str) -> DataFrame:
     """Merchant and type as read from messages that lack them, or hold a null."""
     kind = F.col("event_id") % 3
@@ -371,6 +445,23 @@ def stream_merchant_totals(spark: SparkSession, folder: str) -> DataFrame:
     return replay.ledger_of(spark, folder).totals().select(MERCHANT, *AMOUNTS)
 
 
+def stream_hot_order_running(spark: SparkSession, folder: str) -> DataFrame:
+    """Four of five events are of one order, whose rows are spread over tasks."""
+    ledger = replay.ledger_of_hot_order(spark, folder, SLICE_SECONDS)
+    return ledger.changelog().select(*RUNNING)
+
+
+def stream_order_states(spark: SparkSession, folder: str) -> DataFrame:
+    """The states that the stream has kept, read from its checkpoint."""
+    ledger = replay.ledger_of_arrivals(spark, folder)
+    return order_states(spark, f"{ledger.folder}/checkpoint")
+
+
+def stream_state_sizes(spark: SparkSession, folder: str) -> DataFrame:
+    ledger = replay.ledger_of(spark, folder)
+    return state_sizes(spark, f"{ledger.folder}/checkpoint")
+
+
 def stream_batches_running(spark: SparkSession, folder: str) -> DataFrame:
     return replay.ledger_of_arrivals(spark, folder).changelog().select(*RUNNING)
 
@@ -398,6 +489,10 @@ QUERIES = {
         snapshot_flag,
         table_filter,
         start_from_timestamp,
+        start_from_timestamp_pruned,
+        log_zones,
+        chunked_orders,
+        chunked_orders_text_key,
         cdc_quarantine,
         merchant_key_filter,
         discarded_events,
@@ -428,6 +523,7 @@ QUERIES = {
         stats_json_roundtrip,
         bad_messages,
         message_dispositions,
+        message_redelivery,
         damaged_stats_report,
         message_fallbacks,
         first_ten_messages,
@@ -435,6 +531,9 @@ QUERIES = {
         jdbc_insert_rows,
         stream_merchant_running,
         stream_merchant_totals,
+        stream_hot_order_running,
+        stream_order_states,
+        stream_state_sizes,
         stream_batches_running,
         stream_batches_totals,
         handover_stream_running,

@@ -53,6 +53,20 @@ def change_events(events: DataFrame, *keep: str) -> DataFrame:
     )
 
 
+def with_hot_order(changes: DataFrame) -> DataFrame:
+    """The changes, four of five of them of one order."""
+    hot = F.col("event_id") % 5 < 4
+    return changes.withColumns({
+        "order_id": F.when(hot, "HOT").otherwise(F.col("order_id")),
+        "mch_no": F.when(hot, "M0").otherwise(F.col("mch_no")),
+    })
+
+
+def write_log(envelopes: DataFrame, folder: str, files: int) -> None:
+    """Envelopes as the text files of a change log, each with a range of its positions."""
+    envelopes.repartitionByRange(files, "event_id").select("value").write.mode("overwrite").text(folder)
+
+
 def arrival() -> Column:
     """In which of four batches an event arrives: by week, and some a batch too late."""
     week = F.lit(0)

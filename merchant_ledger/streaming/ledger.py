@@ -57,7 +57,8 @@ class Ledger:
     reads one base and less than ``batches_per_base`` sums, however long the history is.
     ``sinks`` get the changelog of each batch; they may see a batch twice and can tell by
     its id, or by merchant and sequence. ``keep`` names further columns of the events for
-    the changelog; all others are dropped before the state.
+    the changelog; all others are dropped before the state. ``slice_width`` (seconds or
+    positions) lets one order have most rows of a micro-batch.
     """
 
     def __init__(
@@ -69,11 +70,12 @@ class Ledger:
         rows_per_group: int = ROWS_PER_GROUP,
         keep: Sequence[str] = (),
         batches_per_base: int = BATCHES_PER_BASE,
+        slice_width: int | None = None,
     ):
         self.spark, self.folder, self.seq = spark, folder, list(seq)
         self.sinks, self.rows_per_group = list(sinks), rows_per_group
         self.columns = list(dict.fromkeys([*CHANGE_COLUMNS, *seq, *keep]))
-        self.batches_per_base = batches_per_base
+        self.batches_per_base, self.slice_width = batches_per_base, slice_width
 
     def _path(self, table: str, batch_id: int | None = None) -> str:
         path = f"{self.folder}/{table}"
@@ -221,7 +223,7 @@ def start(
     conf.set(key, ROCKSDB)  # order states outgrow the heap
     try:
         return (
-            observed(with_update_time(order_deltas(changes.select(*ledger.columns), ledger.seq, ledger.shards())))
+            observed(with_update_time(_deltas(changes, ledger)))
             .writeStream.foreachBatch(ledger.apply)
             .option("checkpointLocation", checkpoint)
             .outputMode("append")
@@ -232,6 +234,10 @@ def start(
         conf.set(key, before)
 
 
+def _deltas(changes: DataFrame, ledger: Ledger) -> DataFrame:
+    return order_deltas(changes.select(*ledger.columns), ledger.seq, ledger.shards(), ledger.slice_width)
+
+
 def run_for(query: StreamingQuery, seconds: int) -> None:
     """Let the query run for a time, then stop it. It can be started again later."""
     if not query.awaitTermination(seconds):

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from merchant_ledger.operators.sequence import with_positions
+from merchant_ledger.operators.sequence import slice_of, with_positions
 from merchant_ledger.schemas import (
     CANCELLED,
     DELTAS,
@@ -36,25 +36,37 @@ ORDER_STATE = struct(state="integer", amount="long")
 CODES = dict(zip(DELTAS, (SUCCESS, REFUNDED, CANCELLED)))
 
 
-def order_deltas(changes: DataFrame, seq: Sequence[str], shards: int) -> DataFrame:
+# Of a row in its slice of a micro-batch: whether it is the order's first or last there.
+FIRST, LAST = 1, 2
+PREVIOUS = {"prev_state": "integer", "prev_amount": "long", "edge": "integer"}
+
+
+def order_deltas(changes: DataFrame, seq: Sequence[str], shards: int, slice_width: int | None = None) -> DataFrame:
     """Streaming form of ``transitions.with_deltas``; other columns pass through.
 
     Orders are spread over ``shards`` groups by merchant *and order*, so a merchant with a
     third of all rows is spread too. Each group is one call with all its orders, as calls
-    are dear and rows are not. Snapshot rows need no state and are spread by sequence.
+    are dear and rows are not. Rows that need no state (those of the snapshot) are spread by sequence.
     ``shards`` belongs to the checkpoint: it must stay the same when the query restarts.
+
+    With ``slice_width`` a single order may have most rows of a micro-batch: its rows are
+    dealt into ranges of the sequence first, and find the row before them there. The state
+    then sees an order's first and last row of each range only. The width, in seconds or
+    positions, may be another one after a restart; results never depend on it.
     """
-    spread = F.when(F.col("is_snapshot"), F.xxhash64(*seq)).otherwise(
-        F.xxhash64(MERCHANT, ORDER)
-    )
     output = changes.drop("state", "amount").schema
     for delta in DELTAS:
         output = output.add(delta, "long")
     changes = with_positions(changes, seq)
+    # A null amount only occurs in states that move no money.
+    changes = changes.withColumn("amount", F.coalesce("amount", F.lit(0)))
+    needs_no_state = F.col("is_snapshot")
+    if slice_width is not None:
+        changes = in_slices(changes, seq, slice_width, shards)
+        needs_no_state = needs_no_state | (F.col("edge") == 0)
+    spread = F.when(needs_no_state, F.xxhash64(*seq)).otherwise(F.xxhash64(MERCHANT, ORDER))
     return (
-        # A null amount only occurs in states that move no money.
-        changes.withColumn("amount", F.coalesce("amount", F.lit(0)))
-        .withColumn("shard", F.pmod(spread, F.lit(shards)))
+        changes.withColumn("shard", F.pmod(spread, F.lit(shards)))
         .groupBy("shard")
         .transformWithStateInPandas(
             OrderTransitions(list(seq), output.names), output, outputMode="append", timeMode="none"
@@ -62,6 +74,41 @@ def order_deltas(changes: DataFrame, seq: Sequence[str], shards: int) -> DataFra
     )
 
 
+def in_slices(changes: DataFrame, seq: Sequence[str], width: int, partitions: int) -> DataFrame:
+    """Adds to every row of a micro-batch the state and amount of the order's row before it in
+    its range of the sequence, and to the first and last of a range the mark that they are.
+
+    An order's rows of one range meet in one task, those of many ranges in many: no task
+    gets more than its share of a hot order. Works on batch and streaming frames alike.
+    """
+    schema = changes.schema
+    for name, kind in PREVIOUS.items():
+        schema = schema.add(name, kind)
+    dealt = changes.withColumn("slice", slice_of(changes, seq, width)).repartition(partitions, MERCHANT, ORDER, "slice")
+    seq, names = list(seq), schema.names
+
+    def marked(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        frames = [frame for frame in frames if len(frame)]
+        if not frames:
+            return
+        rows = pd.concat(frames, ignore_index=True)
+        state, amount = np.full(len(rows), -1), np.zeros(len(rows), np.int64)
+        edge = np.zeros(len(rows), np.int64)
+        of_log = rows[~rows["is_snapshot"].astype(bool)].sort_values(seq, kind="stable")
+        if len(of_log):
+            group = of_log.groupby([MERCHANT, ORDER, "slice"], sort=False, dropna=False).ngroup().to_numpy()
+            by_group = np.argsort(group, kind="stable")
+            at = of_log.index.to_numpy()[by_group]
+            first = np.diff(group[by_group], prepend=-1) != 0
+            edge[at] = FIRST * first + LAST * np.roll(first, -1)
+            later, before = at[~first], at[np.roll(~first, -1)]
+            state[later] = rows["state"].to_numpy()[before]
+            amount[later] = rows["amount"].to_numpy()[before]
+        yield rows.assign(prev_state=state, prev_amount=amount, edge=edge)[names]
+
+    return dealt.mapInPandas(marked, schema)
+
+
 class OrderTransitions(StatefulProcessor):
     """Rows are ordered by ``seq`` within a micro-batch; a row that arrives in a later one
     is applied on arrival. The rate limit of the source bounds the rows of a call."""
@@ -78,6 +125,13 @@ class OrderTransitions(StatefulProcessor):
         deltas = {name: _bucket(code, state, amount) for name, code in CODES.items()}
 
         changes = events[~events["is_snapshot"].astype(bool)]
+        if "edge" in events:
+            edge = events["edge"].to_numpy()
+            known = edge == LAST  # and, without an edge, what the state needn't see
+            known |= (edge == 0) & ~events["is_snapshot"].to_numpy().astype(bool)
+            before = events["prev_state"].to_numpy(), events["prev_amount"].to_numpy()
+            from_slice = {name: deltas[name] - _bucket(code, *before) for name, code in CODES.items()}
+            changes = changes[changes["edge"] > 0]
         if len(changes):
             changes = changes.sort_values(self.seq, kind="stable")
             orders = changes.groupby([MERCHANT, ORDER], sort=False, dropna=False).ngroup()
@@ -94,6 +148,8 @@ class OrderTransitions(StatefulProcessor):
             for key, new in zip(keys, states):
                 self.orders.updateValue(key, new)
 
+        if "edge" in events:
+            deltas = {name: np.where(known, from_slice[name], deltas[name]) for name in CODES}
         yield events.assign(**deltas)[self.output]
 
     @staticmethod

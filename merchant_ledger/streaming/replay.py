@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from merchant_ledger.operators.parsing import good_changes
 from merchant_ledger.session import shared_folder
 from merchant_ledger.sources import tables
-from merchant_ledger.sources.changes import snapshot_records
+from merchant_ledger.sources.changes import batch_limit, snapshot_records
 from merchant_ledger.streaming.ledger import Ledger, hand_over, start
+from merchant_ledger.streaming.redelivery import ATTEMPT, Redelivery
 
 ALL = {"availableNow": True}
 
@@ -24,6 +25,26 @@ def ledger_of(spark: SparkSession, folder: str, **options) -> Ledger:
     return ledger
 
 
+def ledger_of_hot_order(spark: SparkSession, folder: str, slice_width: int) -> Ledger:
+    """The ledger of all events, four of five of which are one order's."""
+    target = shared_folder(spark, "ledger")
+    ledger = Ledger(spark, target, tables.SEQ, slice_width=slice_width)
+    changes = tables.with_hot_order(tables.change_events(tables.stream_events(spark, folder)))
+    start(changes, ledger, f"{target}/checkpoint", ALL).awaitTermination()
+    return ledger
+
+
+def redelivery_of(spark: SparkSession, messages: DataFrame) -> Redelivery:
+    """All messages offered until each is handled, rejected or dead. Those with a number that
+    is 2 modulo 4 are refused at first."""
+    source, target = shared_folder(spark, "messages"), shared_folder(spark, "redelivery")
+    messages.write.parquet(source)
+    refused = (F.col("event_id") % 4 == 2) & (F.col(ATTEMPT) == 0)
+    queue = Redelivery(spark, target, ["event_id"], messages.schema, refused)
+    queue.run(spark.readStream.schema(messages.schema).options(**batch_limit()).parquet(source), f"{target}/checkpoint")
+    return queue
+
+
 ARRIVALS = 4
 
 
