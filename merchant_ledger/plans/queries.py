@@ -457,6 +457,12 @@ def stream_order_states(spark: SparkSession, folder: str) -> DataFrame:
     return order_states(spark, f"{ledger.folder}/checkpoint")
 
 
+def stream_latest(spark: SparkSession, folder: str) -> DataFrame:
+    """The latest totals per merchant, as the stream's own table has them."""
+    latest = replay.latest_of_arrivals(spark, folder).table()
+    return latest.select(MERCHANT, *AMOUNTS, "event_type", "event_id")
+
+
 def stream_state_sizes(spark: SparkSession, folder: str) -> DataFrame:
     ledger = replay.ledger_of(spark, folder)
     return state_sizes(spark, f"{ledger.folder}/checkpoint")
@@ -534,6 +540,7 @@ QUERIES = {
         stream_hot_order_running,
         stream_order_states,
         stream_state_sizes,
+        stream_latest,
         stream_batches_running,
         stream_batches_totals,
         handover_stream_running,

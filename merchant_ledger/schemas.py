@@ -36,28 +36,7 @@ def _each(kind: str, names: str) -> dict[str, str]:
     return {name: kind for name in names.split()}
 
 
-# The payment order as stored. Only the four fields of ORDER_IMAGE are read by
-# the totals; the full list is for table snapshots.
-PAY_ORDER = struct(
-    **_each(
-        "string",
-        "op pay_order_id mch_no isv_no store_no qr_code_no market_no app_id mch_name "
-        "mch_order_no if_code way_code currency clientIp subject body channelExtra "
-        "channelUser channelOrderNo errCode errMsg extParam notifyUrl returnUrl "
-        "transSerialNumber marketName storeName isvName creator updater",
-    ),
-    **_each(
-        "integer",
-        "mch_type state entryState notifyState refundState refundTimes divisionMode "
-        "divisionState",
-    ),
-    **_each("long", "amount mchFeeAmount refundAmount tenantId"),
-    mchFeeRate="decimal(20,6)",
-    **_each("timestamp_ntz", "divisionLastTime expiredTime successTime createTime updateTime"),
-    deleted="boolean",
-)
-
-# Numbers are read as text and cast one by one, so that one mistyped value is
+# The fields of a payment order that the totals read. Numbers are read as text and cast one by one, so that one mistyped value is
 # told apart from an envelope that is no JSON at all.
 ORDER_IMAGE = struct(pay_order_id="string", mch_no="string", amount="string", state="string")
 

@@ -25,6 +25,7 @@ from merchant_ledger.operators.totals import (
     with_update_time,
 )
 from merchant_ledger.schemas import BUCKETS, CHANGE_COLUMNS, MERCHANT, ORDER, struct
+from merchant_ledger.session import delete
 from merchant_ledger.streaming.metrics import observed
 from merchant_ledger.streaming.orders import ROCKSDB, order_deltas
 
@@ -50,15 +51,21 @@ class Ledger:
     ``deltas``     what each event added,
     ``changelog``  one row per event with its merchant's totals just after it,
     ``sums``       what the batch added, for its own merchants only,
-    ``base``       all merchants' totals, after every ``batches_per_base`` batches.
+    ``base``       all merchants' totals, after every ``batches_per_base`` batches,
+    ``ranges``     the changelog of closed groups of so many batches, in few files each.
 
     Batch -1 holds the table snapshot of a hand-over. A micro-batch that is run again after
     a failure overwrites its own partitions, so the tables hold every event once. A batch
     reads one base and less than ``batches_per_base`` sums, however long the history is.
+    When a group of batches is closed, its changelog is merged into a range, and tables of
+    the group before it, which nobody reads any more, are removed: the small files are those
+    of two groups at most.
     ``sinks`` get the changelog of each batch; they may see a batch twice and can tell by
     its id, or by merchant and sequence. ``keep`` names further columns of the events for
     the changelog; all others are dropped before the state. ``slice_width`` (seconds or
-    positions) lets one order have most rows of a micro-batch.
+    positions) lets one order have most rows of a micro-batch. ``ttl_ms`` forgets an order
+    so long after its last change, by the clock: its next change then counts as its first.
+    Off by default; the first start decides.
     """
 
     def __init__(
@@ -71,11 +78,12 @@ class Ledger:
         keep: Sequence[str] = (),
         batches_per_base: int = BATCHES_PER_BASE,
         slice_width: int | None = None,
+        ttl_ms: int | None = None,
     ):
         self.spark, self.folder, self.seq = spark, folder, list(seq)
         self.sinks, self.rows_per_group = list(sinks), rows_per_group
         self.columns = list(dict.fromkeys([*CHANGE_COLUMNS, *seq, *keep]))
-        self.batches_per_base, self.slice_width = batches_per_base, slice_width
+        self.batches_per_base, self.slice_width, self.ttl_ms = batches_per_base, slice_width, ttl_ms
 
     def _path(self, table: str, batch_id: int | None = None) -> str:
         path = f"{self.folder}/{table}"
@@ -114,6 +122,7 @@ class Ledger:
         if known is None and self.last_batch() not in (None, OPENING):
             raise ValueError(f"the ledger {self.folder} has batches, but no checkpoint {checkpoint}")
         self._setting("batches_per_base", self.batches_per_base)
+        self.ttl_ms = self._setting("ttl_ms", self.ttl_ms or 0) or None
 
     def open_with(self, snapshot: DataFrame, like: DataFrame, order: Sequence[str]) -> None:
         """The events of a table snapshot as batch -1: one row of the changelog per event, and
@@ -143,9 +152,36 @@ class Ledger:
             self._write(_added_up([*before, of_batch]), "base", batch_id)
         # Two places in turn: the last but one is there while this one is written.
         self._write(self.spark.range(1).select(F.lit(batch_id).alias("last")), "last", batch_id % 2)
+        if (batch_id + 1) % self._every() == 0:
+            self._close_group(batch_id)
+        delete(self.spark, self._path("deltas", batch_id - 1))
         for sink in self.sinks:
             sink(self._read("changelog", batch_id), batch_id)
 
+    def _close_group(self, last: int) -> None:
+        """Merge the changelog of the group of batches that ends with ``last``.
+
+        The range is whole before the mark that makes it count, and the group's own tables
+        stay until the next group is closed, for readers that have begun with them.
+        """
+        every = self._every()
+        first = last - every + 1
+        rows = self._batches("changelog").filter(F.col("batch_id").between(first, last))
+        rows.write.mode("overwrite").parquet(f"{self.folder}/ranges/{last:012d}")
+        self._write(self.spark.range(1).select(F.lit(last).alias("merged")), "merged", last // every % 2)
+        for batch_id in range(first - every, first):
+            delete(self.spark, self._path("changelog", batch_id)) if batch_id > OPENING else None
+            delete(self.spark, self._path("sums", batch_id))
+        delete(self.spark, self._path("base", first - every - 1))
+
+    def merged(self) -> int | None:
+        """The last batch whose changelog is in a range."""
+        written = self._read_if_there("merged")
+        return None if written is None else written.agg(F.max("merged")).first()[0]
+
+    def _batches(self, table: str) -> DataFrame:
+        return self.spark.read.parquet(self._path(table))
+
     def _every(self) -> int:
         return self._setting("batches_per_base", self.batches_per_base)
 
@@ -173,7 +209,12 @@ class Ledger:
         return finish(running_sums(deltas, self.seq))
 
     def changelog(self) -> DataFrame:
-        return self.spark.read.parquet(self._path("changelog"))
+        merged = self.merged()
+        if merged is None:
+            return self._batches("changelog")
+        single = self._batches("changelog").filter((F.col("batch_id") > merged) | (F.col("batch_id") == OPENING))
+        ranges = [f"{self.folder}/ranges/{last:012d}" for last in range(self._every() - 1, merged + 1, self._every())]
+        return self.spark.read.schema(single.schema).parquet(*ranges).unionByName(single)
 
     def last_batch(self) -> int | None:
         """The last batch whose tables are whole; -1 for a snapshot only."""
@@ -218,9 +259,15 @@ def start(
     checkpoint, so a batch that runs again has the same one.
     """
     ledger.claim(checkpoint)
-    conf, key = ledger.spark.conf, "spark.sql.streaming.stateStore.providerClass"
-    before = conf.get(key)
-    conf.set(key, ROCKSDB)  # order states outgrow the heap
+    conf = ledger.spark.conf
+    settings = {"spark.sql.streaming.stateStore.providerClass": ROCKSDB}  # order states outgrow the heap
+    if ledger.ttl_ms:
+        # Otherwise a state with a clock asks for empty batches without end. What has expired
+        # is not read, and is removed with the next batch.
+        settings["spark.sql.streaming.noDataMicroBatches.enabled"] = "false"
+    before = {key: conf.get(key) for key in settings}
+    for key, value in settings.items():
+        conf.set(key, value)
     try:
         return (
             observed(with_update_time(_deltas(changes, ledger)))
@@ -231,11 +278,12 @@ def start(
             .start()
         )
     finally:
-        conf.set(key, before)
+        for key, value in before.items():
+            conf.set(key, value)
 
 
 def _deltas(changes: DataFrame, ledger: Ledger) -> DataFrame:
-    return order_deltas(changes.select(*ledger.columns), ledger.seq, ledger.shards(), ledger.slice_width)
+    return order_deltas(changes.select(*ledger.columns), ledger.seq, ledger.shards(), ledger.slice_width, ledger.ttl_ms)
 
 
 def run_for(query: StreamingQuery, seconds: int) -> None:

@@ -28,8 +28,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
-# What is kept per merchant and order. It is never removed: without the last state, the
-# next change would be taken for the first one.
+# What is kept per merchant and order. Unless a time to live is asked for, it is never removed:
+# without the last state, the next change would be taken for the first one.
 ORDER_KEY = struct(**{MERCHANT: "string", ORDER: "string"})
 ORDER_STATE = struct(state="integer", amount="long")
 
@@ -41,7 +41,13 @@ FIRST, LAST = 1, 2
 PREVIOUS = {"prev_state": "integer", "prev_amount": "long", "edge": "integer"}
 
 
-def order_deltas(changes: DataFrame, seq: Sequence[str], shards: int, slice_width: int | None = None) -> DataFrame:
+def order_deltas(
+    changes: DataFrame,
+    seq: Sequence[str],
+    shards: int,
+    slice_width: int | None = None,
+    ttl_ms: int | None = None,
+) -> DataFrame:
     """Streaming form of ``transitions.with_deltas``; other columns pass through.
 
     Orders are spread over ``shards`` groups by merchant *and order*, so a merchant with a
@@ -52,7 +58,8 @@ def order_deltas(changes: DataFrame, seq: Sequence[str], shards: int, slice_widt
     With ``slice_width`` a single order may have most rows of a micro-batch: its rows are
     dealt into ranges of the sequence first, and find the row before them there. The state
     then sees an order's first and last row of each range only. The width, in seconds or
-    positions, may be another one after a restart; results never depend on it.
+    positions, may be another one after a restart; results never depend on it. ``ttl_ms``
+    is part of the checkpoint, like the shards.
     """
     output = changes.drop("state", "amount").schema
     for delta in DELTAS:
@@ -69,7 +76,10 @@ def order_deltas(changes: DataFrame, seq: Sequence[str], shards: int, slice_widt
         changes.withColumn("shard", F.pmod(spread, F.lit(shards)))
         .groupBy("shard")
         .transformWithStateInPandas(
-            OrderTransitions(list(seq), output.names), output, outputMode="append", timeMode="none"
+            OrderTransitions(list(seq), output.names, ttl_ms),
+            output,
+            outputMode="append",
+            timeMode="ProcessingTime" if ttl_ms else "none",
         )
     )
 
@@ -113,11 +123,11 @@ class OrderTransitions(StatefulProcessor):
     """Rows are ordered by ``seq`` within a micro-batch; a row that arrives in a later one
     is applied on arrival. The rate limit of the source bounds the rows of a call."""
 
-    def __init__(self, seq: list[str], output: list[str]):
-        self.seq, self.output = seq, output
+    def __init__(self, seq: list[str], output: list[str], ttl_ms: int | None = None):
+        self.seq, self.output, self.ttl_ms = seq, output, ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.orders = handle.getMapState("orders", ORDER_KEY, ORDER_STATE)
+        self.orders = handle.getMapState("orders", ORDER_KEY, ORDER_STATE, self.ttl_ms)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues):
         events = pd.concat(list(rows), ignore_index=True)

@@ -9,6 +9,7 @@ from merchant_ledger.operators.parsing import good_changes
 from merchant_ledger.session import shared_folder
 from merchant_ledger.sources import tables
 from merchant_ledger.sources.changes import batch_limit, snapshot_records
+from merchant_ledger.streaming.latest import LatestTable
 from merchant_ledger.streaming.ledger import Ledger, hand_over, start
 from merchant_ledger.streaming.redelivery import ATTEMPT, Redelivery
 
@@ -62,6 +63,13 @@ def ledger_of_arrivals(spark: SparkSession, folder: str, **options) -> Ledger:
     return ledger
 
 
+def latest_of_arrivals(spark: SparkSession, folder: str) -> LatestTable:
+    """The table of latest totals after events that arrive in four batches."""
+    latest = LatestTable(spark, shared_folder(spark, "latest"), ["arrival", *tables.SEQ], buckets=4)
+    ledger_of_arrivals(spark, folder, sinks=[latest])
+    return latest
+
+
 def ledger_after_hand_over(spark: SparkSession, folder: str, **options) -> Ledger:
     """The orders as a table snapshot, with bad rows left out, then the changes."""
     target = shared_folder(spark, "ledger")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from merchant_ledger.functions import text
 from merchant_ledger.operators import parsing
-from merchant_ledger.schemas import LOG_POSITION, PAY_ORDER
+from merchant_ledger.schemas import LOG_POSITION
 from merchant_ledger.operators.totals import merchant_totals, snapshot_totals
 from merchant_ledger.sinks.queue import Retry, publish, queue_sink, stats_messages
 from merchant_ledger.sinks import lines, tables
@@ -131,7 +131,7 @@ def test_snapshot_of_the_order_table(spark, tmp_path):
         (F.col("id") % 7).cast("int").alias("state"),
     )
     rows.write.parquet(str(tmp_path / "t"))
-    table = spark.read.schema(PAY_ORDER).parquet(str(tmp_path / "t"))
+    table = spark.read.schema("pay_order_id string, mch_no string, amount long, state int").parquet(str(tmp_path / "t"))
     row = snapshot_totals(changes.snapshot_changes(table)).first()
     assert (row.success_amount, row.cancel_amount, row.refund_amount) == (20, 10, 10)
 
