@@ -21,9 +21,9 @@ from merchant_ledger.llm.packing import Encoder, Vocabulary
 from merchant_ledger.session import shared_folder
 
 #: A chunk of documents ends at so many of them, or at about so many links.
-MOST_DOCS, MOST_LINKS = 1 << 15, 4_000_000
+MOST_DOCS, MOST_LINKS = 1 << 15, 2_000_000
 #: Texts of so many characters, or one text, are cut and aligned together.
-MOST_CHARACTERS = 16_000_000
+MOST_CHARACTERS = 5_000_000
 #: So many parts are encoded in one call; longer parts than LONGEST alone.
 TOGETHER, LONGEST = 200, 200
 #: Where a text may be cut: a blank or a line feed that follows neither.
@@ -246,15 +246,15 @@ class Chunk:
 
     def add(self, doc_ids: list, texts: list[str]) -> None:
         number = defaultdict(count().__next__)
-        cut = [[number[part] for part in self.aligner.cut(text)] if text else [] for text in texts]
+        cut = [np.array([number[part] for part in self.aligner.cut(text)] if text else [], np.int32) for text in texts]
         parts = self.aligner.align(list(number)) if number else None
         for at, doc_id in enumerate(doc_ids):
-            used = np.array(cut[at], dtype=np.int64)
+            used = cut[at]
             pos = len(self.docs)
             if not len(used) or not parts.good[used].all():
                 self.docs.append((pos, doc_id, 0, 0, 0, 0, ""))
                 continue
-            groups = "".join([parts.groups[i] for i in cut[at]])[:-1]
+            groups = "".join([parts.groups[i] for i in used.tolist()])[:-1]
             kinds, often = np.unique(used, return_counts=True)
             repeats = parts.first[kinds + 1] - parts.first[kinds]
             total = int(repeats.sum())
