@@ -25,6 +25,16 @@ def materialize(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+def remove(*tables: DataFrame) -> None:
+    """Delete tables that ``materialize`` wrote, when what was made from them is written itself."""
+    for df in tables:
+        spark = df.sparkSession
+        folders = {file.rpartition("/")[0] for file in df.inputFiles()}
+        for folder in folders:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def words(text: Column) -> Column:
     """The words of a text, as an array; of null, none."""
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(WORD), F.lit(0))
@@ -40,13 +50,16 @@ def spread(column: Column, digits: int = 3) -> Column:
     return F.substring(F.md5(F.coalesce(column.cast("string"), F.lit(""))), 1, digits)
 
 
-def rank_within(df: DataFrame, keys: list[str], by: str, order: list[Column]) -> DataFrame:
+def rank_within(
+    df: DataFrame, keys: list[str], by: str, order: list[Column], of_groups: DataFrame | None = None
+) -> DataFrame:
     """Adds ``rank``, from 1, within ``keys``, in the order of (bucket of ``by``, ``order``).
 
     No group of ``keys`` is sorted as a whole: its rows are dealt into buckets, ranked inside
     a bucket, and moved by the counts of the buckets before. A row per group and bucket is
     all that one group has in one task (at most 4,096). The keys must not be null. Rows that
-    are equal in all columns may swap ranks.
+    are equal in all columns may swap ranks. Columns of ``of_groups``, a row per group, come
+    along with the counts, so the rows themselves are shuffled once.
     """
     dealt = df.withColumn("_bucket", spread(F.col(by)))
     counts = dealt.groupBy(*keys, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
@@ -54,6 +67,8 @@ def rank_within(df: DataFrame, keys: list[str], by: str, order: list[Column]) ->
     before = counts.select(
         *keys, "_bucket", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before")
     )
+    if of_groups is not None:
+        before = before.join(of_groups, keys)
     inside = Window.partitionBy(*keys, "_bucket").orderBy(*order)
     ranked = dealt.withColumn("_inside", F.row_number().over(inside))
     return (

@@ -93,8 +93,7 @@ def _taken(sized: DataFrame, weights, cap: int, seed: str) -> DataFrame:
     steps = lengths.select(
         "_source", "size", F.coalesce(F.sum("_n").over(longer), F.lit(0)).alias("_longer")
     ).join(per_source.drop("source"), "_source")
-    ranked = rank_within(sized, ["_source", "size"], "doc_id", [F.col("doc_id"), F.col("_text")])
-    placed = ranked.join(steps, ["_source", "size"])
+    placed = rank_within(sized, ["_source", "size"], "doc_id", [F.col("doc_id"), F.col("_text")], steps)
     rank = F.col("_longer") + F.col("rank")
     rate = F.col("target") / F.nullif(F.col("source_size"), F.lit(0)).cast("double")
     digits = F.substring(F.md5(F.concat(F.lit(f"{seed}|"), F.col("_source"))), 1, 8)
