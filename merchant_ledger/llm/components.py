@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from merchant_ledger.llm.common import materialize
+from merchant_ledger.llm.common import materialize, remove
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -39,7 +39,8 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
         if state[0] == 0 or tuple(state) == mark:
             break
         mark = tuple(state)
-        edges = materialize(_small_star(_large_star(edges)), "edges")
+        before, edges = edges, materialize(_small_star(_large_star(edges)), "edges")
+        remove(before)
     else:
         raise RuntimeError(f"no fixed point after {most_rounds} rounds")
     roots = edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()

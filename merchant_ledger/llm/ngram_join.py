@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from merchant_ledger.llm.common import batches_of, materialize
+from merchant_ledger.llm.common import batches_of, materialize, remove
 from merchant_ledger.llm.components import components
 
 SHINGLE = 3
@@ -18,8 +18,10 @@ PERCENT = 90
 FREQUENT = 100
 #: Frequent shingles are paired within so many classes; prefixes are longer by one more.
 CLASSES = 32
-#: Sets up to LONGEST_SINGLE shingles have all of them indexed singly, from SHORTEST_PAIRED on in pairs.
-SHORTEST_PAIRED, LONGEST_SINGLE = 46, 56
+#: Of sets up to LONGEST_SHORT shingles all pairs of a short prefix are indexed, from SHORTEST_LONG on pairs of a class.
+SHORTEST_LONG, LONGEST_SHORT = 46, 56
+#: Members of a list that are compared with all others in the first round, and how many times more in the next.
+PIVOTS, MORE = 16, 16
 #: Ids of documents are broadcast up to this many.
 MOST_BROADCAST = 500_000
 
@@ -113,20 +115,21 @@ def _spare(n: Column, percent: int) -> Column:
 
 def _survivors(classes: DataFrame, percent: int) -> DataFrame:
     """Classes with enough entries that another class has too, for any partner they may have."""
-    entries = classes.select("cid", "n", F.explode("entries").alias("h"))
+    entries = classes.select("cid", F.explode("entries").alias("h"))
     shared = entries.groupBy("h").count().where("count > 1").select("h")
     need = 1 + _spare(F.ceil(F.col("n") * percent / 100), percent)
-    found = entries.join(shared, "h").groupBy("cid", "n").count().where(F.col("count") >= need)
-    return classes.drop("entries").join(found.select("cid"), "cid", "left_semi")
+    found = entries.join(shared, "h").groupBy("cid").count()
+    return classes.drop("entries").join(found, "cid").where(F.col("count") >= need).drop("count")
 
 
 def _tokens(docs: DataFrame, survivors: DataFrame, size: int) -> DataFrame:
     """(cid, n, h): all shingles of the surviving classes, from one text of each."""
     few = survivors.count() <= MOST_BROADCAST
-    wanted = survivors.select("doc_id", "cid", "n", "digest")
-    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    wanted = survivors.select("doc_id", "text_hash", "cid", "n", "digest")
+    texts = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.coalesce("text", F.lit("")).alias("text"))
     wanted = F.broadcast(wanted) if few else wanted
-    texts = texts.join(wanted, texts["doc_id"].eqNullSafe(wanted["doc_id"])).select("cid", "n", "digest", "text")
+    same = texts["doc_id"].eqNullSafe(wanted["doc_id"]) & (texts["text_hash"] == wanted["text_hash"])
+    texts = texts.join(wanted, same).select("cid", "n", "digest", "text")
 
     def made(frames):
         for frame in batches_of(frames):
@@ -150,42 +153,57 @@ def _signatures(tokens: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
 
     ``own`` counts the shingles that no other surviving class has. A class with more of them
     than a partner may lack is out. The rest of a set is ordered from rare to frequent; two
-    sets that link share CLASSES + 1 of the prefix of spare + CLASSES + 1. One of these is
-    rare, and found singly, or two of them are frequent and of one class, and found as a
-    pair. Short sets are indexed singly; sets of a length between are indexed both ways.
+    sets that link share k of the prefix of spare + k. Of short sets k is 2: one of both is
+    rare, and found singly, or both are frequent, and found as one of all pairs. Of long sets
+    k is CLASSES + 1: one is rare, or two frequent ones are of one class, and found as a
+    pair of it. A frequent shingle is never indexed singly. Sets of a length between are indexed both ways.
     """
-    flat = tokens.select("cid", "n", F.explode("tokens").alias("h"))
+    flat = tokens.select("cid", F.explode("tokens").alias("h"))
     shared = flat.groupBy("h").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
     known = materialize(flat.join(shared, "h"), "join-shared")
     spare = _spare(F.col("n"), percent)
     alive = (
-        known.groupBy("cid", "n").agg(F.count(F.lit(1)).alias("shared"))
-        .select("cid", (F.col("n") - F.col("shared")).alias("own"), "n")
+        known.groupBy("cid").agg(F.count(F.lit(1)).alias("shared"))
+        .join(tokens.select("cid", "n", "odd"), "cid")
+        .select("cid", "n", (F.col("n") - F.col("shared")).alias("own"), "odd")
         .where(F.col("own") <= spare)
-        .join(tokens.select("cid", "odd"), "cid")
     )
     alive = materialize(alive, "join-alive")
     rank = F.row_number().over(Window.partitionBy("cid").orderBy("df", "h"))
+    short = F.col("rank") <= spare + 2 - F.col("own")
     prefix = (
-        known.join(alive.drop("n", "odd"), "cid")
+        known.join(alive.drop("odd"), "cid")
         .withColumn("rank", rank)
-        .where(F.col("rank") <= spare + CLASSES + 1 - F.col("own"))
+        .where(F.when(F.col("n") < SHORTEST_LONG, short).otherwise(F.col("rank") <= spare + CLASSES + 1 - F.col("own")))
+        .withColumn("short", short & (F.col("n") <= LONGEST_SHORT))
     )
-    prefix = materialize(prefix.select("cid", "n", "own", "h", "df"), "join-prefix")
-    single = prefix.where((F.col("df") <= FREQUENT) | (F.col("n") <= LONGEST_SINGLE)).select(
+    prefix = materialize(prefix.select("cid", "n", "own", "h", "df", "short"), "join-prefix")
+    remove(known)
+    single = prefix.where(F.col("df") <= FREQUENT).select(
         F.struct(F.col("h").alias("a"), F.lit(None).cast("bigint").alias("b")).alias("sig"), "cid", "n", "own"
     )
-    classes = (
-        prefix.where((F.col("df") > FREQUENT) & (F.col("n") >= SHORTEST_PAIRED))
-        .groupBy("cid", "n", "own", F.pmod("h", F.lit(CLASSES)).alias("class"))
-        .agg(F.sort_array(F.collect_list("h")).alias("hs"))
-    )
+    frequent = prefix.where(F.col("df") > FREQUENT)
+    long_pairs = _pairs(frequent.where(F.col("n") >= SHORTEST_LONG), [F.pmod("h", F.lit(CLASSES)).alias("class")], lesser_first=True)
+    short_pairs = _pairs(frequent.where("short"), [], lesser_first=False)
+    lists = single.unionByName(long_pairs).unionByName(short_pairs).join(alive.select("cid", "odd"), "cid")
+    sets = materialize(alive.select("cid", "n").join(tokens.select("cid", "tokens"), "cid"), "join-sets")
+    written = materialize(lists, "join-lists")
+    remove(prefix, alive)
+    return sets, written
+
+
+def _pairs(prefix: DataFrame, classes: list[Column], lesser_first: bool) -> DataFrame:
+    """(sig, cid, n, own) for all pairs of a set's shingles, or all of one class.
+
+    Pairs of long sets begin with the lesser, those of short sets don't, so they are never taken for each other.
+    """
+    grouped = prefix.groupBy("cid", "n", "own", *classes).agg(F.sort_array(F.collect_list("h")).alias("hs"))
+    pair = lambda a, b: F.struct(a.alias("a"), b.alias("b"))
     later = F.transform(
-        "hs", lambda a, i: F.transform(F.slice("hs", i + 2, F.size("hs")), lambda b: F.struct(a.alias("a"), b.alias("b")))
+        "hs",
+        lambda x, i: F.transform(F.slice("hs", i + 2, F.size("hs")), lambda y: pair(x, y) if lesser_first else pair(y, x)),
     )
-    pairs = classes.select(F.explode(F.flatten(later)).alias("sig"), "cid", "n", "own")
-    lists = single.unionByName(pairs).join(alive.select("cid", "odd"), "cid")
-    return alive.select("cid", "n").join(tokens.select("cid", "tokens"), "cid"), lists
+    return grouped.select(F.explode(F.flatten(later)).alias("sig"), "cid", "n", "own")
 
 
 def _feasible(percent: int) -> Column:
@@ -208,28 +226,32 @@ def links(docs: DataFrame, classes: DataFrame, size: int, percent: int) -> DataF
     """(u, v) of class ids: links that connect what all links connect.
 
     In each list of an index entry, a few pivots are compared with all that are not yet
-    connected with them: first the one with the fewest shingles of its own, then those
-    outside the list's largest component, and more of them in each round. A list is done
+    connected with them: first the one with the fewest shingles of its own, then, outside
+    the list's largest component, one of each component before another of any, and more
+    of them in each round. A list is done
     when all in it is connected or all outside the largest component were pivots; so no
-    link between components is missed, and a list of near copies of one text costs little more than its length.
+    link between components is missed, and a list of near copies of one text costs little
+    more than its length. Tables are removed when what follows from them is written.
     """
     survivors = materialize(_survivors(classes, percent), "join-survivors")
     tokens = materialize(_tokens(docs, survivors, size), "join-tokens")
+    remove(classes, survivors)
     sets, lists = _signatures(tokens, percent)
-    sets = materialize(sets, "join-sets")
-    lists = materialize(lists, "join-lists")
     hubs = lists.groupBy("sig").agg(
         F.count(F.lit(1)).alias("members"), F.min(F.struct("own", "cid", "n", "odd")).alias("p")
     ).where("members > 1")
-    lists = materialize(lists.join(hubs.select("sig", "members"), "sig"), "join-lists")
+    hubs = materialize(hubs, "join-hubs")
+    joined = materialize(lists.join(hubs.select("sig"), "sig"), "join-lists")
+    remove(lists, tokens)
+    lists = joined
     pairs = (
         lists.join(hubs.select("sig", "p"), "sig")
         .where((F.col("cid") != F.col("p.cid")) & _feasible(percent))
-        .select(F.col("p.cid").alias("u"), F.col("cid").alias("v"))
+        .select(F.least("cid", "p.cid").alias("u"), F.greatest("cid", "p.cid").alias("v"))
         .distinct()
     )
     found = materialize(_verified(pairs, sets, percent), "join-links")
-    pivots = 128
+    pivots = PIVOTS
     while True:
         roots = materialize(components(found), "join-roots")
         named = lists.join(roots.withColumnRenamed("node", "cid"), "cid", "left").withColumn(
@@ -237,16 +259,17 @@ def links(docs: DataFrame, classes: DataFrame, size: int, percent: int) -> DataF
         )
         parts = named.groupBy("sig", "root").agg(F.count(F.lit(1)).alias("part"))
         open_lists = parts.groupBy("sig").agg(
-            F.count(F.lit(1)).alias("roots"), (F.sum("part") - F.max("part")).alias("outside")
-        ).where("roots > 1").drop("roots")
-        open_members = materialize(
-            named.join(open_lists, "sig").join(parts, ["sig", "root"]), "join-open"
-        )
+            F.count(F.lit(1)).alias("roots"), F.sum("part").alias("members"), F.max(F.struct("part", "root")).alias("main")
+        ).where("roots > 1").select("sig", F.col("main.root").alias("main"), (F.col("members") - F.col("main.part")).alias("outside"))
+        open_members = materialize(named.join(open_lists, "sig"), "join-open")
+        remove(roots)
         outside = open_members.agg(F.max("outside")).first()[0]
         if not outside:
             return found
-        first = F.row_number().over(Window.partitionBy("sig").orderBy("part", "own", "cid"))
-        chosen = open_members.withColumn("turn", first).where(F.col("turn") <= pivots)
+        within = F.row_number().over(Window.partitionBy("sig", "root").orderBy("own", "cid"))
+        ranked = open_members.withColumn("within", within).where(F.col("within") <= pivots)
+        turn = F.row_number().over(Window.partitionBy("sig").orderBy(F.col("root") == F.col("main"), "within", "own", "cid"))
+        chosen = ranked.withColumn("turn", turn).where(F.col("turn") <= pivots)
         chosen = chosen.select("sig", F.struct("cid", "n", "own", "odd", "root").alias("p"))
         pairs = (
             open_members.join(chosen, "sig")
@@ -254,10 +277,11 @@ def links(docs: DataFrame, classes: DataFrame, size: int, percent: int) -> DataF
             .select(F.least("cid", "p.cid").alias("u"), F.greatest("cid", "p.cid").alias("v"))
             .distinct()
         )
-        found = materialize(found.union(_verified(pairs, sets, percent)), "join-links")
+        before, found = found, materialize(found.union(_verified(pairs, sets, percent)), "join-links")
+        remove(before, open_members)
         if outside <= pivots:
             return found
-        pivots *= 7
+        pivots *= MORE
 
 
 def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -280,7 +304,7 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
     )
     grouped = materialize(grouped, "join-classes")
     classes = grouped.select("cid", "n", "digest").join(
-        heads.select(F.col("uid").alias("cid"), "doc_id", "entries").where(F.size("entries") > 0), "cid"
+        heads.select(F.col("uid").alias("cid"), "doc_id", "text_hash", "entries").where(F.size("entries") > 0), "cid"
     )
     found = links(docs, materialize(classes, "join-entries"), size, percent)
     roots = components(found)
