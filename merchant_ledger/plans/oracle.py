@@ -290,7 +290,9 @@ ORACLE = {
              WHEN event_id % 4 = 2 THEN 2 ELSE 1 END AS INTEGER) AS attempts FROM changes"""),
     "stream_hot_order_running": HOT,
     "stream_order_states": _in_arrival_order(SELECTS["order_latest_state"]),
-    "stream_latest": _in_arrival_order(SELECTS["merchant_latest"]),
+    "stream_latest": _in_arrival_order(
+        SELECTS["merchant_latest"].replace("ORDER BY ts DESC", f"ORDER BY {ARRIVAL} DESC, ts DESC")
+    ),
     "stream_state_sizes": _with_steps("""SELECT mch_no, count(DISTINCT order_id) AS orders FROM changes
         WHERE NOT is_snapshot GROUP BY mch_no"""),
     "stream_batches_totals": _in_arrival_order(TOTALS),
