@@ -68,7 +68,7 @@ def test_restarts_lose_and_double_nothing(spark, place):
 
     schema = spark.createDataFrame([], SCHEMA).schema
     refused = (F.col("id") % 5 == 3) & (F.col(ATTEMPT) == 0)
-    for _ in range(8):
+    for _ in range(6):
         queue = Fails(spark, str(place / "out"), ["id"], schema, refused)
         try:
             queue.start(messages(spark, place), str(place / "checkpoint"), {"availableNow": True}).awaitTermination()
