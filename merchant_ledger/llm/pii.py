@@ -56,17 +56,64 @@ FOLD = {**_compatible(), ord("İ"): "I", ord("ı"): "i", **{k: chr(v) for k, v i
 _DIGIT = rf"\b(?:{'|'.join(DIGITS)})\b"
 #: One pass of the transducer: each alternative is rewritten as a whole, all else is kept. With
 #: each goes what must be found, in lower case, where it can match, which is faster to look for.
+#: None starts anew at every blank of a run: those that may begin with blanks start at their
+#: sign (``SIGNS``), and the blanks before it are taken in afterwards.
+_WORD = r"(?<=[A-Za-z0-9])"
 ALTERNATIVES = {
-    "at": (r"\s*[\[({<]\s*at\s*[\])}>]\s*|\s+@\s+", r"[\[({<]\s*at\s*[\])}>]|@(?<=\s@)(?=\s)", ()),
-    "dot": (r"\s*[\[({<]\s*dot\s*[\])}>]\s*", r"[\[({<]\s*dot\s*[\])}>]", ("dot",)),
+    "at": (r"[\[({<]\s*at\s*[\])}>]\s*|(?<=\s)@\s+", r"[\[({<]\s*at\s*[\])}>]|@(?<=\s@)(?=\s)", ()),
+    "dot": (r"[\[({<]\s*dot\s*[\])}>]\s*", r"[\[({<]\s*dot\s*[\])}>]", ("dot",)),
     "said": (
-        r"(?<=[A-Za-z0-9])\s+at\s+(?=[A-Za-z0-9-]+(?:(?:\s+dot\s+|\s*[\[({<]\s*dot\s*[\])}>]\s*)[A-Za-z0-9-]+)+)",
+        rf"{_WORD}\s+at\s+(?=[A-Za-z0-9-]+(?:(?:\s+dot\s+|\s*[\[({{<]\s*dot\s*[\])}}>]\s*)[A-Za-z0-9-]+)+)",
         r"dot(?<=[\s\[({<]dot)(?=[\s\])}>])", ("dot",),
     ),
-    "point": (r"(?<=[A-Za-z0-9])\s+dot\s+(?=[A-Za-z])", r"dot(?<=\sdot)(?=\s)", ("dot",)),
+    "before": (rf"{_WORD}\s+at\s+(?=[A-Za-z0-9-]+\.[A-Za-z])", r"at(?<=\sat)\s+[a-z0-9-]+\.[a-z]", ()),
+    "point": (rf"{_WORD}\s+dot\s+(?=[A-Za-z])", r"dot(?<=\sdot)(?=\s)", ("dot",)),
+    "low": (rf"{_WORD}\s+underscore\s+(?=[A-Za-z0-9])", "underscore", ("underscore",)),
+    "dash": (
+        rf"{_WORD}\s+(?:dash|hyphen)\s+(?=[A-Za-z0-9._]+(?:\s+at\s|\s*[\[({{<]\s*at\b|\s*@))",
+        r"(?:dash|hyphen)(?=\s)", ("dash", "hyphen"),
+    ),
     "digit": (rf"{_DIGIT}(?:[ ,]+(?={_DIGIT}))?", _DIGIT, DIGITS),
     "plus": (rf"\bplus\s+(?=[0-9]|{_DIGIT})", r"plus(?<=\bplus)(?=\s)", ("plus",)),
 }
+SIGNS = {"at": "@", "said": "@", "before": "@", "dot": ".", "point": ".", "low": "_", "dash": "-", "plus": "+"}
+# Words of which "at" says where, not whose address, unless something else tells.
+PLACED = frozenset(
+    "a about all am and are arrive arrived arrives available be been book booked bought buy buying call click come"
+    " day dinner down find found get go good group hard he here him home hosted i in is it join joined just later"
+    " live located look looked looking looks lunch me meet meeting met more morning night not now of office on online"
+    " only open order ordered out page people point products prices registered released sale see seen sell she shop"
+    " shopping sign site sold start started stay stop store team that the them there they things this time today"
+    " tomorrow up us visit was we website week were work worked working works you".split()
+)
+#: What a spoken address may be told by: so many characters before its "at" are looked at.
+LEAD = 120
+_SAID_BEFORE = re.compile(r"(?:.*[^A-Za-z0-9._%+-])?([A-Za-z0-9._%+-]+)", re.DOTALL)
+_SPELLED = re.compile(r"\b(?:dot|underscore|dash|hyphen)\s+$", re.IGNORECASE)
+_ASKED = re.compile(
+    r"\b(?:e-?mails?|mail|contact|write|reach|address|send|message|ping)(?:\s+(?:me|us|him|her|them|to|is|it))*\s*:?\s*$",
+    re.IGNORECASE,
+)
+
+
+def addressed(before: str, plain_domain: bool) -> bool:
+    """Whether a spoken "at" after ``before`` can be that of an address.
+
+    It is if the word before it has a sign or digit inside, ends what is spelled with dot or
+    underscore, or follows mail, contact, write and so on. Without that, a domain that is
+    itself spelled does for other words than those of ``PLACED``, a plain one doesn't.
+    """
+    m = _SAID_BEFORE.fullmatch(before[-LEAD:])
+    if not m:
+        return False
+    local, ahead = m[1].strip("."), before[-LEAD:][: m.start(1)]
+    if re.search(r"[0-9]|[A-Za-z0-9][._+-][A-Za-z0-9]", local) and re.search("[A-Za-z]", local):
+        return True
+    if _ASKED.search(ahead) or _SPELLED.search(ahead):
+        return True
+    return not plain_domain and local.lower() not in PLACED
+
+
 _NEEDED = {kind: (literals, re.compile(needed)) for kind, (_, needed, literals) in ALTERNATIVES.items()}
 
 
@@ -135,7 +182,7 @@ def normalised(text: str) -> tuple[str, Callable[[int, int], tuple[int, int]]] |
     """The text without its disguises, and what maps a span in it to its place in ``text``.
 
     First characters are replaced one by one: look-alikes, full width, marks. Then words are
-    rewritten: (at) and dot, spelled digits, plus. A word of digits has the place of all of
+    rewritten: (at), dot, underscore and dash, spelled digits, plus. A word of digits has the place of all of
     its letters. None if there is nothing to replace.
     """
     plain, places = folded(text)
@@ -145,17 +192,22 @@ def normalised(text: str) -> tuple[str, Callable[[int, int], tuple[int, int]]] |
     out, size, done = [], 0, 0
     at, froms, lasts, nexts = [], [], [], []  # of each rewritten character: its place, and what it stands for
     for m in rewriting(kinds).finditer(plain) if kinds else ():
-        kind = m.lastgroup
+        kind, start = m.lastgroup, m.start()
+        if kind in ("said", "before") and not addressed(plain[max(0, start - LEAD) : start], kind == "before"):
+            continue
+        if kind in ("at", "dot"):
+            while start > done and plain[start - 1].isspace():
+                start -= 1
         if kind == "digit":
             word = re.match("[a-z]+", m[0].lower())[0]
             new, last = str(DIGITS.index(word)), m.start() + len(word)
         else:
-            new, last = {"at": "@", "said": "@", "dot": ".", "point": ".", "plus": "+"}[kind], m.end()
-        out += plain[done : m.start()], new
-        size += m.start() - done + 1
+            new, last = SIGNS[kind], m.end()
+        out += plain[done:start], new
+        size += start - done + 1
         done = m.end()
         at.append(size - 1)
-        froms.append(m.start())
+        froms.append(start)
         lasts.append(last)
         nexts.append(done)
     if not at and plain == text:
