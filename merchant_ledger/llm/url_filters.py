@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import html
+import re
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from merchant_ledger.functions.once import with_once
 from merchant_ledger.llm.common import materialize
@@ -17,13 +22,16 @@ RULES = [
     ("block", "net", "/es/"),
     ("block", "net", "/fr/"),
 ]
+#: What a browser doesn't read as tags.
+UNREAD = r"(?is)<!--.*?(?:-->|\z)|<(script|style|template)\b.*?(?:</\1\s*>|\z)"
 LINK = r"(?is)<link\b[^>]*>"
-CANONICAL = r"(?is)\brel\s*=\s*[\"']?canonical\b"
-HREF = r"(?is)\bhref\s*=\s*[\"']?([^\"'\s>]+)"
+CANONICAL = r"(?is)(?<![-\w])rel\s*=\s*(?:\"[^\">]*\bcanonical\b|'[^'>]*\bcanonical\b|canonical\b)"
 META = r"(?is)<meta\b[^>]*>"
-REFRESH = r"(?is)\bhttp-equiv\s*=\s*[\"']?refresh\b"
-REFRESH_URL = r"(?is)\burl\s*=\s*[\"']?([^\"'\s>;]+)"
-BASE = r"(?is)<base\b[^>]*?\bhref\s*=\s*[\"']?([^\"'\s>]+)"
+REFRESH = r"(?is)(?<![-\w])http-equiv\s*=\s*[\"']?\s*refresh\b"
+BASE = r"(?is)<base\b[^>]*>"
+#: The url in a refresh's content, in quotes or up to its end: it may hold any ; and =.
+REFRESH_URL = r"(?is)^[^;,]*[;,]\s*(?:url\s*=\s*)?(?:\"([^\"]*)|'([^']*)|(.*))"
+ENTITY = re.compile(r"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[A-Za-z][A-Za-z0-9]*;)")
 
 
 def lower(text: Column) -> Column:
@@ -91,21 +99,46 @@ def resolved(base: Column, to: Column) -> Column:
     return F.when((host_of(base) != "") & (to != ""), led)
 
 
+def any_group(text: Column, pattern: str) -> Column:
+    """What the one of three groups that took part has found."""
+    return F.concat(*[F.regexp_extract(text, pattern, i) for i in (1, 2, 3)])
+
+
+def attribute(tag: Column, name: str) -> Column:
+    """An attribute's value, in either quotes or none; empty if the tag has none."""
+    return any_group(tag, rf"""(?is)(?<![-\w]){name}\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
+
+
+@F.pandas_udf(StringType())
+def unescaped(values: pd.Series) -> pd.Series:
+    """Values of attributes with character references undone, without white space around them.
+
+    A name without its semicolon stays, as in a query's ``&copy=1``.
+    """
+    return values.map(lambda x: ENTITY.sub(lambda m: html.unescape(m[0]), x).strip(" \t\n\f\r"))
+
+
 def alias_edges(pages: DataFrame) -> DataFrame:
     """(u, v): pages and what their canonical link or refresh leads to, as nodes.
 
-    Relative targets are resolved against the page's url, or its <base> where it has one.
+    Relative targets are resolved against the page's url, or its <base> where it has one. Tags
+    in comments, scripts and templates don't count; values are unescaped.
     """
-    html = F.col("html")
-    links = F.filter(F.regexp_extract_all(html, F.lit(LINK), F.lit(0)), lambda x: x.rlike(CANONICAL))
-    metas = F.filter(F.regexp_extract_all(html, F.lit(META), F.lit(0)), lambda x: x.rlike(REFRESH))
+    text = F.col("html")
+    led = pages.where(text.rlike(CANONICAL) | text.rlike(REFRESH)).select(
+        "url", F.regexp_replace(text, UNREAD, " ").alias("html")
+    )
+    led = with_once(led, {"html": F.col("html")})
+    links = F.filter(F.regexp_extract_all("html", F.lit(LINK), F.lit(0)), lambda x: x.rlike(CANONICAL))
+    metas = F.filter(F.regexp_extract_all("html", F.lit(META), F.lit(0)), lambda x: x.rlike(REFRESH))
     targets = F.concat(
-        F.transform(links, lambda x: F.regexp_extract(x, HREF, 1)),
-        F.transform(metas, lambda x: F.regexp_extract(x, REFRESH_URL, 1)),
+        F.transform(links, lambda x: attribute(x, "href")),
+        F.transform(metas, lambda x: any_group(F.trim(attribute(x, "content")), REFRESH_URL)),
     )
-    led = pages.where(html.rlike(CANONICAL) | html.rlike(REFRESH)).select(
-        "url", F.regexp_extract(html, BASE, 1).alias("base"), F.explode(targets).alias("to")
+    led = led.select(
+        "url", attribute(F.regexp_extract("html", BASE, 0), "href").alias("base"), F.explode(targets).alias("to")
     )
+    led = led.select("url", unescaped("base").alias("base"), unescaped("to").alias("to"))
     for name, column in (
         ("base", F.coalesce(resolved(F.col("url"), F.col("base")), F.col("url"))),
         ("to", resolved(F.col("base"), F.col("to"))),

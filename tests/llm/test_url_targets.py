@@ -47,3 +47,18 @@ def test_aliases_of_blocked_pages(spark):
     ], "page_id long, url string, html string")
     verdicts = url_filters.judge(pages).select("page_id", "verdict", F.lit(1)).collect()
     assert {r["page_id"]: r["verdict"] for r in verdicts} == {1: "block", 2: "block", 3: "block", 4: "block", 5: "allow"}
+
+
+def test_references_comments_and_scripts(spark):
+    html = [
+        '<link rel="canonical" href="http://a.net/x?a=1&amp;b=2&copy=3">', "<link href='http://a.net/&#x66;&#114;/' rel='canonical'>",
+        '<meta http-equiv="refresh" content="0; url=/p;v=1?x=2;y">', """<meta http-equiv=refresh content="3;URL='/q;r'">""",
+        '<!-- <link rel="canonical" href="http://a.net/c"> -->', '<script>x = \'<link rel="canonical" href="http://a.net/s">\'</script>',
+        '<!-- <link rel="canonical" href="http://a.net/open">', '<link data-href="/no" rel="alternate canonical" href=" /yes ">',
+        '<link rel="canonically" href="/no">', '<meta http-equiv="refresh" content="30">',
+    ]
+    pages = spark.createDataFrame([(i, f"http://b.org/{i}", h) for i, h in enumerate(html)], "page_id long, url string, html string")
+    found = {(r["u"].rpartition("/")[2], r["v"]) for r in url_filters.alias_edges(pages).collect()}
+    assert found == {
+        ("0", "a.net/x?a=1&b=2&copy=3"), ("1", "a.net/fr/"), ("2", "b.org/p;v=1?x=2;y"), ("3", "b.org/q;r"), ("7", "b.org/yes"),
+    }
