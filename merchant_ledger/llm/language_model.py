@@ -1,4 +1,4 @@
-"""LM scoring: a hashed maximum-entropy model whose softmax is factored by word classes."""
+"""LM scoring: a hashed maximum-entropy model whose softmax is factored by word classes, twice."""
 
 from __future__ import annotations
 
@@ -13,15 +13,21 @@ from pyspark.sql import functions as F
 from merchant_ledger.llm.common import materialize, remainder
 
 HELD_OUT, FOLDS = 2, 7
-#: Softmax over so many classes; the last one is the end of a text.
-CLASSES = 16
-#: Weights have this many rows, into which features are hashed.
-ROWS = 1 << 13  # numbers of 16 bits, which sort fast
+#: Softmax over so many classes, the last of which is the end of a text; and, within a class,
+#: over as many slots: the most frequent words have one each, the others share ``SHARED``.
+#: Those in a shared slot have so many ``DIGITS`` of their hash, each by such a softmax again.
+WIDTH, SHARED, DIGITS = 16, 4, 1
+#: Weights have 2**bits rows for each level of choices, into which features are hashed.
+#: Bits grow with the distinct words, up to what tells a broadcast of 16 MB.
+LEAST_BITS, MOST_BITS = 12, 16
 #: Words that every task knows: the most frequent ones, of at most so many bytes.
 HEAD, LONGEST = 100_000, 40
-END = b"\x00"
-TOKENS = 8_192
+#: The end of a text; no word has a blank.
+END = b" "
+TOKENS = 4_096
 RATE = 0.1
+#: Scores are kept within this, where exponentials of single precision are safe.
+STEEPEST = 60
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -33,8 +39,12 @@ def tokens(text: str) -> list[bytes]:
     return words
 
 
-def class_of(hashes: np.ndarray) -> np.ndarray:
-    return (hashes % np.uint64(CLASSES - 1)).astype(np.int64)
+def _hashed(parts: list[bytes]) -> np.ndarray:
+    return pd.util.hash_array(np.array(parts, dtype=object), categorize=False)
+
+
+def digit(hashes: np.ndarray, i: int) -> np.ndarray:
+    return ((hashes >> np.uint64(8 * i)) % np.uint64(WIDTH)).astype(np.int64)
 
 
 class _Places(dict):
@@ -50,36 +60,45 @@ class _Places(dict):
 
 
 class Words:
-    """Hash, class and known count of words; what was computed for a word is kept.
+    """Hash, class, slot, leaf and known count of words; what was computed for a word is kept.
 
-    A word's class is told by its last two bytes. The count is -1 if ``head`` has none.
+    A word's class is told by its last two bytes. Its slot there is its own if ``own`` has
+    one, else one of those that are shared, told by its first two bytes. The leaf stands for
+    class, shared slot and digits, also where the slot is its own. The count is -1 if ``head``
+    has none.
     """
 
-    def __init__(self, head: dict[bytes, int] | None = None):
-        self.head = head or {}
+    def __init__(self, head: dict[bytes, int] | None = None, own: dict[bytes, int] | None = None):
+        self.head, self.own = head or {}, own or {}
         self._clear()
 
     def _clear(self) -> None:
         self.places = _Places()
-        self.table = np.zeros((3, 0), dtype=np.int64)
+        self.table = np.zeros((5, 0), dtype=np.int64)
 
     def __call__(self, words: list[bytes]) -> np.ndarray:
-        if len(self.places) > 1_000_000:
+        if len(self.places) > 500_000:
             self._clear()
         places = np.fromiter(map(self.places.__getitem__, words), np.int64, len(words))
         new, self.places.new = self.places.new, []
         if new:
-            whole = pd.util.hash_array(np.array(new, dtype=object), categorize=False)
-            ends = pd.util.hash_array(np.array([w[-2:] for w in new], dtype=object), categorize=False)
-            kinds = np.where([w == END for w in new], CLASSES - 1, class_of(ends))
+            kinds = (_hashed([w[-2:] for w in new]) % np.uint64(WIDTH - 1)).astype(np.int64)
+            kinds[[w == END for w in new]] = WIDTH - 1
+            shared = (_hashed([w[:2] for w in new]) % np.uint64(SHARED)).astype(np.int64)
+            slots = [self.own.get(w, k) for w, k in zip(new, shared.tolist())]
             counts = [self.head.get(w, -1) for w in new]
-            self.table = np.concatenate([self.table, [whole.view(np.int64), kinds, counts]], axis=1)
-        return self.table[:, places]
-
-
-def feature_rows(hashes: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """Rows of the weights for each token: one for all, the word before, the one before it,
-    and both together. Before a text's first words stands nothing."""
+            hashes = _hashed(new)
+            leaves = kinds * WIDTH + shared
+            for i in range(DIGITS):
+                leaves = leaves * WIDTH + digit(hashes, i)
+            rows = [hashes.view(np.int64), kinds, slots, leaves, counts]
+            self.table = np.concatenate([self.table, rows], axis=1)
+        return self.table.take(places, axis=1)
+
+
+def features(hashes: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Features of each token: one for all, the word before, the one before it, and both
+    together. Before a text's first words stands nothing."""
     n = len(hashes)
     before = np.zeros((2, n), dtype=np.uint64)
     before[0, 1:], before[1, 2:] = hashes[:-1], hashes[:-2]
@@ -89,34 +108,70 @@ def feature_rows(hashes: np.ndarray, starts: np.ndarray) -> np.ndarray:
     with np.errstate(over="ignore"):
         one, skip = before[0] * _MIX, (before[1] + np.uint64(1)) * _MIX
         both = (one ^ skip >> np.uint64(7)) * _MIX
-    shift = np.uint64(64 - (ROWS.bit_length() - 1))
-    return np.stack([np.zeros(n, np.int16), *[(x >> shift).astype(np.int16) for x in (one, skip, both)]])
+    return np.stack([np.zeros(n, np.uint64), one, skip, both])
+
+
+def hashed_rows(found: np.ndarray, bits: int, within: np.ndarray | None = None) -> np.ndarray:
+    """Rows of the weights for features, apart for what the choice is ``within``."""
+    with np.errstate(over="ignore"):
+        if within is not None:
+            found = ((found >> np.uint64(3)) + (within + 1).astype(np.uint64) * _MIX) * _MIX
+    return (found >> np.uint64(64 - bits)).astype(np.uint16)
 
 
-def log_shares(weights: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """Natural logarithms of all classes' probabilities, for each token."""
-    scores = weights[rows[0]]
+def scores_of(weights: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each token's scores of all choices, their exponentials, and the sums of those."""
+    scores = weights.take(rows[0], axis=0)
     for row in rows[1:]:
-        scores = scores + weights[row]
-    scores -= scores.max(axis=1, keepdims=True)
-    return scores - np.log(np.exp(scores).sum(axis=1, keepdims=True))
+        scores += weights.take(row, axis=0)
+    np.clip(scores, -STEEPEST, STEEPEST, out=scores)
+    powers = np.exp(scores)
+    return scores, powers, powers @ np.ones(powers.shape[1], dtype=powers.dtype)
+
 
+def log_shares(weights: np.ndarray, rows: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    """Natural logarithms of the probabilities of what was chosen, for each token."""
+    logs = np.zeros(len(chosen))
+    for at in range(0, len(chosen), TOKENS):
+        part = slice(at, at + TOKENS)
+        scores, _, sums = scores_of(weights, rows[:, part])
+        logs[part] = scores[np.arange(len(sums)), chosen[part]] - np.log(sums)
+    return logs
 
-def descend(weights: np.ndarray, squares: np.ndarray, rows: np.ndarray, kinds: np.ndarray, rate: float) -> None:
+
+def descend(weights: np.ndarray, squares: np.ndarray, rows: np.ndarray, chosen: np.ndarray, rate: float) -> None:
     """One step along the gradient of the tokens' log probability, in place.
 
     A row's step is divided by the root of its ``squares``, the sum of its gradients' so far.
     """
-    gradient = -np.exp(log_shares(weights, rows))
-    gradient[np.arange(len(kinds)), kinds] += 1
+    _, powers, sums = scores_of(weights, rows)
+    powers *= (-1 / sums)[:, None]
+    powers[np.arange(len(chosen)), chosen] += 1
     for row in rows:
         order = np.argsort(row, kind="stable")
-        ordered = row[order]
+        ordered = row.take(order)
         first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
-        which = ordered[first]
-        total = np.add.reduceat(gradient[order], first, axis=0)
-        squares[which] += (total**2).mean(axis=1)
-        weights[which] += rate * total / np.sqrt(squares[which] + 1e-6)[:, None]
+        which = ordered.take(first)
+        total = np.add.reduceat(powers.take(order, axis=0), first, axis=0)
+        squares[which] += np.einsum("ij,ij->i", total, total) / total.shape[1]
+        total *= (rate / np.sqrt(squares[which] + 1e-6))[:, None]
+        weights[which] += total
+
+
+def levels(h: np.ndarray, kinds: np.ndarray, slots: np.ndarray, starts: np.ndarray, bits: int):
+    """For classes, slots and each digit: the tokens that choose, their rows, and what they choose."""
+    found = features(h, starts)
+    yield slice(None), hashed_rows(found, bits), kinds
+    at = np.flatnonzero(kinds != WIDTH - 1)
+    found, within = found[:, at], kinds[at]
+    yield at, hashed_rows(found, bits, within), slots[at]
+    some = np.flatnonzero(slots[at] < SHARED)
+    at, found = at[some], found[:, some]
+    within = within[some] * WIDTH + slots[at]
+    for i in range(DIGITS):
+        chosen = digit(h[at], i)
+        yield at, hashed_rows(found, bits, within), chosen
+        within = within * WIDTH + chosen
 
 
 def _batches(frames: Iterator[pd.DataFrame], most: int = 2_000_000) -> Iterator[pd.DataFrame]:
@@ -127,24 +182,24 @@ def _batches(frames: Iterator[pd.DataFrame], most: int = 2_000_000) -> Iterator[
 
 
 def _flat(texts, words: Words):
-    """All tokens of a batch, their starts by text, and their hashes, classes and counts."""
+    """All tokens of a batch, their starts by text, and their hashes, classes, slots, leaves and counts."""
     split = [tokens(t) for t in texts]
     flat = [w for each in split for w in each]
     starts = np.cumsum([0] + [len(each) for each in split])
-    hashes, kinds, counts = words(flat)
-    return flat, starts, hashes.view(np.uint64), kinds, counts
+    hashes, kinds, slots, leaves, counts = words(flat)
+    return flat, starts, hashes.view(np.uint64), kinds, slots, leaves, counts
 
 
 def count_words(texts: DataFrame) -> DataFrame:
-    """(word, kind, count) over all texts: summed up in each task, then by word."""
+    """(word, kind, leaf, count) over all texts: summed up in each task, then by word."""
 
     def counted(frames):
         seen, told = Counter(), Words()
 
         def rows():
             words = list(seen)
-            kinds = told(words)[1] if words else []
-            return pd.DataFrame({"word": words, "kind": kinds, "count": [seen[w] for w in words]})
+            _, kinds, _, leaves, _ = told(words) if words else [()] * 5
+            return pd.DataFrame({"word": words, "kind": kinds, "leaf": leaves, "count": [seen[w] for w in words]})
 
         for frame in _batches(frames):
             for text in frame["text"]:
@@ -154,43 +209,78 @@ def count_words(texts: DataFrame) -> DataFrame:
                 seen.clear()
         yield rows()
 
-    parts = texts.select("text").mapInPandas(counted, "word binary, kind int, count bigint")
-    return parts.groupBy("word", "kind").agg(F.sum("count").alias("count"))
+    parts = texts.select("text").mapInPandas(counted, "word binary, kind int, leaf bigint, count bigint")
+    return parts.groupBy("word", "kind", "leaf").agg(F.sum("count").alias("count"))
 
 
-def train(texts: DataFrame, epochs: int = 1, rate: float = RATE) -> np.ndarray:
-    """The weights: each task descends along its own texts, and what they change is averaged.
+def most_frequent(words: DataFrame, most: int = HEAD) -> dict[bytes, tuple[int, int, int]]:
+    """count, kind and leaf of the most frequent words, at most ``most``.
 
-    A row of the weights counts the tasks that touched it. The weights have a fixed size,
-    ROWS * CLASSES numbers; the tasks' changes are added up row by row before and after the
-    shuffle.
+    A histogram of the counts (at most some thousand rows) tells from which count on they
+    fit; what comes to the driver is the words from there on.
+    """
+    short = words.where(F.length("word") <= LONGEST)
+    bucket = F.floor(F.log2("count") * 64)
+    counts = short.groupBy(bucket.alias("b")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("b")).collect()
+    least, total = None, 0
+    for r in counts:
+        total += r["n"]
+        if total > most:
+            break
+        least = r["b"]
+    if least is None:
+        return {}
+    rows = short.where(bucket >= least).select("word", "count", "kind", "leaf").collect()
+    return {bytes(r[0]): tuple(r)[1:] for r in rows}
+
+
+def own_slots(head: dict[bytes, tuple[int, int, int]]) -> dict[bytes, int]:
+    """Slots of their own for the most frequent words of each class."""
+    own, taken = {}, Counter()
+    for word, (_, kind, _) in sorted(head.items(), key=lambda x: (-x[1][0], x[0])):
+        if word != END and taken[kind] < WIDTH - SHARED:
+            own[word] = SHARED + taken[kind]
+            taken[kind] += 1
+    return own
+
+
+def train(texts: DataFrame, own: dict[bytes, int], bits: int, epochs: int = 1, rate: float = RATE) -> np.ndarray:
+    """The weights, of classes, slots and digits: each task descends along its own texts, and what
+    they change is averaged.
+
+    A row of the weights counts the tasks that touched it. The tasks' changes are added up
+    row by row before and after the shuffle; 2**bits rows of each level come to the driver.
     """
-    weights = np.zeros((ROWS, CLASSES), dtype=np.float32)
-    names = [f"w{k}" for k in range(CLASSES)]
+    weights = np.zeros((2 + DIGITS, 1 << bits, WIDTH), dtype=np.float32)
+    names = [f"w{k}" for k in range(WIDTH)]
     for _ in range(epochs):
-        shared = texts.sparkSession.sparkContext.broadcast(weights)
+        shared = texts.sparkSession.sparkContext.broadcast((weights, own))
 
         def moved(frames, shared=shared):
-            start = shared.value
-            own, words, touched = start.copy(), Words(), np.zeros(ROWS, dtype=bool)
-            squares = np.zeros(ROWS, dtype=np.float32)
+            start, own = shared.value
+            new, words, touched = start.copy(), Words(own=own), np.zeros(start.shape[:2], dtype=bool)
+            squares = np.zeros(start.shape[:2], dtype=np.float32)
             for frame in _batches(frames):
-                _, starts, h, kinds, _ = _flat(frame["text"], words)
-                rows = feature_rows(h, starts[:-1])
-                touched[rows] = True
-                for at in range(0, len(kinds), TOKENS):
-                    descend(own, squares, rows[:, at : at + TOKENS], kinds[at : at + TOKENS], rate)
+                _, starts, h, kinds, slots, _, _ = _flat(frame["text"], words)
+                for level, (_, rows, chosen) in enumerate(levels(h, kinds, slots, starts[:-1], bits)):
+                    touched[level][rows] = True
+                    for at in range(0, len(chosen), TOKENS):
+                        part = slice(at, at + TOKENS)
+                        descend(new[level], squares[level], rows[:, part], chosen[part], rate)
             which = np.flatnonzero(touched)
-            change = pd.DataFrame(own[which] - start[which], columns=names)
-            change.insert(0, "row", which)
-            yield change
+            for at in range(0, len(which), 20_000):
+                some = which[at : at + 20_000]
+                change = (new.reshape(-1, WIDTH)[some] - start.reshape(-1, WIDTH)[some])
+                change = pd.DataFrame(change, columns=names)
+                change.insert(0, "row", some)
+                yield change
 
         schema = "row bigint, " + ", ".join(f"{n} float" for n in names)
         changes = texts.select("text").mapInPandas(moved, schema)
         mean = changes.groupBy("row").agg(*[F.avg(n).cast("float").alias(n) for n in names]).toPandas()
         weights = weights.copy()
         if len(mean):
-            weights[mean["row"].to_numpy()] += mean[names].to_numpy()
+            weights.reshape(-1, WIDTH)[mean["row"].to_numpy()] += mean[names].to_numpy()
         shared.unpersist()
     return weights
 
@@ -199,7 +289,9 @@ def scored(docs: DataFrame, epochs: int = 1) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) per row of ``docs``.
 
     The probability of a word is that of its class, by the maximum-entropy model from the
-    two words before it, times its share of the class, from the counts with one added.
+    two words before it, times that of its slot in the class and, if it has not a slot of
+    its own, of each digit, by such models too, times its share of what is told apart so,
+    from the counts with one added.
     Counts and training take every text that is not held out. The most frequent words are
     known to every task, a table of fixed size; rarer ones, which can't be hot, are joined
     with the counts of all words. Null is an empty text, which is its end only; rows with a
@@ -214,30 +306,36 @@ def scored(docs: DataFrame, epochs: int = 1) -> DataFrame:
     )
     learned = rows.where(~F.col("held_out"))
     words = materialize(count_words(learned), "lm-words")
-    by_class = {r["kind"]: (r["n"], r["v"]) for r in words.groupBy("kind").agg(
-        F.sum("count").alias("n"), F.count(F.lit(1)).alias("v")).collect()}
-    n, v = (sum(x[i] for x in by_class.values()) for i in (0, 1))
-    frequent = words.where(F.length("word") <= LONGEST).orderBy(F.desc("count"), "word").limit(HEAD)
-    head = {bytes(r["word"]): r["count"] for r in frequent.select("word", "count").collect()}
-    weights = train(learned, epochs)
+    by_leaf = words.groupBy("leaf").agg(F.sum("count").alias("n"), F.count(F.lit(1)).alias("v")).collect()
+    sizes = np.zeros(WIDTH ** (2 + DIGITS), dtype=np.int64)
+    for r in by_leaf:
+        sizes[r["leaf"]] = r["n"] + r["v"]
+    n, v = sum(r["n"] for r in by_leaf), sum(r["v"] for r in by_leaf)
+    known = most_frequent(words)
+    own = own_slots(known)
+    for word in own:
+        count, _, leaf = known[word]
+        sizes[leaf] -= count + 1
+    bits = min(max(v.bit_length() - 3, LEAST_BITS), MOST_BITS)
+    weights = train(learned, own, bits, epochs)
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast((head, weights))
+    head = {word: each[0] for word, each in known.items()}
+    shared = spark.sparkContext.broadcast((head, own, weights))
     base, ten = np.log10(n + v + 1), np.log(10)
-    share = np.array([np.log10(sum(by_class.get(k, (0, 0))) + 1) for k in range(CLASSES)])
+    share = np.log10(sizes + 1)
 
     def evaluated(frames):
-        head, weights = shared.value
-        words = Words(head)
+        head, own, weights = shared.value
+        words = Words(head, own)
         for frame in _batches(frames):
-            flat, starts, h, kinds, counts = _flat(frame.pop("text"), words)
-            rows = feature_rows(h, starts[:-1])
-            logs = np.concatenate([
-                np.take_along_axis(log_shares(weights, rows[:, at : at + TOKENS]), kinds[at : at + TOKENS, None], 1)[:, 0]
-                for at in range(0, len(kinds), TOKENS)
-            ])
+            flat, starts, h, kinds, slots, leaves, counts = _flat(frame.pop("text"), words)
+            logs = np.zeros(len(flat))
+            for level, (which, rows, chosen) in enumerate(levels(h, kinds, slots, starts[:-1], bits)):
+                logs[which] += log_shares(weights[level], rows, chosen)
             seen = counts >= 0
             inside = np.where(seen, np.log10(counts.clip(0) + 1), 0)
-            model = logs / ten - share[kinds]
+            alone = (slots >= SHARED) & (kinds != WIDTH - 1)
+            model = logs / ten - np.where(alone, np.log10(counts.clip(0) + 2), share[leaves])
             add = lambda x: np.add.reduceat(x, starts[:-1])
             rare = np.flatnonzero(~seen)
             owner = np.searchsorted(starts, rare, side="right") - 1
