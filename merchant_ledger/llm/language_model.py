@@ -26,6 +26,8 @@ HEAD, LONGEST = 100_000, 40
 END = b" "
 TOKENS = 4_096
 RATE = 0.1
+#: A training task has at least about so many tokens: what it sends on does not grow with them.
+LEAST_SHARE = 2_000_000
 #: Scores are kept within this, where exponentials of single precision are safe.
 STEEPEST = 60
 
@@ -317,8 +319,9 @@ def scored(docs: DataFrame, epochs: int = 1) -> DataFrame:
         count, _, leaf = known[word]
         sizes[leaf] -= count + 1
     bits = min(max(v.bit_length() - 3, LEAST_BITS), MOST_BITS)
-    weights = train(learned, own, bits, epochs)
     spark = docs.sparkSession
+    tasks = max(spark.sparkContext.defaultParallelism, -(-n // LEAST_SHARE))
+    weights = train(learned.coalesce(tasks), own, bits, epochs)
     head = {word: each[0] for word, each in known.items()}
     shared = spark.sparkContext.broadcast((head, own, weights))
     base, ten = np.log10(n + v + 1), np.log(10)
