@@ -28,35 +28,45 @@ GENERATED = 500
 #: Log-likelihood ratio in all, and per transition, from which on a string is a secret.
 LEAST_RATIO, LEAST_MEAN = 15.0, 0.8
 
-SPAN = "struct<start:int,kind_no:int,end:int,kind:string>"
+#: Spans have the place of their value, of an assignment the part after its sign.
+SPAN = "struct<start:int,kind_no:int,end:int,kind:string,value:int>"
 NONE = f"array<{SPAN}>"
+#: Long arrays and texts are handled in blocks of so many elements and characters.
+BLOCK, CHARACTERS = 128, 4_096
 
 
 def matches(text: Column, pattern: str) -> Column:
     """Array of (start, end, found), in code points, leftmost and not overlapping.
 
     What lies between the matches is as long as the parts that they split the text into.
+    Matches are gathered in blocks, so that none is copied once for each match after it.
     """
     found, between = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
     both = F.arrays_zip(found.alias("found"), between.alias("between"))
-    first = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int,found:string>>").alias("out"))
+    match = "struct<start:int,end:int,found:string>"
+    first = F.struct(
+        F.lit(0).alias("at"), F.array().cast(f"array<{match}>").alias("block"), F.array().cast(f"array<array<{match}>>").alias("out")
+    )
 
     def add(state: Column, each: Column) -> Column:
         start = state["at"] + F.length(each["between"])
         end = start + F.length(each["found"])
-        match = F.struct(start.alias("start"), end.alias("end"), each["found"].alias("found"))
-        more = F.when(each["found"].isNotNull(), F.concat(state["out"], F.array(match))).otherwise(state["out"])
-        return F.struct(F.coalesce(end, start).alias("at"), more.alias("out"))
+        new = F.array(F.struct(start.alias("start"), end.alias("end"), each["found"].alias("found")))
+        any_found, full = each["found"].isNotNull(), F.size(state["block"]) >= BLOCK
+        block = F.when(~any_found, state["block"]).when(full, new).otherwise(F.concat(state["block"], new))
+        out = F.when(any_found & full, F.concat(state["out"], F.array(state["block"]))).otherwise(state["out"])
+        return F.struct(F.coalesce(end, start).alias("at"), block.alias("block"), out.alias("out"))
 
-    return F.aggregate(both, first, add, lambda state: state["out"])
+    return F.aggregate(both, first, add, lambda state: F.flatten(F.concat(state["out"], F.array(state["block"]))))
 
 
-def _spans(found: Column, kind: str) -> Column:
+def _spans(found: Column, kind: str, value: str | None = None) -> Column:
     number = KINDS.index(kind) if kind in KINDS else len(KINDS)
     return F.transform(
         found,
         lambda m: F.struct(
-            m["start"].alias("start"), F.lit(number).alias("kind_no"), m["end"].alias("end"), F.lit(kind).alias("kind")
+            m["start"].alias("start"), F.lit(number).alias("kind_no"), m["end"].alias("end"), F.lit(kind).alias("kind"),
+            (m["end"] - F.length(F.regexp_extract(m["found"], value, 2)) if value else m["start"]).alias("value"),
         ),
     )
 
@@ -72,7 +82,7 @@ def base_spans(docs: DataFrame, text: str = "text") -> DataFrame:
         matches(column, ASSIGN), lambda m: F.length(F.regexp_extract(m["found"], f"^{ASSIGN}", 2)) >= 8
     )
     found = with_once(docs, {
-        "_assign": _where_any(column, ASSIGN, _spans(values, "assign")),
+        "_assign": _where_any(column, ASSIGN, _spans(values, "assign", f"^{ASSIGN}")),
         "_access": _where_any(column, ACCESS, _spans(matches(column, ACCESS), "access")),
         "_hex": _where_any(column, HEX, _spans(matches(column, HEX), "hex")),
     })
@@ -81,14 +91,36 @@ def base_spans(docs: DataFrame, text: str = "text") -> DataFrame:
     )
 
 
-def _cut(text: Column, span: Column) -> Column:
-    return F.substring(text, span["start"] + 1, span["end"] - span["start"])
+def blocks_of(text: Column) -> Column:
+    """The text in blocks of ``CHARACTERS``, for ``piece``: to find a place in the text itself
+    takes a walk from its start."""
+    starts = F.sequence(F.lit(0), F.length(text), F.lit(CHARACTERS))
+    return F.transform(starts, lambda at: F.substring(text, at + 1, F.lit(CHARACTERS)))
+
 
+def piece(blocks: Column, start: Column, end: Column) -> Column:
+    """What stands from ``start`` to ``end`` in a text of ``blocks``."""
+    first = F.floor(start / CHARACTERS).cast("int")
+    count = F.floor((end - 1) / CHARACTERS).cast("int") - first + 1
+    near = F.array_join(F.slice(blocks, first + 1, F.greatest(count, F.lit(0))), "")
+    return F.when(end > start, F.substring(near, start - first * CHARACTERS + 1, end - start)).otherwise("")
 
-def _value(text: Column, span: Column) -> Column:
-    """Of an assignment its value; of other spans all."""
-    whole = _cut(text, span)
-    return F.when(span["kind"] == "assign", F.regexp_extract(whole, f"^{ASSIGN}", 2)).otherwise(whole)
+
+def in_blocks(spans: Column) -> Column:
+    """Array of (spans, low, high): sorted spans in blocks, and where those of a block lie."""
+    starts = F.when(F.size(spans) > 0, F.sequence(F.lit(1), F.size(spans), F.lit(BLOCK))).otherwise(F.array().cast("array<int>"))
+    return F.transform(
+        F.transform(starts, lambda i: F.slice(spans, i, F.lit(BLOCK))),
+        lambda b: F.struct(
+            b.alias("spans"), F.get(b, F.lit(0))["start"].alias("low"), F.array_max(F.transform(b, lambda s: s["end"])).alias("high")
+        ),
+    )
+
+
+def overlapped(m: Column, blocks: Column) -> Column:
+    """Whether a match shares a character with any of the spans in ``blocks``."""
+    meets = lambda s: (s["start"] < m["end"]) & (s["end"] > m["start"])
+    return F.exists(blocks, lambda b: (b["low"] < m["end"]) & (b["high"] > m["start"]) & F.exists(b["spans"], meets))
 
 
 def labelled_samples(docs: DataFrame, found: DataFrame) -> DataFrame:
@@ -122,9 +154,8 @@ def train(samples: DataFrame, smooth: float = 10.0) -> list[float]:
     counts as ``smooth`` transitions. One row per transition comes to the driver, 68 * 68
     at most for each model.
     """
-    pair = F.transform(
-        F.sequence(F.lit(1), F.length("string") - 1), lambda i: F.substring(F.col("string"), i, F.lit(2))
-    )
+    characters, pairs = F.split("string", ""), F.length("string") - 1
+    pair = F.zip_with(F.slice(characters, F.lit(1), pairs), F.slice(characters, F.lit(2), pairs), lambda a, b: F.concat(a, b))
     counts = (
         samples.where(F.length("string") > 1).select("random", F.explode(pair).alias("pair"))
         .where(F.col("pair").rlike(r"^[A-Za-z0-9+/_.=-]{2}$"))
@@ -141,15 +172,22 @@ def train(samples: DataFrame, smooth: float = 10.0) -> list[float]:
     return [r - o for a in ALPHABET for r, o in zip(logs[True, a], logs[False, a])]
 
 
-def log_ratio(string: Column, model: list[float]) -> Column:
-    """Sum of the model's log ratios over a string's transitions."""
-    table = F.split(F.lit(",".join(f"{x:.4f}" for x in model)), ",").cast("array<double>")
-    place = lambda i: F.call_function("locate", F.substring(string, i, F.lit(1)), F.lit(ALPHABET))
-    return F.aggregate(
-        F.sequence(F.lit(1), F.length(string) - 1),
-        F.lit(0.0),
-        lambda total, i: total + F.element_at(table, (place(i) - 1) * len(ALPHABET) + place(i + 1)),
-    )
+def table_of(model: list[float]) -> Column:
+    """The model's log ratios; a column of its own, not to be made anew for each character."""
+    return F.split(F.lit(",".join(f"{x:.4f}" for x in model)), ",").cast("array<double>")
+
+
+def log_ratio(string: Column, table: Column) -> Column:
+    """Sum of the log ratios in ``table`` over a string's transitions."""
+    place = lambda c: F.call_function("locate", c, F.lit(ALPHABET))
+
+    def add(state: Column, c: Column) -> Column:
+        now = place(c)
+        step = F.when(state["before"] > 0, F.element_at(table, (state["before"] - 1) * len(ALPHABET) + now)).otherwise(0.0)
+        return F.struct(now.alias("before"), (state["total"] + step).alias("total"))
+
+    first = F.struct(F.lit(0).alias("before"), F.lit(0.0).alias("total"))
+    return F.aggregate(F.split(string, ""), first, add, lambda state: state["total"])
 
 
 def scan(docs: DataFrame, model: list[float] | None = None) -> DataFrame:
@@ -162,27 +200,28 @@ def scan(docs: DataFrame, model: list[float] | None = None) -> DataFrame:
     without any document the models know the generated strings only. Repeated rows are
     scanned each; other columns pass through, but for ``_base`` and ``_all``.
     """
-    docs = docs.drop("_base", "_all")
+    docs = docs.drop("_base", "_all", "_near", "_candidates", "_table")
     if model is None:
         text = F.coalesce(F.col("text"), F.lit(""))
         found = base_spans(docs.select("text")).where(F.size("_base") > 0)
-        values = F.transform("_base", lambda s: _value(text, s))
+        found = with_once(found, {"_blocks": blocks_of(text)})
+        values = F.transform("_base", lambda s: piece(F.col("_blocks"), s["value"], s["end"]))
         found = materialize(found.select("_base", values.alias("values")), "secret-values")
         model = train(labelled_samples(docs, found))
     text = F.coalesce(F.col("text"), F.lit(""))
-    based = base_spans(docs)
-    free = lambda m: ~F.exists("_base", lambda s: (s["start"] < m["end"]) & (s["end"] > m["start"]))
-    candidates = F.filter(matches(text, CANDIDATE), free)
+    based = with_once(base_spans(docs), {"_near": in_blocks(F.col("_base"))})
+    candidates = F.filter(matches(text, CANDIDATE), lambda m: ~overlapped(m, F.col("_near")))
     listed = with_once(based, {
         "_candidates": _where_any(text, CANDIDATE, candidates, "array<struct<start:int,end:int,found:string>>")
     })
+    listed = with_once(listed, {"_table": F.when(F.size("_candidates") > 0, table_of(model))})
 
     def random(m: Column) -> Column:
-        ratio = log_ratio(m["found"], model)
-        return (ratio >= LEAST_RATIO) & (ratio >= LEAST_MEAN * (F.length(m["found"]) - 1))
+        least = F.greatest(F.lit(LEAST_RATIO), LEAST_MEAN * (F.length(m["found"]) - 1))
+        return log_ratio(m["found"], F.col("_table")) >= least
 
     more = _spans(F.filter("_candidates", random), RANDOM)
-    return with_once(listed, {"_all": F.sort_array(F.concat("_base", more))}).drop("_candidates")
+    return with_once(listed, {"_all": F.sort_array(F.concat("_base", more))}).drop("_candidates", "_near", "_table")
 
 
 def written(spans: Column) -> Column:
@@ -206,17 +245,23 @@ def redacted(docs: DataFrame, mark: str = "[secret]") -> DataFrame:
     Of an assignment only the value goes. Null texts stay null.
     """
     text = F.col("text")
+    rows = scan(docs.select("doc_id", "text", F.struct("*").alias("_row")))
+    rows = with_once(rows, {"_blocks": blocks_of(F.when(F.size("_all") > 0, text).otherwise(""))})
+    strings = "array<string>"
 
     def step(state: Column, span: Column) -> Column:
-        start = span["end"] - F.length(_value(text, span))
-        before = F.substring(text, state["at"] + 1, F.greatest(start - state["at"], F.lit(0)))
-        longer = F.concat(state["out"], F.when(start >= state["at"], F.concat(before, F.lit(mark))).otherwise(""))
-        return F.struct(F.greatest(state["at"], span["end"]).alias("at"), longer.alias("out"))
-
-    first = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    rebuilt = F.aggregate(
-        "_all", first, step, lambda s: F.concat(s["out"], F.substring(text, s["at"] + 1, F.length(text)))
-    )
-    rows = scan(docs.select("doc_id", "text", F.struct("*").alias("_row")))
+        before = piece(F.col("_blocks"), state["at"], F.greatest(span["value"], state["at"]))
+        new = F.when(span["value"] >= state["at"], F.concat(before, F.lit(mark))).otherwise("")
+        full = F.size(state["block"]) >= BLOCK
+        return F.struct(
+            F.greatest(state["at"], span["end"]).alias("at"),
+            F.when(full, F.array(new)).otherwise(F.concat(state["block"], F.array(new))).alias("block"),
+            F.when(full, F.concat(state["out"], F.array(F.array_join(state["block"], "")))).otherwise(state["out"]).alias("out"),
+        )
+
+    first = F.struct(F.lit(0).alias("at"), F.array().cast(strings).alias("block"), F.array().cast(strings).alias("out"))
+    rebuilt = F.aggregate("_all", first, step, lambda s: F.concat(
+        F.array_join(s["out"], ""), F.array_join(s["block"], ""), piece(F.col("_blocks"), s["at"], F.length(text))
+    ))
     new = F.when(F.size("_all") > 0, rebuilt).otherwise(text).alias("text")
     return rows.select(*[new if c == "text" else F.col("_row")[c].alias(c) for c in docs.columns])
