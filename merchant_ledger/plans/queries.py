@@ -128,7 +128,8 @@ def _chunks(rows: DataFrame, key: str) -> DataFrame:
 
 def chunked_orders(spark: SparkSession, folder: str) -> DataFrame:
     """Chunks of ``orders`` by a key whose values are dense at one end and rare at the other."""
-    key = F.col("o_orderkey") * F.col("o_orderkey") * F.col("o_orderkey")
+    number = F.col("o_orderkey").cast("double")  # the cube of a long need not be one
+    key = number * number * number
     return _chunks(spark.read.parquet(f"{folder}/orders.parquet").select(key.alias("id")), "id")
 
 
