@@ -25,6 +25,8 @@ from merchant_ledger.session import shared_folder
 ROWS_PER_GROUP = 4_000_000
 # A group above that is cut finer still, to keep all cores busy.
 SLICES_PER_GROUP = 4
+# A range of the sequence that one task cuts has at least about so many rows.
+ROWS_PER_RANGE = ROWS_PER_GROUP // SLICES_PER_GROUP
 # Hot keys are broadcast up to this many; more are joined by a shuffle.
 BROADCAST_KEYS = 20_000
 
@@ -58,16 +60,16 @@ def slice_if_hot(
     rows = events.count()
     if rows <= rows_per_group:
         return events
-    largest = events.groupBy(MERCHANT).count().agg(F.max("count")).first()[0]
-    if largest <= rows_per_group:
+    counts = events.groupBy(MERCHANT).count()
+    hot_merchants = counts.agg(F.count_if(F.col("count") > rows_per_group)).first()[0]
+    if not hot_merchants:
         return events
-    sliced = _even_slices(events, seq, math.ceil(rows * SLICES_PER_GROUP / rows_per_group))
-    hot_keys = rows // rows_per_group  # at most
-    limits = (rows_per_group, hot_keys)
-    sliced = _slice_hot(sliced, sliced, [MERCHANT], MERCHANT_SLICE, *limits)
+    sliced = _even_slices(events, seq, math.ceil(rows * SLICES_PER_GROUP / rows_per_group), rows)
+    sliced = _slice_hot(sliced, sliced, [MERCHANT], MERCHANT_SLICE, rows_per_group, hot_merchants)
     if by_order:
         of_hot = sliced.filter(F.col(MERCHANT_SLICE) != WHOLE)
-        sliced = _slice_hot(sliced, of_hot, ORDER_KEYS, ORDER_SLICE, *limits)
+        most = rows // rows_per_group
+        sliced = _slice_hot(sliced, of_hot, ORDER_KEYS, ORDER_SLICE, rows_per_group, most)
     return sliced.drop("slice")
 
 
@@ -78,11 +80,23 @@ def written(rows: DataFrame, purpose: str) -> DataFrame:
     return rows.sparkSession.read.schema(rows.schema).parquet(folder)
 
 
-def _even_slices(events: DataFrame, seq: Sequence[str], slices: int) -> DataFrame:
+def _even_slices(events: DataFrame, seq: Sequence[str], slices: int, rows: int) -> DataFrame:
     """Number the ranges of a range partitioning. They are written, because the cuts come
-    from a sample: every later read must see the same ones."""
-    ranges = events.repartitionByRange(slices, *seq)
-    return written(ranges.withColumn("slice", F.spark_partition_id()), "slices")
+    from a sample: every later read must see the same ones.
+
+    Tasks and files are no more than the rows need, however small the slices are: a task
+    sorts its range then, and cuts it by the number of rows.
+    """
+    tasks = max(events.sparkSession.sparkContext.defaultParallelism, math.ceil(rows / ROWS_PER_RANGE))
+    ranges = events.repartitionByRange(min(slices, tasks), *seq)
+    number = F.spark_partition_id()
+    if tasks < slices:
+        ranges = ranges.sortWithinPartitions(*seq)
+        size = math.ceil(rows / slices)
+        # The lower 33 bits of this id count the rows of a task, in their order.
+        at = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+        number = number.cast("bigint") * math.ceil(rows / size) + F.floor(at / size)
+    return written(ranges.withColumn("slice", number), "slices")
 
 
 def _slice_hot(
