@@ -2,11 +2,13 @@
 
 from collections import Counter
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from merchant_ledger.sources.messages import ACK, REJECT, REQUEUE
-from merchant_ledger.streaming.redelivery import ATTEMPT, DEAD, Redelivery
+from merchant_ledger.streaming.redelivery import ATTEMPT, DEAD, Attempts, Redelivery
 
 SCHEMA = "id bigint, value string"
 GOOD = '{"mchNo":"M","totalAmount":1,"successAmount":1,"refundAmount":0,"cancelAmount":0,"netAmount":1,"updateTime":1}'
@@ -86,3 +88,44 @@ def test_more_messages_and_one_attempt(spark, place):
     spark.range(40, 45).select("id", value().alias("value")).write.mode("append").parquet(str(place / "in"))
     queue.run(messages(spark, place), str(place / "checkpoint"))
     assert {i for _, i, _ in ends(queue)} == set(range(45)) and sum(ends(queue).values()) == 45
+
+
+class Kept(dict):
+    """A map state that counts its calls."""
+
+    calls = 0
+
+    def getValue(self, key):
+        self.calls += 1
+        return self.get(key)
+
+    def updateValue(self, key, value):
+        self.calls += 1
+        self[key] = value
+
+    def removeKey(self, key):
+        self.calls += 1
+        del self[key]
+
+
+def test_calls_to_the_state_do_not_grow_with_the_messages():
+    kept, kinds = Kept(), T.StructType().add("id", "long")
+    handle = type("Handle", (), {"getMapState": lambda self, name, keys, values: kept})()
+    attempts = Attempts(["id"], kinds, ["id", "outcome", ATTEMPT], 3)
+    attempts.init(handle)
+    numbers = range(6000)
+    for offer in range(3):
+        frames = [
+            pd.DataFrame({"id": part, "outcome": REQUEUE, ATTEMPT: offer, "bucket": [i % 8 for i in part]})
+            for part in (numbers[:2000], numbers[2000:])
+        ]
+        out = pd.concat(attempts.handleInputRows((0,), iter(frames), None))
+        assert out["id"].tolist() == [*numbers] and set(out[ATTEMPT]) == {offer + 1}
+        assert set(out["outcome"]) == {DEAD if offer == 2 else REQUEUE}
+    assert kept.calls <= 3 * 2 * 8 and not kept
+    # Of one key that comes twice, each offer counts.
+    twice = pd.DataFrame({"id": [1, 1, 2], "outcome": REQUEUE, ATTEMPT: 0, "bucket": [1, 1, 1]})
+    assert pd.concat(attempts.handleInputRows((0,), iter([twice]), None))[ATTEMPT].tolist() == [1, 2, 1]
+    ended = pd.DataFrame({"id": [1, 2], "outcome": [REQUEUE, ACK], ATTEMPT: [1, 1], "bucket": [1, 1]})
+    out = pd.concat(attempts.handleInputRows((0,), iter([ended]), None))
+    assert out["outcome"].tolist() == [DEAD, ACK] and out[ATTEMPT].tolist() == [3, 2] and not kept
