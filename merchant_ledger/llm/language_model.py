@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -41,6 +44,33 @@ def tokens(text: str) -> list[bytes]:
     return words
 
 
+def tokens_of(texts) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """The distinct tokens of a batch, the place there of each token, and the starts by text.
+
+    They are those of ``tokens``. A batch is split as a whole, and each distinct word of it
+    becomes an object once.
+    """
+    lower = pa.array([t.encode("utf-8", "surrogatepass").lower() for t in texts], pa.large_binary())
+    # Bytes are bytes here: only ASCII is looked for.
+    lower = pa.Array.from_buffers(pa.large_string(), len(lower), lower.buffers())
+    split = pc.ascii_split_whitespace(lower)
+    words, offsets = split.values, split.offsets.to_numpy()
+    filled = pc.greater(pc.binary_length(words), 0).to_numpy(zero_copy_only=False)
+    until = np.concatenate([[0], np.cumsum(filled)])
+    if not filled.all():
+        words = words.filter(pa.array(filled))
+    coded = words.dictionary_encode()
+    distinct = coded.dictionary
+    distinct = pa.Array.from_buffers(pa.large_binary(), len(distinct), distinct.buffers()).to_pylist()
+    ends = np.cumsum(until[offsets[1:]] - until[offsets[:-1]] + 1)
+    starts = np.concatenate([[0], ends])
+    places = np.full(starts[-1], len(distinct), dtype=np.int64)
+    is_word = np.ones(len(places), dtype=bool)
+    is_word[ends - 1] = False
+    places[is_word] = coded.indices.to_numpy(zero_copy_only=False)
+    return [*distinct, END], places, starts
+
+
 def _hashed(parts: list[bytes]) -> np.ndarray:
     return pd.util.hash_array(np.array(parts, dtype=object), categorize=False)
 
@@ -49,20 +79,22 @@ def digit(hashes: np.ndarray, i: int) -> np.ndarray:
     return ((hashes >> np.uint64(8 * i)) % np.uint64(WIDTH)).astype(np.int64)
 
 
-class _Places(dict):
-    """Gives each new word the next place, and remembers it in ``new``."""
+class _Hashed(dict):
+    """Hashes of short parts of words, each computed once, modulo ``size``."""
 
-    def __init__(self):
-        self.new: list[bytes] = []
+    def __init__(self, size: int, known: dict[bytes, int] | None = None):
+        super().__init__(known or {})
+        self.size = size
 
-    def __missing__(self, word: bytes) -> int:
-        self[word] = place = len(self)
-        self.new.append(word)
-        return place
+    def of(self, parts: list[bytes]) -> np.ndarray:
+        new = list(set(parts) - self.keys())
+        if new:
+            self.update(zip(new, (_hashed(new) % np.uint64(self.size)).tolist()))
+        return np.fromiter(map(self.__getitem__, parts), np.int64, len(parts))
 
 
 class Words:
-    """Hash, class, slot, leaf and known count of words; what was computed for a word is kept.
+    """Hash, class, slot, leaf and known count of words.
 
     A word's class is told by its last two bytes. Its slot there is its own if ``own`` has
     one, else one of those that are shared, told by its first two bytes. The leaf stands for
@@ -72,30 +104,22 @@ class Words:
 
     def __init__(self, head: dict[bytes, int] | None = None, own: dict[bytes, int] | None = None):
         self.head, self.own = head or {}, own or {}
-        self._clear()
-
-    def _clear(self) -> None:
-        self.places = _Places()
-        self.table = np.zeros((5, 0), dtype=np.int64)
+        self.kinds, self.shared = _Hashed(WIDTH - 1, {END: WIDTH - 1}), _Hashed(SHARED)
 
     def __call__(self, words: list[bytes]) -> np.ndarray:
-        if len(self.places) > 500_000:
-            self._clear()
-        places = np.fromiter(map(self.places.__getitem__, words), np.int64, len(words))
-        new, self.places.new = self.places.new, []
-        if new:
-            kinds = (_hashed([w[-2:] for w in new]) % np.uint64(WIDTH - 1)).astype(np.int64)
-            kinds[[w == END for w in new]] = WIDTH - 1
-            shared = (_hashed([w[:2] for w in new]) % np.uint64(SHARED)).astype(np.int64)
-            slots = [self.own.get(w, k) for w, k in zip(new, shared.tolist())]
-            counts = [self.head.get(w, -1) for w in new]
-            hashes = _hashed(new)
-            leaves = kinds * WIDTH + shared
-            for i in range(DIGITS):
-                leaves = leaves * WIDTH + digit(hashes, i)
-            rows = [hashes.view(np.int64), kinds, slots, leaves, counts]
-            self.table = np.concatenate([self.table, rows], axis=1)
-        return self.table.take(places, axis=1)
+        hashes = _hashed(words)
+        kinds = self.kinds.of([w[-2:] for w in words])
+        shared = self.shared.of([w[:2] for w in words])
+        slots, counts = shared.copy(), np.full(len(words), -1, dtype=np.int64)
+        if self.own:
+            own = np.fromiter(map(self.own.get, words, repeat(-1)), np.int64, len(words))
+            np.copyto(slots, own, where=own >= 0)
+        if self.head:
+            counts = np.fromiter(map(self.head.get, words, repeat(-1)), np.int64, len(words))
+        leaves = kinds * WIDTH + shared
+        for i in range(DIGITS):
+            leaves = leaves * WIDTH + digit(hashes, i)
+        return np.stack([hashes.view(np.int64), kinds, slots, leaves, counts])
 
 
 def features(hashes: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -152,12 +176,21 @@ def descend(weights: np.ndarray, squares: np.ndarray, rows: np.ndarray, chosen:
     for row in rows:
         order = np.argsort(row, kind="stable")
         ordered = row.take(order)
-        first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
-        which = ordered.take(first)
-        total = np.add.reduceat(powers.take(order, axis=0), first, axis=0)
-        squares[which] += np.einsum("ij,ij->i", total, total) / total.shape[1]
-        total *= (rate / np.sqrt(squares[which] + 1e-6))[:, None]
-        weights[which] += total
+        edges = np.concatenate([[0], np.flatnonzero(ordered[1:] != ordered[:-1]) + 1, [len(row)]])
+        first, times = edges[:-1], edges[1:] - edges[:-1]
+        which = ordered.take(first).astype(np.intp)
+        total = powers.take(order.take(first), axis=0)
+        # Most rows have one token, which is their sum.
+        several = times > 1
+        if several.any():
+            many = times[several]
+            members = powers.take(order[np.repeat(several, times)], axis=0)
+            total[several] = np.add.reduceat(members, np.cumsum(many) - many, axis=0)
+        grown = squares.take(which) + np.einsum("ij,ij->i", total, total) / total.shape[1]
+        squares[which] = grown
+        total *= (rate / np.sqrt(grown + 1e-6))[:, None]
+        total += weights.take(which, axis=0)
+        weights[which] = total
 
 
 def levels(h: np.ndarray, kinds: np.ndarray, slots: np.ndarray, starts: np.ndarray, bits: int):
@@ -184,12 +217,11 @@ def _batches(frames: Iterator[pd.DataFrame], most: int = 2_000_000) -> Iterator[
 
 
 def _flat(texts, words: Words):
-    """All tokens of a batch, their starts by text, and their hashes, classes, slots, leaves and counts."""
-    split = [tokens(t) for t in texts]
-    flat = [w for each in split for w in each]
-    starts = np.cumsum([0] + [len(each) for each in split])
-    hashes, kinds, slots, leaves, counts = words(flat)
-    return flat, starts, hashes.view(np.uint64), kinds, slots, leaves, counts
+    """The distinct tokens of a batch, the place there of all, their starts by text, and their
+    hashes, classes, slots, leaves and counts."""
+    distinct, places, starts = tokens_of(texts)
+    hashes, kinds, slots, leaves, counts = words(distinct).take(places, axis=1)
+    return distinct, places, starts, hashes.view(np.uint64), kinds, slots, leaves, counts
 
 
 def count_words(texts: DataFrame) -> DataFrame:
@@ -263,7 +295,7 @@ def train(texts: DataFrame, own: dict[bytes, int], bits: int, epochs: int = 1, r
             new, words, touched = start.copy(), Words(own=own), np.zeros(start.shape[:2], dtype=bool)
             squares = np.zeros(start.shape[:2], dtype=np.float32)
             for frame in _batches(frames):
-                _, starts, h, kinds, slots, _, _ = _flat(frame["text"], words)
+                _, _, starts, h, kinds, slots, _, _ = _flat(frame["text"], words)
                 for level, (_, rows, chosen) in enumerate(levels(h, kinds, slots, starts[:-1], bits)):
                     touched[level][rows] = True
                     for at in range(0, len(chosen), TOKENS):
@@ -331,8 +363,8 @@ def scored(docs: DataFrame, epochs: int = 1) -> DataFrame:
         head, own, weights = shared.value
         words = Words(head, own)
         for frame in _batches(frames):
-            flat, starts, h, kinds, slots, leaves, counts = _flat(frame.pop("text"), words)
-            logs = np.zeros(len(flat))
+            distinct, places, starts, h, kinds, slots, leaves, counts = _flat(frame.pop("text"), words)
+            logs = np.zeros(len(places))
             for level, (which, rows, chosen) in enumerate(levels(h, kinds, slots, starts[:-1], bits)):
                 logs[which] += log_shares(weights[level], rows, chosen)
             seen = counts >= 0
@@ -342,27 +374,28 @@ def scored(docs: DataFrame, epochs: int = 1) -> DataFrame:
             add = lambda x: np.add.reduceat(x, starts[:-1])
             rare = np.flatnonzero(~seen)
             owner = np.searchsorted(starts, rare, side="right") - 1
-            left: list[Counter] = [Counter() for _ in range(len(frame))]
-            for k, i in zip(owner.tolist(), rare.tolist()):
-                left[k][flat[i]] += 1
+            each, times = np.unique(owner * len(distinct) + places[rare], return_counts=True)
+            owner, which = np.divmod(each, len(distinct))
+            cuts = np.searchsorted(owner, np.arange(1, len(frame)))
+            names = np.array(distinct, dtype=object)[which]
             yield frame.assign(
                 n_tokens=np.diff(starts), known=add(seen.astype(np.int64)), inside=add(inside), model=add(model),
-                rare=[list(c.items()) for c in left],
+                word=np.split(names, cuts), times=np.split(times, cuts),
             )
 
     schema = (
         "doc_id string, held_out boolean, n_tokens bigint, known bigint, inside double, model double,"
-        " rare array<struct<word:binary,times:bigint>>"
+        " word array<binary>, times array<bigint>"
     )
     parts = rows.mapInPandas(evaluated, schema).withColumn("uid", F.monotonically_increasing_id())
     parts = materialize(parts, "lm-parts")
     log10 = F.log10(F.col("count") + 1)
     found = (
-        parts.select("uid", F.inline("rare")).join(words.select("word", "count"), "word")
+        parts.select("uid", F.inline(F.arrays_zip("word", "times"))).join(words.select("word", "count"), "word")
         .groupBy("uid").agg(F.sum("times").alias("more"), F.sum(F.col("times") * log10).alias("log"))
     )
     inside = F.col("inside") + F.coalesce("log", F.lit(0.0))
-    return parts.drop("rare").join(found, "uid", "left").select(
+    return parts.drop("word", "times").join(found, "uid", "left").select(
         F.col("doc_id").cast(kind).alias("doc_id"),
         "held_out",
         "n_tokens",

@@ -78,3 +78,38 @@ def test_context_tells_words_of_a_class_apart(spark):
     ).coalesce(1)
     r = lm.op9(docs).where("held_out").groupBy().sum("score", "base_score", "n_tokens").first()
     assert r[0] / r[2] > -0.3 and r[1] / r[2] < -0.5
+
+
+def test_tokens_of_a_batch_are_those_of_each_text():
+    rng = np.random.default_rng(7)
+    signs = list("aAbZ \t\n\x0b\x0c\r\x1c\x85\xa0éÉKİ\ud800\x00")
+    for _ in range(60):
+        texts = ["".join(rng.choice(signs, rng.integers(0, 25))) for _ in range(rng.integers(1, 6))]
+        distinct, places, starts = lm.tokens_of(texts)
+        assert [[distinct[i] for i in places[a:b]] for a, b in zip(starts, starts[1:])] == [lm.tokens(t) for t in texts]
+        assert len(set(distinct)) == len(distinct)
+
+
+def test_each_distinct_word_is_told_once_a_batch(monkeypatch):
+    asked = []
+    hashed = lm._hashed
+    monkeypatch.setattr(lm, "_hashed", lambda parts: asked.extend(parts) or hashed(parts))
+    *_, starts, h, kinds, slots, leaves, counts = lm._flat(["red fox " * 500] * 4, lm.Words({b"fox": 9}, {b"red": 5}))
+    assert len(h) == starts[-1] == 4004 and len(asked) < 20
+    assert slots[0] == 5 and counts[:2].tolist() == [-1, 9] and kinds[1000] == lm.WIDTH - 1
+
+
+def test_step_adds_what_each_row_has():
+    """Rows with one token and rows with several move by the sum of their gradients."""
+    rng = np.random.default_rng(8)
+    rows, chosen = rng.integers(0, 60, (1, 50)).astype(np.uint16), rng.integers(0, lm.WIDTH, 50)
+    weights = rng.normal(size=(60, lm.WIDTH))
+    gradient, one = np.zeros_like(weights), -np.exp(weights[rows[0]])
+    one /= -one.sum(axis=1, keepdims=True)
+    one[np.arange(50), chosen] += 1
+    np.add.at(gradient, rows[0], one)
+    squares = (gradient**2).sum(axis=1) / lm.WIDTH
+    moved, found = weights.copy(), np.zeros(60)
+    lm.descend(moved, found, rows, chosen, 0.1)
+    assert np.allclose(found, squares)
+    assert np.allclose(moved, weights + gradient * 0.1 / np.sqrt(squares + 1e-6)[:, None])
