@@ -22,6 +22,8 @@ CLASSES = 32
 SHORTEST_LONG, LONGEST_SHORT = 46, 56
 #: Members of a list that are compared with all others in the first round, and how many times more in the next.
 PIVOTS, MORE = 16, 16
+#: So many of a member's lists before one are known there, for pairs that those lists have too.
+EARLIER = 8
 #: Ids of documents are broadcast up to this many.
 MOST_BROADCAST = 500_000
 
@@ -114,12 +116,16 @@ def _spare(n: Column, percent: int) -> Column:
 
 
 def _survivors(classes: DataFrame, percent: int) -> DataFrame:
-    """Classes with enough entries that another class has too, for any partner they may have."""
+    """Classes with enough entries that another class has too, for any partner they may have.
+
+    Entries that no other class has are counted, by the one class that has them; the others are not moved.
+    """
     entries = classes.select("cid", F.explode("entries").alias("h"))
-    shared = entries.groupBy("h").count().where("count > 1").select("h")
+    single = entries.groupBy("h").agg(F.count(F.lit(1)).alias("count"), F.min("cid").alias("cid")).where("count = 1")
+    alone = single.groupBy("cid").agg(F.count(F.lit(1)).alias("alone"))
     need = 1 + _spare(F.ceil(F.col("n") * percent / 100), percent)
-    found = entries.join(shared, "h").groupBy("cid").count()
-    return classes.drop("entries").join(found, "cid").where(F.col("count") >= need).drop("count")
+    sized = classes.withColumn("entries", F.size("entries")).join(alone, "cid", "left")
+    return sized.where(F.col("entries") - F.coalesce("alone", F.lit(0)) >= need).drop("entries", "alone")
 
 
 def _tokens(docs: DataFrame, survivors: DataFrame, size: int) -> DataFrame:
@@ -149,7 +155,7 @@ def _tokens(docs: DataFrame, survivors: DataFrame, size: int) -> DataFrame:
 
 
 def _signatures(tokens: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
-    """(cid, n, tokens) of classes that can link, and their lists (sig, cid, n, own, odd).
+    """(cid, n, own, odd, tokens) of classes that can link, and their lists (sig, cid, own).
 
     ``own`` counts the shingles that no other surviving class has. A class with more of them
     than a partner may lack is out. The rest of a set is ordered from rare to frequent; two
@@ -157,6 +163,8 @@ def _signatures(tokens: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     rare, and found singly, or both are frequent, and found as one of all pairs. Of long sets
     k is CLASSES + 1: one is rare, or two frequent ones are of one class, and found as a
     pair of it. A frequent shingle is never indexed singly. Sets of a length between are indexed both ways.
+    If the first shingle that both share is frequent, all are; so rare ones are indexed only as far
+    as a first one may stand, which is spare + 1.
     """
     flat = tokens.select("cid", F.explode("tokens").alias("h"))
     shared = flat.groupBy("h").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
@@ -176,34 +184,36 @@ def _signatures(tokens: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
         .withColumn("rank", rank)
         .where(F.when(F.col("n") < SHORTEST_LONG, short).otherwise(F.col("rank") <= spare + CLASSES + 1 - F.col("own")))
         .withColumn("short", short & (F.col("n") <= LONGEST_SHORT))
+        .withColumn("first", F.col("rank") <= spare + 1 - F.col("own"))
+        .where((F.col("df") > FREQUENT) | F.col("first"))
     )
     prefix = materialize(prefix.select("cid", "n", "own", "h", "df", "short"), "join-prefix")
     remove(known)
     single = prefix.where(F.col("df") <= FREQUENT).select(
-        F.struct(F.col("h").alias("a"), F.lit(None).cast("bigint").alias("b")).alias("sig"), "cid", "n", "own"
+        F.struct(F.col("h").alias("a"), F.lit(None).cast("bigint").alias("b")).alias("sig"), "cid", "own"
     )
     frequent = prefix.where(F.col("df") > FREQUENT)
     long_pairs = _pairs(frequent.where(F.col("n") >= SHORTEST_LONG), [F.pmod("h", F.lit(CLASSES)).alias("class")], lesser_first=True)
     short_pairs = _pairs(frequent.where("short"), [], lesser_first=False)
-    lists = single.unionByName(long_pairs).unionByName(short_pairs).join(alive.select("cid", "odd"), "cid")
-    sets = materialize(alive.select("cid", "n").join(tokens.select("cid", "tokens"), "cid"), "join-sets")
+    lists = single.unionByName(long_pairs).unionByName(short_pairs)
+    sets = materialize(alive.select("cid", "n", "own", "odd").join(tokens.select("cid", "tokens"), "cid"), "join-sets")
     written = materialize(lists, "join-lists")
     remove(prefix, alive)
     return sets, written
 
 
 def _pairs(prefix: DataFrame, classes: list[Column], lesser_first: bool) -> DataFrame:
-    """(sig, cid, n, own) for all pairs of a set's shingles, or all of one class.
+    """(sig, cid, own) for all pairs of a set's shingles, or all of one class.
 
     Pairs of long sets begin with the lesser, those of short sets don't, so they are never taken for each other.
     """
-    grouped = prefix.groupBy("cid", "n", "own", *classes).agg(F.sort_array(F.collect_list("h")).alias("hs"))
+    grouped = prefix.groupBy("cid", "own", *classes).agg(F.sort_array(F.collect_list("h")).alias("hs"))
     pair = lambda a, b: F.struct(a.alias("a"), b.alias("b"))
     later = F.transform(
         "hs",
         lambda x, i: F.transform(F.slice("hs", i + 2, F.size("hs")), lambda y: pair(x, y) if lesser_first else pair(y, x)),
     )
-    return grouped.select(F.explode(F.flatten(later)).alias("sig"), "cid", "n", "own")
+    return grouped.select(F.explode(F.flatten(later)).alias("sig"), "cid", "own")
 
 
 def _feasible(percent: int) -> Column:
@@ -222,6 +232,54 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.where(100 * common >= percent * (F.col("nu") + F.col("nv") - common)).select("u", "v")
 
 
+def _lists_once(lists: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(list, cid, n, own, odd) and (list, p) of lists with two members or more, and their first pivots.
+
+    Of lists with the same members one is left: a passage that some sets have in common makes
+    one for each of its shingles. Members are told by their number and 128 bits. What is known
+    of a member is joined to those lists only.
+    """
+    hubs = lists.groupBy("sig").agg(
+        F.count(F.lit(1)).alias("members"),
+        F.bit_xor(F.xxhash64("cid")).alias("x"),
+        F.bit_xor(F.xxhash64(F.lit(1), "cid")).alias("y"),
+        F.min(F.struct("own", "cid")).alias("p"),
+    ).where("members > 1")
+    hubs = hubs.groupBy("members", "x", "y").agg(F.min(F.struct("sig", "p")).alias("one"))
+    hubs = hubs.select("one.sig", F.col("one.p.cid").alias("cid"), F.monotonically_increasing_id().alias("list"))
+    hubs = materialize(hubs, "join-hubs")
+    known = sets.select("cid", "n", "own", "odd")
+    joined = lists.join(hubs.select("sig", "list"), "sig").select("list", "cid").join(known, "cid")
+    joined = materialize(joined.select("list", "cid", "n", "own", "odd"), "join-lists")
+    pivots = hubs.select("list", "cid").join(known, "cid")
+    return joined, pivots.select("list", F.struct("cid", "n", "own", "odd").alias("p"))
+
+
+def _compared(members: DataFrame, chosen: DataFrame, percent: int) -> DataFrame:
+    """(u, v): the pairs of a list's members with its pivots ``chosen`` that can link, most of them once.
+
+    A pair that some list before has too, with one of both as a pivot, is left to that list.
+    Each row knows the last ``EARLIER`` of its member's lists, all and those where it is a
+    pivot. The first list of a pair is never left out; one too far back makes it come again.
+    """
+    known = members.join(chosen.select("list", "cid", F.lit(True).alias("led")), ["list", "cid"], "left")
+    before = Window.partitionBy("cid").orderBy("list").rowsBetween(-EARLIER, -1)
+    known = materialize(
+        known.withColumn("seen", F.collect_list("list").over(before)).withColumn(
+            "leading", F.collect_list(F.when(F.col("led"), F.col("list"))).over(before)
+        ),
+        "join-known",
+    )
+    pivots = known.where("led").select("list", F.struct("cid", "n", "own", "odd", "root", "seen", "leading").alias("p"))
+    once = F.col("led").isNull() | (F.col("cid") < F.col("p.cid"))
+    had = F.arrays_overlap("seen", "p.leading") | F.arrays_overlap("leading", "p.seen")
+    return (
+        known.join(pivots, "list")
+        .where((F.col("root") != F.col("p.root")) & once & _feasible(percent) & ~had)
+        .select(F.least("cid", "p.cid").alias("u"), F.greatest("cid", "p.cid").alias("v"))
+    )
+
+
 def links(docs: DataFrame, classes: DataFrame, size: int, percent: int) -> DataFrame:
     """(u, v) of class ids: links that connect what all links connect.
 
@@ -231,21 +289,19 @@ def links(docs: DataFrame, classes: DataFrame, size: int, percent: int) -> DataF
     of them in each round. A list is done
     when all in it is connected or all outside the largest component were pivots; so no
     link between components is missed, and a list of near copies of one text costs little
-    more than its length. Tables are removed when what follows from them is written.
+    more than its length. Lists with the same members are one, and a pair that several
+    lists have is seldom compared in more than one. Tables are removed when what follows
+    from them is written.
     """
     survivors = materialize(_survivors(classes, percent), "join-survivors")
     tokens = materialize(_tokens(docs, survivors, size), "join-tokens")
     remove(classes, survivors)
     sets, lists = _signatures(tokens, percent)
-    hubs = lists.groupBy("sig").agg(
-        F.count(F.lit(1)).alias("members"), F.min(F.struct("own", "cid", "n", "odd")).alias("p")
-    ).where("members > 1")
-    hubs = materialize(hubs, "join-hubs")
-    joined = materialize(lists.join(hubs.select("sig"), "sig"), "join-lists")
-    remove(lists, tokens)
-    lists = joined
+    written = lists
+    lists, hubs = _lists_once(written, sets)
+    remove(written, tokens)
     pairs = (
-        lists.join(hubs.select("sig", "p"), "sig")
+        lists.join(hubs, "list")
         .where((F.col("cid") != F.col("p.cid")) & _feasible(percent))
         .select(F.least("cid", "p.cid").alias("u"), F.greatest("cid", "p.cid").alias("v"))
         .distinct()
@@ -257,28 +313,23 @@ def links(docs: DataFrame, classes: DataFrame, size: int, percent: int) -> DataF
         named = lists.join(roots.withColumnRenamed("node", "cid"), "cid", "left").withColumn(
             "root", F.coalesce("root", "cid")
         )
-        parts = named.groupBy("sig", "root").agg(F.count(F.lit(1)).alias("part"))
-        open_lists = parts.groupBy("sig").agg(
+        parts = named.groupBy("list", "root").agg(F.count(F.lit(1)).alias("part"))
+        open_lists = parts.groupBy("list").agg(
             F.count(F.lit(1)).alias("roots"), F.sum("part").alias("members"), F.max(F.struct("part", "root")).alias("main")
-        ).where("roots > 1").select("sig", F.col("main.root").alias("main"), (F.col("members") - F.col("main.part")).alias("outside"))
-        open_members = materialize(named.join(open_lists, "sig"), "join-open")
+        ).where("roots > 1").select("list", F.col("main.root").alias("main"), (F.col("members") - F.col("main.part")).alias("outside"))
+        open_members = materialize(named.join(open_lists, "list"), "join-open")
         remove(roots)
         outside = open_members.agg(F.max("outside")).first()[0]
         if not outside:
             return found
-        within = F.row_number().over(Window.partitionBy("sig", "root").orderBy("own", "cid"))
+        within = F.row_number().over(Window.partitionBy("list", "root").orderBy("own", "cid"))
         ranked = open_members.withColumn("within", within).where(F.col("within") <= pivots)
-        turn = F.row_number().over(Window.partitionBy("sig").orderBy(F.col("root") == F.col("main"), "within", "own", "cid"))
-        chosen = ranked.withColumn("turn", turn).where(F.col("turn") <= pivots)
-        chosen = chosen.select("sig", F.struct("cid", "n", "own", "odd", "root").alias("p"))
-        pairs = (
-            open_members.join(chosen, "sig")
-            .where((F.col("root") != F.col("p.root")) & _feasible(percent))
-            .select(F.least("cid", "p.cid").alias("u"), F.greatest("cid", "p.cid").alias("v"))
-            .distinct()
-        )
+        turn = F.row_number().over(Window.partitionBy("list").orderBy(F.col("root") == F.col("main"), "within", "own", "cid"))
+        chosen = ranked.withColumn("turn", turn).where(F.col("turn") <= pivots).select("list", "cid")
+        members = open_members.drop("main", "outside")
+        pairs = _compared(members, chosen, percent).distinct()
         before, found = found, materialize(found.union(_verified(pairs, sets, percent)), "join-links")
-        remove(before, open_members)
+        remove(before, open_members, pairs)
         if outside <= pivots:
             return found
         pivots *= MORE

@@ -54,3 +54,25 @@ def test_lengthened_copy_goes(spark):
     longer = base + "".join(f" more{k}" for k in range(30))
     docs = spark.createDataFrame([(1, base), (2, longer)], "doc_id long, text string")
     assert [r["doc_id"] for r in corpus_pipeline.near_duplicates(spark, docs, "").collect()] == [1]
+
+
+def test_pair_of_many_lists_is_compared_a_few_times(spark, monkeypatch):
+    """Texts that share a head or a tail just miss each other; each of its shingles is a list of them."""
+    base = " ".join(f"b{k}" for k in range(158))
+    ends = lambda name, i: " ".join(f"{name}{i}x{k}" for k in range(23))
+    texts = [f"{ends('head', i)} {base} {ends('tail', j)}" for i in range(8) for j in range(8)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows, pairs = [], []
+    distinct = type(docs).distinct
+
+    def counted(frame):
+        once = distinct(frame)
+        if frame.columns == ["u", "v"]:
+            rows.append(frame.count())
+            pairs.append(once.count())
+        return once
+
+    monkeypatch.setattr(type(docs), "distinct", counted)
+    kept = corpus_pipeline.near_duplicates(spark, docs, "")
+    assert sorted(r["doc_id"] for r in kept.collect()) == list(range(64)) == brute_force(texts)
+    assert max(pairs) > 300 and sum(rows) < 5_000, (rows, pairs)
