@@ -357,7 +357,11 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
     classes = grouped.select("cid", "n", "digest").join(
         heads.select(F.col("uid").alias("cid"), "doc_id", "text_hash", "entries").where(F.size("entries") > 0), "cid"
     )
-    found = links(docs, materialize(classes, "join-entries"), size, percent)
+    classes = materialize(classes, "join-entries")
+    # The entries stand in that table; without them the heads are small.
+    wide, heads = heads, materialize(heads.drop("entries", "uid"), "join-rows")
+    remove(wide)
+    found = links(docs, classes, size, percent)
     roots = components(found)
     named = grouped.join(roots.withColumnRenamed("node", "cid"), "cid", "left").withColumn(
         "root", F.coalesce("root", "cid")
@@ -366,8 +370,7 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
     named = named.select("n", "digest", "root").join(firsts, "root").select("n", "digest", "component")
     alone = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
     return (
-        heads.drop("entries", "uid")
-        .join(named, ["n", "digest"], "left")
+        heads.join(named, ["n", "digest"], "left")
         .withColumn("component", F.coalesce("component", alone))
         .select(
             "doc_id",
