@@ -92,6 +92,11 @@ class _Hashed(dict):
             self.update(zip(new, (_hashed(new) % np.uint64(self.size)).tolist()))
         return np.fromiter(map(self.__getitem__, parts), np.int64, len(parts))
 
+    def of_slices(self, words: pa.Array, start: int, stop: int | None) -> np.ndarray:
+        """Those of a slice of each word; a slice that many have is looked up once."""
+        coded = pc.binary_slice(words, start, stop).dictionary_encode()
+        return self.of(coded.dictionary.to_pylist()).take(coded.indices.to_numpy(zero_copy_only=False))
+
 
 class Words:
     """Hash, class, slot, leaf and known count of words.
@@ -108,8 +113,9 @@ class Words:
 
     def __call__(self, words: list[bytes]) -> np.ndarray:
         hashes = _hashed(words)
-        kinds = self.kinds.of([w[-2:] for w in words])
-        shared = self.shared.of([w[:2] for w in words])
+        bytewise = pa.array(words, pa.large_binary())
+        kinds = self.kinds.of_slices(bytewise, -2, None)
+        shared = self.shared.of_slices(bytewise, 0, 2)
         slots, counts = shared.copy(), np.full(len(words), -1, dtype=np.int64)
         if self.own:
             own = np.fromiter(map(self.own.get, words, repeat(-1)), np.int64, len(words))
@@ -311,7 +317,8 @@ def train(texts: DataFrame, own: dict[bytes, int], bits: int, epochs: int = 1, r
 
         schema = "row bigint, " + ", ".join(f"{n} float" for n in names)
         changes = texts.select("text").mapInPandas(moved, schema)
-        mean = changes.groupBy("row").agg(*[F.avg(n).cast("float").alias(n) for n in names]).toPandas()
+        tasks = F.count(F.lit(1))
+        mean = changes.groupBy("row").agg(*[(F.sum(n) / tasks).cast("float").alias(n) for n in names]).toPandas()
         weights = weights.copy()
         if len(mean):
             weights.reshape(-1, WIDTH)[mean["row"].to_numpy()] += mean[names].to_numpy()

@@ -113,3 +113,16 @@ def test_step_adds_what_each_row_has():
     lm.descend(moved, found, rows, chosen, 0.1)
     assert np.allclose(found, squares)
     assert np.allclose(moved, weights + gradient * 0.1 / np.sqrt(squares + 1e-6)[:, None])
+
+
+def test_slices_that_many_words_have_are_looked_up_once(monkeypatch):
+    words = [b"", b"a", b"\xff\x00", lm.END] + [b"re%ded" % i for i in range(1000)]
+    told, asked = lm.Words(own={b"a": 6}), []
+    of = lm._Hashed.of
+    monkeypatch.setattr(lm._Hashed, "of", lambda self, parts: asked.extend(parts) or of(self, parts))
+    _, kinds, slots, leaves, _ = told(words)
+    assert len(asked) < 20
+    assert kinds.tolist() == [of(told.kinds, [w[-2:]])[0] for w in words] and kinds[3] == lm.WIDTH - 1
+    shared = [of(told.shared, [w[:2]])[0] for w in words]
+    assert slots.tolist() == shared[:1] + [6] + shared[2:]
+    assert [x // lm.WIDTH for x in leaves.tolist()] == [k * lm.WIDTH + s for k, s in zip(kinds.tolist(), shared)]
