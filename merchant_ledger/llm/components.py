@@ -9,7 +9,7 @@ from merchant_ledger.llm.common import materialize, remove
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
-    both = edges.union(edges.select("v", "u")).distinct()
+    both = edges.union(edges.select("v", "u"))
     least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
     return both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
 
@@ -21,10 +21,20 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return moved.union(least.select("u", F.col("m").alias("v"))).distinct()
 
 
+def _not_in_stars(edges: DataFrame) -> int:
+    """How many nodes have two lesser neighbours, or a lesser and a greater one; of distinct edges (greater, lesser)."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("lesser"), F.lit(0).alias("greater")).union(
+        edges.select("v", F.lit(0), F.lit(1))
+    )
+    counts = ends.groupBy("node").agg(F.sum("lesser").alias("lesser"), F.max("greater").alias("greater"))
+    return counts.where("lesser + greater > 1 and lesser > 0").count()
+
+
 def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     """(node, root) for every node of ``edges`` (u, v): root is the least node it reaches.
 
-    Each round writes its edges to the shared folder, so lineage stays short. Minima are
+    Each round writes its edges to the shared folder, so lineage stays short; when each component
+    is a star around its least node, no other round could change it. Minima are
     combined before the shuffle and a node of very many edges is split by the skew join, so
     no neighbourhood is ever held in one place. Loops, repeated and reversed edges are fine;
     edges with a null end are ignored; no edges give no rows.
@@ -33,12 +43,9 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     edges = materialize(
         edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges"
     )
-    mark = None
     for _ in range(most_rounds):
-        state = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
-        if state[0] == 0 or tuple(state) == mark:
+        if not _not_in_stars(edges):
             break
-        mark = tuple(state)
         before, edges = edges, materialize(_small_star(_large_star(edges)), "edges")
         remove(before)
     else:

@@ -280,8 +280,32 @@ def _compared(members: DataFrame, chosen: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def links(docs: DataFrame, classes: DataFrame, size: int, percent: int) -> DataFrame:
-    """(u, v) of class ids: links that connect what all links connect.
+def _open(lists: DataFrame, roots: DataFrame) -> DataFrame:
+    """The rows of the lists that are not connected, with root, the list's main root and how many are outside of that."""
+    named = lists.join(roots.withColumnRenamed("node", "cid"), "cid", "left").withColumn(
+        "root", F.coalesce("root", "cid")
+    )
+    parts = named.groupBy("list", "root").agg(F.count(F.lit(1)).alias("part"))
+    open_lists = parts.groupBy("list").agg(
+        F.count(F.lit(1)).alias("roots"), F.sum("part").alias("members"), F.max(F.struct("part", "root")).alias("main")
+    ).where("roots > 1").select("list", F.col("main.root").alias("main"), (F.col("members") - F.col("main.part")).alias("outside"))
+    return materialize(named.join(open_lists, "list"), "join-open")
+
+
+def _joined(roots: DataFrame, found: DataFrame) -> DataFrame:
+    """``roots`` (node, root) when the links ``found`` (u, v) are added. What is not in ``roots`` is its own root."""
+    ends = found.join(roots.select(F.col("node").alias("u"), F.col("root").alias("ru")), "u", "left").join(
+        roots.select(F.col("node").alias("v"), F.col("root").alias("rv")), "v", "left"
+    )
+    between = ends.select(F.coalesce("ru", "u").alias("u"), F.coalesce("rv", "v").alias("v"))
+    moved = materialize(components(between), "join-moved")
+    kept = roots.join(moved.select(F.col("node").alias("root"), F.col("root").alias("to")), "root", "left")
+    new = moved.join(roots.select("node"), "node", "left_anti").select("node", "root")
+    return kept.select("node", F.coalesce("to", "root").alias("root")).union(new)
+
+
+def connected(docs: DataFrame, classes: DataFrame, size: int, percent: int) -> DataFrame:
+    """(node, root) of the class ids that link, by links that connect what all links connect.
 
     In each list of an index entry, a few pivots are compared with all that are not yet
     connected with them: first the one with the fewest shingles of its own, then, outside
@@ -290,8 +314,9 @@ def links(docs: DataFrame, classes: DataFrame, size: int, percent: int) -> DataF
     when all in it is connected or all outside the largest component were pivots; so no
     link between components is missed, and a list of near copies of one text costs little
     more than its length. Lists with the same members are one, and a pair that several
-    lists have is seldom compared in more than one. Tables are removed when what follows
-    from them is written.
+    lists have is seldom compared in more than one. New links join the components so far, and
+    only lists that were open are looked at again; a round without new links changes neither.
+    Tables are removed when what follows from them is written.
     """
     survivors = materialize(_survivors(classes, percent), "join-survivors")
     tokens = materialize(_tokens(docs, survivors, size), "join-tokens")
@@ -307,32 +332,29 @@ def links(docs: DataFrame, classes: DataFrame, size: int, percent: int) -> DataF
         .distinct()
     )
     found = materialize(_verified(pairs, sets, percent), "join-links")
+    roots = materialize(components(found), "join-roots")
+    open_members = _open(lists, roots)
+    remove(lists, found)
     pivots = PIVOTS
-    while True:
-        roots = materialize(components(found), "join-roots")
-        named = lists.join(roots.withColumnRenamed("node", "cid"), "cid", "left").withColumn(
-            "root", F.coalesce("root", "cid")
-        )
-        parts = named.groupBy("list", "root").agg(F.count(F.lit(1)).alias("part"))
-        open_lists = parts.groupBy("list").agg(
-            F.count(F.lit(1)).alias("roots"), F.sum("part").alias("members"), F.max(F.struct("part", "root")).alias("main")
-        ).where("roots > 1").select("list", F.col("main.root").alias("main"), (F.col("members") - F.col("main.part")).alias("outside"))
-        open_members = materialize(named.join(open_lists, "list"), "join-open")
-        remove(roots)
-        outside = open_members.agg(F.max("outside")).first()[0]
-        if not outside:
-            return found
+    while outside := open_members.agg(F.max("outside")).first()[0]:
         within = F.row_number().over(Window.partitionBy("list", "root").orderBy("own", "cid"))
         ranked = open_members.withColumn("within", within).where(F.col("within") <= pivots)
         turn = F.row_number().over(Window.partitionBy("list").orderBy(F.col("root") == F.col("main"), "within", "own", "cid"))
         chosen = ranked.withColumn("turn", turn).where(F.col("turn") <= pivots).select("list", "cid")
-        members = open_members.drop("main", "outside")
-        pairs = _compared(members, chosen, percent).distinct()
-        before, found = found, materialize(found.union(_verified(pairs, sets, percent)), "join-links")
-        remove(before, open_members, pairs)
+        pairs = _compared(open_members.drop("main", "outside"), chosen, percent).distinct()
+        found = materialize(_verified(pairs, sets, percent), "join-links")
+        remove(pairs)
+        if found.count():
+            before, roots = roots, materialize(_joined(roots, found), "join-roots")
+            remove(before)
+            before, open_members = open_members, _open(open_members.drop("root", "main", "outside"), roots)
+            remove(before)
+        remove(found)
         if outside <= pivots:
-            return found
+            break
         pivots *= MORE
+    remove(open_members)
+    return roots
 
 
 def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -361,8 +383,7 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
     # The entries stand in that table; without them the heads are small.
     wide, heads = heads, materialize(heads.drop("entries", "uid"), "join-rows")
     remove(wide)
-    found = links(docs, classes, size, percent)
-    roots = components(found)
+    roots = connected(docs, classes, size, percent)
     named = grouped.join(roots.withColumnRenamed("node", "cid"), "cid", "left").withColumn(
         "root", F.coalesce("root", "cid")
     )

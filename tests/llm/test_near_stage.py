@@ -7,7 +7,7 @@ import pytest
 import samples
 
 import corpus_pipeline
-from merchant_ledger.llm import ngram_join
+from merchant_ledger.llm import components, ngram_join
 
 
 def brute_force(texts: list[str], size: int = 5, percent: int = 80) -> list[int]:
@@ -76,3 +76,59 @@ def test_pair_of_many_lists_is_compared_a_few_times(spark, monkeypatch):
     kept = corpus_pipeline.near_duplicates(spark, docs, "")
     assert sorted(r["doc_id"] for r in kept.collect()) == list(range(64)) == brute_force(texts)
     assert max(pairs) > 300 and sum(rows) < 5_000, (rows, pairs)
+
+
+def edges_written(monkeypatch) -> list[int]:
+    """Gets a 1 for each table of edges that the components write."""
+    written, write = [], components.materialize
+
+    def counted(df, purpose):
+        written.extend([1] * (purpose == "edges"))
+        return write(df, purpose)
+
+    monkeypatch.setattr(components, "materialize", counted)
+    return written
+
+
+def test_components_end_with_the_round_that_makes_stars(spark, monkeypatch):
+    written = edges_written(monkeypatch)
+    stars = [(k % 5, 10 + k) for k in range(50)]
+    frame = spark.createDataFrame([*stars, *stars, (7, 7), (None, 3)], "u long, v long")
+    found = {(r["node"], r["root"]) for r in components.components(frame).collect()}
+    assert found == {(10 + k, k % 5) for k in range(50)} | {(k, k) for k in range(5)}
+    assert len(written) == 1
+    path = spark.createDataFrame([(1, 2), (2, 3)], "u long, v long")
+    assert {tuple(r) for r in components.components(path).collect()} == {(1, 1), (2, 1), (3, 1)}
+    assert len(written) == 3
+
+
+def test_rounds_without_new_links_leave_the_components(spark, monkeypatch):
+    """Links of the first round, and 81 texts that just miss each other, for more rounds than one."""
+    written = edges_written(monkeypatch)
+    base = " ".join(f"b{k}" for k in range(158))
+    ends = lambda name, i: " ".join(f"{name}{i}x{k}" for k in range(23))
+    texts = [f"{ends('head', i)} {base} {ends('tail', j)}" for i in range(9) for j in range(9)]
+    copied = " ".join(f"c{k}" for k in range(100))
+    texts += [copied, f"{copied} one", f"{copied} two"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    kept = corpus_pipeline.near_duplicates(spark, docs, "")
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(set(brute_force(texts))) == list(range(82))
+    assert len(written) <= 2, written
+
+
+@pytest.mark.parametrize("pivots, more", [(1, 2), (2, 3)])
+def test_links_of_later_rounds_join_components(spark, monkeypatch, pivots, more):
+    """Texts without six blocks of one base link if they lack four of the same; the lists hold nearly all of them."""
+    monkeypatch.setattr(ngram_join, "PIVOTS", pivots)
+    monkeypatch.setattr(ngram_join, "MORE", more)
+    joined, join = [], ngram_join._joined
+    monkeypatch.setattr(ngram_join, "_joined", lambda *a: (joined.append(1), join(*a))[1])
+    blocks = [" ".join(f"b{k}x{i}" for i in range(10)) for k in range(40)]
+    texts = [" ".join(blocks[: 2 * i] + blocks[2 * i + 6 :]) for i in range(18) if i not in (5, 10)]
+    order = np.random.default_rng(3).permutation(len(texts))
+    texts = [texts[i] for i in order]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    kept = corpus_pipeline.near_duplicates(spark, docs, "")
+    expected = sorted(set(brute_force(texts)))
+    assert len(expected) == 3 and sorted(r["doc_id"] for r in kept.collect()) == expected
+    assert joined
