@@ -24,6 +24,8 @@ SHORTEST_LONG, LONGEST_SHORT = 46, 56
 PIVOTS, MORE = 16, 16
 #: So many of a member's lists before one are known there, for pairs that those lists have too.
 EARLIER = 8
+#: Sizes of a list's members are told apart in so many steps for each doubling.
+STEPS = 64
 #: Ids of documents are broadcast up to this many.
 MOST_BROADCAST = 500_000
 
@@ -155,7 +157,7 @@ def _tokens(docs: DataFrame, survivors: DataFrame, size: int) -> DataFrame:
 
 
 def _signatures(tokens: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
-    """(cid, n, own, odd, tokens) of classes that can link, and their lists (sig, cid, own).
+    """(cid, n, own, odd, tokens) of classes that can link, and their lists (sig, cid, n, own, most).
 
     ``own`` counts the shingles that no other surviving class has. A class with more of them
     than a partner may lack is out. The rest of a set is ordered from rare to frequent; two
@@ -165,6 +167,11 @@ def _signatures(tokens: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     pair of it. A frequent shingle is never indexed singly. Sets of a length between are indexed both ways.
     If the first shingle that both share is frequent, all are; so rare ones are indexed only as far
     as a first one may stand, which is spare + 1.
+
+    How far into its prefix a set has an entry also bounds the partners that need it: of k shingles
+    that both share, the last has rank r in the one set, so the other lacks r - k of those before.
+    ``most`` is the largest size of a partner for which that is not too many. Two sets that link have
+    a list where the size of each is within the other's ``most``.
     """
     flat = tokens.select("cid", F.explode("tokens").alias("h"))
     shared = flat.groupBy("h").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
@@ -187,33 +194,40 @@ def _signatures(tokens: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
         .withColumn("first", F.col("rank") <= spare + 1 - F.col("own"))
         .where((F.col("df") > FREQUENT) | F.col("first"))
     )
-    prefix = materialize(prefix.select("cid", "n", "own", "h", "df", "short"), "join-prefix")
+    prefix = materialize(prefix.select("cid", "n", "own", "h", "df", "rank", "short"), "join-prefix")
     remove(known)
     single = prefix.where(F.col("df") <= FREQUENT).select(
-        F.struct(F.col("h").alias("a"), F.lit(None).cast("bigint").alias("b")).alias("sig"), "cid", "own"
+        F.struct(F.col("h").alias("a"), F.lit(None).cast("bigint").alias("b")).alias("sig"),
+        "cid", "n", "own", (F.col("rank") - 1).alias("lacking"),
     )
     frequent = prefix.where(F.col("df") > FREQUENT)
-    long_pairs = _pairs(frequent.where(F.col("n") >= SHORTEST_LONG), [F.pmod("h", F.lit(CLASSES)).alias("class")], lesser_first=True)
-    short_pairs = _pairs(frequent.where("short"), [], lesser_first=False)
+    long_pairs = _pairs(frequent.where(F.col("n") >= SHORTEST_LONG), [F.pmod("h", F.lit(CLASSES)).alias("class")], CLASSES + 1, lesser_first=True)
+    short_pairs = _pairs(frequent.where("short"), [], 2, lesser_first=False)
     lists = single.unionByName(long_pairs).unionByName(short_pairs)
+    common = F.col("n") - F.col("own") - F.col("lacking")
+    lists = lists.withColumn("most", F.floor(common * (100 + percent) / percent) - F.col("n")).drop("lacking")
     sets = materialize(alive.select("cid", "n", "own", "odd").join(tokens.select("cid", "tokens"), "cid"), "join-sets")
     written = materialize(lists, "join-lists")
     remove(prefix, alive)
     return sets, written
 
 
-def _pairs(prefix: DataFrame, classes: list[Column], lesser_first: bool) -> DataFrame:
-    """(sig, cid, own) for all pairs of a set's shingles, or all of one class.
+def _pairs(prefix: DataFrame, classes: list[Column], shared: int, lesser_first: bool) -> DataFrame:
+    """(sig, cid, n, own, lacking) for all pairs of a set's shingles, or all of one class.
 
     Pairs of long sets begin with the lesser, those of short sets don't, so they are never taken for each other.
+    ``lacking``: shingles before the pair that a partner lacks if the pair is among the first ``shared`` of both.
     """
-    grouped = prefix.groupBy("cid", "own", *classes).agg(F.sort_array(F.collect_list("h")).alias("hs"))
-    pair = lambda a, b: F.struct(a.alias("a"), b.alias("b"))
-    later = F.transform(
-        "hs",
-        lambda x, i: F.transform(F.slice("hs", i + 2, F.size("hs")), lambda y: pair(x, y) if lesser_first else pair(y, x)),
-    )
-    return grouped.select(F.explode(F.flatten(later)).alias("sig"), "cid", "own")
+    grouped = prefix.groupBy("cid", "n", "own", *classes).agg(F.sort_array(F.collect_list(F.struct("h", "rank"))).alias("hs"))
+
+    def pair(x: Column, y: Column) -> Column:
+        a, b = (x, y) if lesser_first else (y, x)
+        lacking = F.greatest(x["rank"], y["rank"], F.lit(shared)) - shared
+        return F.struct(F.struct(a["h"].alias("a"), b["h"].alias("b")).alias("sig"), lacking.alias("lacking"))
+
+    later = F.transform("hs", lambda x, i: F.transform(F.slice("hs", i + 2, F.size("hs")), lambda y: pair(x, y)))
+    pairs = grouped.select(F.explode(F.flatten(later)).alias("pair"), "cid", "n", "own")
+    return pairs.select("pair.sig", "cid", "n", "own", "pair.lacking")
 
 
 def _feasible(percent: int) -> Column:
@@ -232,6 +246,22 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.where(100 * common >= percent * (F.col("nu") + F.col("nv") - common)).select("u", "v")
 
 
+def _with_partners(lists: DataFrame) -> DataFrame:
+    """The rows (sig, cid, own) of members that another of their list, or one as they are, may link with by its size.
+
+    Texts that all miss each other by more than a few shingles stand in many lists without a partner in
+    any; their rows would be compared with all others. A list's sizes are told in steps, with the
+    least size and the largest ``most`` of each, so they are few however long the list is.
+    """
+    step = F.floor(F.log2("n") * STEPS).alias("step")
+    sizes = lists.groupBy("sig", step).agg(F.count(F.lit(1)).alias("members"), F.min("n").alias("least"), F.max("most").alias("most"))
+    sizes = sizes.groupBy("sig").agg(
+        F.sum("members").alias("members"), F.collect_list(F.struct("least", "most")).alias("sizes")
+    ).where("members > 1").drop("members")
+    partner = F.exists("sizes", lambda s: (s["least"] <= F.col("most")) & (s["most"] >= F.col("n")))
+    return lists.join(sizes, "sig").where(partner).select("sig", "cid", "own")
+
+
 def _lists_once(lists: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(list, cid, n, own, odd) and (list, p) of lists with two members or more, and their first pivots.
 
@@ -308,9 +338,9 @@ def connected(docs: DataFrame, classes: DataFrame, size: int, percent: int) -> D
     """(node, root) of the class ids that link, by links that connect what all links connect.
 
     In each list of an index entry, a few pivots are compared with all that are not yet
-    connected with them: first the one with the fewest shingles of its own, then, outside
+    connected with them: first the one with the fewest shingles of its own, then, only outside
     the list's largest component, one of each component before another of any, and more
-    of them in each round. A list is done
+    of them in each round. A member without a partner of fitting size leaves a list before. A list is done
     when all in it is connected or all outside the largest component were pivots; so no
     link between components is missed, and a list of near copies of one text costs little
     more than its length. Lists with the same members are one, and a pair that several
@@ -322,9 +352,11 @@ def connected(docs: DataFrame, classes: DataFrame, size: int, percent: int) -> D
     tokens = materialize(_tokens(docs, survivors, size), "join-tokens")
     remove(classes, survivors)
     sets, lists = _signatures(tokens, percent)
+    written, lists = lists, materialize(_with_partners(lists), "join-partners")
+    remove(written, tokens)
     written = lists
     lists, hubs = _lists_once(written, sets)
-    remove(written, tokens)
+    remove(written)
     pairs = (
         lists.join(hubs, "list")
         .where((F.col("cid") != F.col("p.cid")) & _feasible(percent))
@@ -338,8 +370,8 @@ def connected(docs: DataFrame, classes: DataFrame, size: int, percent: int) -> D
     pivots = PIVOTS
     while outside := open_members.agg(F.max("outside")).first()[0]:
         within = F.row_number().over(Window.partitionBy("list", "root").orderBy("own", "cid"))
-        ranked = open_members.withColumn("within", within).where(F.col("within") <= pivots)
-        turn = F.row_number().over(Window.partitionBy("list").orderBy(F.col("root") == F.col("main"), "within", "own", "cid"))
+        ranked = open_members.where("root <> main").withColumn("within", within).where(F.col("within") <= pivots)
+        turn = F.row_number().over(Window.partitionBy("list").orderBy("within", "own", "cid"))
         chosen = ranked.withColumn("turn", turn).where(F.col("turn") <= pivots).select("list", "cid")
         pairs = _compared(open_members.drop("main", "outside"), chosen, percent).distinct()
         found = materialize(_verified(pairs, sets, percent), "join-links")

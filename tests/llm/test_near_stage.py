@@ -132,3 +132,44 @@ def test_links_of_later_rounds_join_components(spark, monkeypatch, pivots, more)
     expected = sorted(set(brute_force(texts)))
     assert len(expected) == 3 and sorted(r["doc_id"] for r in kept.collect()) == expected
     assert joined
+
+
+def substituted(words: list[str], places, name: str) -> str:
+    return " ".join(f"{name}e{at}" if at in set(places) else word for at, word in enumerate(words))
+
+
+def test_near_copies_that_can_link_with_none_leave_the_lists(spark, monkeypatch):
+    """Four words of 150 replaced cost 20 of 146 shingles: with a text of as many shingles no link is possible."""
+    monkeypatch.setattr(ngram_join, "FREQUENT", 3)
+    looked_at, looked = [], ngram_join._compared
+    monkeypatch.setattr(ngram_join, "_compared", lambda m, *a: (looked_at.append(m.count()), looked(m, *a))[1])
+    words, rng = [f"b{k}" for k in range(150)], np.random.default_rng(7)
+    places = [5 + 35 * np.arange(4) + rng.integers(0, 30, size=4) for _ in range(80)]
+    texts = [substituted(words, p, f"t{i}") for i, p in enumerate(places)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    kept = corpus_pipeline.near_duplicates(spark, docs, "")
+    assert sorted(r["doc_id"] for r in kept.collect()) == list(range(80)) == brute_force(texts)
+    assert not looked_at, looked_at
+
+
+@pytest.mark.parametrize("size, percent", [(5, 80), (3, 90)])
+@pytest.mark.parametrize("pivots", [1, 16])
+def test_links_between_sizes_are_found(spark, monkeypatch, size, percent, pivots):
+    """Near copies with words replaced, left out and added, about as far apart as a link allows."""
+    monkeypatch.setattr(ngram_join, "FREQUENT", 3)
+    monkeypatch.setattr(ngram_join, "PIVOTS", pivots)
+    rng = np.random.default_rng(size)
+    texts = []
+    for group, n in enumerate((30, 48, 54, 60, 100, 150)):
+        base = [f"g{group}w{k}" for k in range(n)]
+        for i in range(28):
+            least = int(rng.integers(0, n // 5))
+            words = base[least if i % 3 else 0 : n - int(rng.integers(0, n // 8))]
+            at = rng.integers(0, len(words), size=rng.integers(0, 1 + n // 30))
+            texts.append(substituted(words, at, f"g{group}t{i % 9}") + f" g{group}more{i % 4}" * (i % 5))
+    texts = [texts[i] for i in rng.permutation(len(texts))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = ngram_join.near_duplicates(docs, size, percent).collect()
+    expected = brute_force(texts, size, percent)
+    assert 12 < len(set(expected)) < len(texts) - 12
+    assert {r["doc_id"]: r["component_id"] for r in found} == dict(enumerate(expected))
